@@ -7,18 +7,26 @@ map-side combined rows; a hot account is reduced before it moves.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountwise.config import Params
-from accountwise.functions.columns import day, days_between, mean_where, rate
+from accountwise.functions.columns import cents, day, days_between, money, rate
 
-RFM_WINDOW_COLUMNS = ("booking_count", "total_spend", "avg_booking_amount")
+# Partial aggregates by name: (how partial results merge, the value to aggregate per booking).
+Partials = Mapping[str, tuple[str, Column]]
+MERGE = {"sum": F.sum, "max": F.max}
 
 
 def history(bookings: DataFrame, p: Params) -> DataFrame:
-    """Bookings strictly before the cutoff whose account is known."""
-    return bookings.where((F.col("booking_date") < day(p.cutoff)) & F.col("account_id").isNotNull())
+    """Bookings strictly before the cutoff whose account is known, reduced to what the features read."""
+    past = bookings.where((F.col("booking_date") < day(p.cutoff)) & F.col("account_id").isNotNull())
+    return past.select(
+        "account_id", "booking_date", "travel_date", "is_cancelled", "is_out_of_policy", "destination_region",
+        cents(F.col("amount")).alias("paid"), F.trunc("booking_date", "month").alias("month"),
+    )
 
 
 def _since(p: Params, days: int) -> Column:
@@ -29,20 +37,25 @@ def _kept() -> Column:
     return ~F.col("is_cancelled")
 
 
-# Each feature family is a set of partial aggregates plus expressions over them, so that families can
-# be computed alone or together, and partial results can be merged over any finer grouping.
-def _rfm_partials(p: Params) -> dict[str, tuple[str, Column]]:
+def _count(condition: Column) -> tuple[str, Column]:
+    return "sum", F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def _total(value: Column, condition: Column) -> tuple[str, Column]:
+    return "sum", F.when(condition, value)
+
+
+def _rfm_partials(p: Params) -> Partials:
+    paid = F.col("paid")
     out = {
-        "last_kept": ("max", F.max(F.when(_kept(), F.col("booking_date")))),
-        "n_kept": ("sum", F.count_if(_kept())),
-        "spend_kept": ("sum", F.sum(F.when(_kept(), F.col("amount")))),
+        "last_kept": ("max", F.when(_kept(), F.col("booking_date"))),
+        "n_kept": _count(_kept()), "paid_kept": _total(paid, _kept()),
     }
     for w in p.windows:
         inside = _kept() & _since(p, w)
-        total, filled = mean_where(F.col("amount"), inside)
-        out[f"n_{w}"] = ("sum", F.count_if(inside))
-        out[f"spend_{w}"] = ("sum", total)
-        out[f"priced_{w}"] = ("sum", filled)
+        out[f"n_{w}"] = _count(inside)
+        out[f"paid_{w}"] = _total(paid, inside)
+        out[f"priced_{w}"] = _count(inside & paid.isNotNull())
     return out
 
 
@@ -51,43 +64,42 @@ def _rfm_features(p: Params) -> list[Column]:
     for w in p.windows:
         out += [
             F.nullif(F.col(f"n_{w}"), F.lit(0)).alias(f"booking_count_{w}d"),
-            F.col(f"spend_{w}").cast("double").alias(f"total_spend_{w}d"),
-            rate(F.col(f"spend_{w}"), F.col(f"priced_{w}")).alias(f"avg_booking_amount_{w}d"),
+            money(F.col(f"paid_{w}")).alias(f"total_spend_{w}d"),
+            rate(money(F.col(f"paid_{w}")), F.col(f"priced_{w}")).alias(f"avg_booking_amount_{w}d"),
         ]
     return out + [
         days_between(F.col("last_kept"), day(p.cutoff)).alias("days_since_last_booking"),
         F.nullif(F.col("n_kept"), F.lit(0)).alias("total_booking_count"),
-        F.col("spend_kept").cast("double").alias("total_spend"),
+        money(F.col("paid_kept")).alias("total_spend"),
     ]
 
 
-def _trajectory_partials(p: Params) -> dict[str, tuple[str, Column]]:
-    recent = _kept() & _since(p, 180)
-    older = _kept() & _since(p, 365) & ~_since(p, 180)
+def _trajectory_partials(p: Params) -> Partials:
+    paid = F.col("paid")
+    spans = {"recent": _kept() & _since(p, 180), "older": _kept() & _since(p, 365) & ~_since(p, 180)}
     out = {}
-    for name, cond in (("recent", recent), ("older", older)):
-        total, filled = mean_where(F.col("amount"), cond)
-        out[f"{name}_spend"], out[f"{name}_n"] = ("sum", total), ("sum", filled)
+    for name, inside in spans.items():
+        out[f"{name}_paid"] = _total(paid, inside)
+        out[f"{name}_n"] = _count(inside & paid.isNotNull())
     for w in p.rate_windows:
-        out[f"all_{w}"] = ("sum", F.count_if(_since(p, w)))
-        out[f"cancelled_{w}"] = ("sum", F.count_if(_since(p, w) & F.col("is_cancelled")))
+        out[f"all_{w}"] = _count(_since(p, w))
+        out[f"cancelled_{w}"] = _count(_since(p, w) & F.col("is_cancelled"))
     return out
 
 
 def _trajectory_features(p: Params) -> list[Column]:
-    change = rate(F.col("recent_spend"), F.col("recent_n")) - rate(F.col("older_spend"), F.col("older_n"))
-    return [F.coalesce(change, F.lit(0.0)).alias("spend_acceleration")] + [
-        rate(F.col(f"cancelled_{w}"), F.col(f"all_{w}")).alias(f"cancellation_rate_{w}d")
-        for w in p.rate_windows
+    mean = {s: rate(money(F.col(f"{s}_paid")), F.col(f"{s}_n")) for s in ("recent", "older")}
+    return [F.coalesce(mean["recent"] - mean["older"], F.lit(0.0)).alias("spend_acceleration")] + [
+        rate(F.col(f"cancelled_{w}"), F.col(f"all_{w}")).alias(f"cancellation_rate_{w}d") for w in p.rate_windows
     ]
 
 
-def _policy_partials(p: Params) -> dict[str, tuple[str, Column]]:
+def _policy_partials(p: Params) -> Partials:
     lead = days_between(F.col("booking_date"), F.col("travel_date"))
-    out = {"lead_sum": ("sum", F.sum(lead)), "lead_n": ("sum", F.count(lead))}
+    out = {"lead_days": ("sum", lead), "lead_n": _count(lead.isNotNull())}
     for w in p.rate_windows:
-        out[f"all_{w}"] = ("sum", F.count_if(_since(p, w)))
-        out[f"oop_{w}"] = ("sum", F.count_if(_since(p, w) & F.col("is_out_of_policy")))
+        out[f"all_{w}"] = _count(_since(p, w))
+        out[f"oop_{w}"] = _count(_since(p, w) & F.col("is_out_of_policy"))
     return out
 
 
@@ -98,17 +110,22 @@ def _policy_features(p: Params) -> list[Column]:
         # NULL (later 0) when the short window is empty, not minus the long rate
         (rates[short] - rates[long]).alias("oop_trend"),
         F.col("destination_diversity"),
-        rate(F.col("lead_sum"), F.col("lead_n")).alias("avg_lead_time_days"),
+        rate(F.col("lead_days"), F.col("lead_n")).alias("avg_lead_time_days"),
     ]
 
 
+def _aggregate(parts: Partials) -> list[Column]:
+    return [MERGE[how](value).alias(name) for name, (how, value) in parts.items()]
+
+
+def _merge(parts: Partials) -> list[Column]:
+    return [MERGE[how](name).alias(name) for name, (how, _) in parts.items()]
+
+
 def rfm(bookings: DataFrame, p: Params) -> DataFrame:
     parts = _rfm_partials(p)
-    hist = history(bookings, p).where(_kept())
-    return (
-        hist.groupBy("account_id").agg(*[c.alias(n) for n, (_, c) in parts.items()])
-        .select("account_id", *_rfm_features(p))
-    )
+    kept = history(bookings, p).where(_kept())
+    return kept.groupBy("account_id").agg(*_aggregate(parts)).select("account_id", *_rfm_features(p))
 
 
 def slope(n: Column, sum_xy: Column, sum_y: Column) -> Column:
@@ -118,59 +135,60 @@ def slope(n: Column, sum_xy: Column, sum_y: Column) -> Column:
     return F.when(n >= 3, F.try_divide(sum_xy - mean_x * sum_y, spread)).otherwise(F.lit(0.0))
 
 
-def _month_positions(months: DataFrame) -> DataFrame:
-    """Dense index over the months present. A partition holds one account's months: bounded by the calendar."""
-    w = Window.partitionBy("account_id").orderBy("month")
+MONTH_PARTIALS = ("m_all", "m_kept", "m_paid")
+
+
+def _month_partials() -> Partials:
+    return {
+        "m_all": ("sum", F.lit(1).cast("bigint")), "m_kept": _count(_kept()), "m_paid": _total(F.col("paid"), _kept()),
+    }
+
+
+def _with_month_positions(rows: DataFrame) -> DataFrame:
+    """Dense index over the months present, and over those with a kept booking. Rows without a month
+    (destinations) sort last. A window partition is one account's months: bounded by the calendar."""
+    w = Window.partitionBy("account_id").orderBy(F.col("month").asc_nulls_last())
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return months.select(
-        "*",
-        (F.row_number().over(w) - 1).alias("x_all"),
+    return rows.select(
+        "*", (F.row_number().over(w) - 1).alias("x_all"),
         (F.sum(F.when(F.col("m_kept") > 0, 1).otherwise(0)).over(running) - 1).alias("x_kept"),
     )
 
 
 def _trend_aggregates() -> list[Column]:
     kept = F.col("m_kept") > 0
-    spend = F.coalesce("m_spend", F.lit(0)).cast("double")
+    paid = F.coalesce("m_paid", F.lit(0))
     return [
         F.count("month").alias("t_n"),
-        F.sum(F.col("x_all") * F.col("m_all")).alias("t_xy"),
-        F.sum("m_all").alias("t_y"),
+        F.sum(F.col("x_all") * F.col("m_all")).alias("t_xy"), F.sum("m_all").alias("t_y"),
         F.count_if(kept).alias("s_n"),
-        F.sum(F.when(kept, F.col("x_kept") * spend)).alias("s_xy"),
-        F.sum(F.when(kept, spend)).alias("s_y"),
+        F.sum(F.when(kept, F.col("x_kept") * paid)).alias("s_xy"), F.sum(F.when(kept, paid)).alias("s_y"),
     ]
 
 
 def _trend_features() -> list[Column]:
+    spend = slope(F.col("s_n"), money(F.col("s_xy")), money(F.col("s_y")))
     return [
         slope(F.col("t_n"), F.col("t_xy"), F.col("t_y")).alias("booking_volume_trend"),
-        F.when(F.col("s_n") > 0, slope(F.col("s_n"), F.col("s_xy"), F.col("s_y"))).alias("spend_trend"),
+        F.when(F.col("s_n") > 0, spend).alias("spend_trend"),
     ]
 
 
 def trajectory(bookings: DataFrame, p: Params) -> DataFrame:
     """Trends, spend acceleration and cancellation rates, from month totals of one shuffle."""
     parts = _trajectory_partials(p)
-    months = history(bookings, p).groupBy("account_id", F.trunc("booking_date", "month").alias("month")).agg(
-        F.count(F.lit(1)).alias("m_all"), F.count_if(_kept()).alias("m_kept"),
-        F.sum(F.when(_kept(), F.col("amount"))).alias("m_spend"),
-        *[c.alias(n) for n, (_, c) in parts.items()],
-    )
+    months = history(bookings, p).groupBy("account_id", "month").agg(*_aggregate({**_month_partials(), **parts}))
     return (
-        _month_positions(months).groupBy("account_id")
-        .agg(*_trend_aggregates(), *[F.sum(n).alias(n) for n in parts])
+        _with_month_positions(months).groupBy("account_id").agg(*_trend_aggregates(), *_merge(parts))
         .select("account_id", *_trend_features(), *_trajectory_features(p))
     )
 
 
 def policy(bookings: DataFrame, p: Params) -> DataFrame:
-    parts = _policy_partials(p)
     return (
         history(bookings, p).groupBy("account_id")
         .agg(
-            *[c.alias(n) for n, (_, c) in parts.items()],
-            F.count_distinct("destination_region").alias("destination_diversity"),
+            *_aggregate(_policy_partials(p)), F.count_distinct("destination_region").alias("destination_diversity")
         )
         .select("account_id", *_policy_features(p))
     )
@@ -179,46 +197,23 @@ def policy(bookings: DataFrame, p: Params) -> DataFrame:
 def booking_features(bookings: DataFrame, p: Params) -> DataFrame:
     """All three families from ONE scan and ONE join to travelers.
 
-    Grouping sets reduce every booking map-side to (account, month) and (account, destination) rows in
-    the same pass; the second shuffle, by account, moves only those. The month index and the final
-    aggregate share that second partitioning.
+    Every booking is counted once in its (account, destination) cell, which carries the account totals, and
+    once in its (account, month) cell, which carries the trend. Both are combined map-side, so the first
+    shuffle moves cells, not bookings; the second, by account, serves the month index and the final sums.
     """
     parts = {**_rfm_partials(p), **_trajectory_partials(p), **_policy_partials(p)}
-    slim = history(bookings, p).select(
-        "account_id", "amount", "booking_date", "travel_date", "is_cancelled", "is_out_of_policy",
-        F.trunc("booking_date", "month").alias("month"), F.col("destination_region").alias("dest"),
-    )
-    account, month, dest = F.col("account_id"), F.col("month"), F.col("dest")
-    cells = slim.groupingSets([[account, month], [account, dest]], account, month, dest).agg(
-        F.grouping("month").alias("by_dest"),
-        F.count(F.lit(1)).alias("m_all"), F.count_if(_kept()).alias("m_kept"),
-        F.sum(F.when(_kept(), F.col("amount"))).alias("m_spend"),
-        *[c.alias(n) for n, (_, c) in parts.items()],
-    )
-    # only the month rows carry totals; a NULL month marks a destination row
-    is_month = F.col("by_dest") == 0
-    cells = cells.select(
-        "account_id", "month", "dest", "by_dest",
-        *[F.when(is_month, F.col(c)).alias(c) for c in ("m_all", "m_kept", "m_spend")],
-        *[F.when(is_month, F.col(c)).alias(c) for c in parts],
-    )
-    w = Window.partitionBy("account_id").orderBy("by_dest", "month")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = cells.select(
-        "*",
-        F.when(is_month, F.row_number().over(w) - 1).alias("x_all"),
-        F.when(
-            is_month, F.sum(F.when(F.col("m_kept") > 0, 1).otherwise(0)).over(running) - 1
-        ).alias("x_kept"),
-    )
-    merge = {"sum": F.sum, "max": F.max}
+    by_month = F.col("cell") == 0
+    twice = history(bookings, p).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("cell"))
+    split = {n: (how, F.when(by_month, v)) for n, (how, v) in _month_partials().items()} | {
+        n: (how, F.when(~by_month, v)) for n, (how, v) in parts.items()
+    }
+    cells = twice.groupBy(
+        "account_id", "cell", F.when(by_month, F.col("month")).alias("month"),
+        F.when(~by_month, F.col("destination_region")).alias("destination"),
+    ).agg(*_aggregate(split))
     return (
-        placed.groupBy("account_id")
-        .agg(
-            *_trend_aggregates(),
-            *[merge[how](n).alias(n) for n, (how, _) in parts.items()],
-            F.count("dest").alias("destination_diversity"),
-        )
+        _with_month_positions(cells).groupBy("account_id")
+        .agg(*_trend_aggregates(), *_merge(parts), F.count("destination").alias("destination_diversity"))
         .select(
             "account_id", *_rfm_features(p), *_trend_features(), *_trajectory_features(p), *_policy_features(p)
         )
@@ -227,17 +222,15 @@ def booking_features(bookings: DataFrame, p: Params) -> DataFrame:
 
 def rfm_with_cancelled(accounts: DataFrame, bookings: DataFrame, p: Params) -> DataFrame:
     """Variant that keeps cancelled bookings and reports average order values (0 without bookings)."""
+    paid = F.col("paid")
     aggs = [
-        F.count(F.lit(1)).alias("total_booking_count"),
-        F.sum("amount").cast("double").alias("total_spend"),
+        F.count(F.lit(1)).alias("total_booking_count"), money(F.sum(paid)).alias("total_spend"),
         days_between(F.max("booking_date"), day(p.cutoff)).alias("days_since_last_booking"),
     ]
     for w in p.windows:
-        spent = F.sum(F.when(_since(p, w), F.col("amount"))).cast("double")
-        made = F.count_if(_since(p, w))
+        spent, made = money(F.sum(F.when(_since(p, w), paid))), F.count_if(_since(p, w))
         aggs += [
-            made.alias(f"booking_count_{w}d"), spent.alias(f"total_spend_{w}d"),
-            rate(spent, made).alias(f"aov_{w}d"),
+            made.alias(f"booking_count_{w}d"), spent.alias(f"total_spend_{w}d"), rate(spent, made).alias(f"aov_{w}d"),
         ]
     per_account = history(bookings, p).groupBy("account_id").agg(*aggs)
     names = [c for c in per_account.columns if c != "account_id"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accountwise.config import SEVERITY_COST, Params
-from accountwise.functions.columns import day, lookup
+from accountwise.functions.columns import cents, day, lookup
 from accountwise.operators.service import active_at
 
 
@@ -25,22 +25,24 @@ def clv_labels(
 
     revenue = (
         bookings.where(ahead("booking_date") & ~F.col("is_cancelled") & known)
-        .groupBy("account_id").agg(F.sum("amount").alias("booking_revenue_12m"))
+        .groupBy("account_id").agg(F.sum(cents(F.col("amount"))).alias("booking_revenue_12m"))
     )
     contracted = (
         contracts.where(active_at(p) & known)
-        .groupBy("account_id").agg(F.sum("contract_value").alias("contract_value_active"))
+        .groupBy("account_id").agg(F.sum(cents(F.col("contract_value"))).alias("contract_value_active"))
     )
+    unit_cost = lookup(F.col("severity"), SEVERITY_COST, 0) * 100
     cost = (
         tickets.where(ahead("created_date") & known)
-        .groupBy("account_id").agg(F.sum(lookup(F.col("severity"), SEVERITY_COST, 0)).alias("support_cost_12m"))
+        .groupBy("account_id").agg(F.sum(unit_cost).alias("support_cost_12m"))
     )
-    parts = ("booking_revenue_12m", "contract_value_active", "support_cost_12m")
     joined = accounts.select("account_id")
     for part in (revenue, contracted, cost):
         joined = joined.join(part, "account_id", "left")
-    value = F.col(parts[0]) + F.col(parts[1]) - F.col(parts[2])
+    parts = ("booking_revenue_12m", "contract_value_active", "support_cost_12m")
+    joined = joined.na.fill(0, list(parts))
+    value = F.greatest(F.lit(0), F.col(parts[0]) + F.col(parts[1]) - F.col(parts[2]))
+    as_money = lambda c: (c.cast("decimal(20,0)") / 100).cast("decimal(20,2)")
     return joined.select(
-        "account_id", *[F.coalesce(F.col(c).cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)")).alias(c)
-                        for c in parts]
-    ).withColumn("clv_12m", F.greatest(F.lit(0).cast("decimal(22,2)"), value.cast("decimal(22,2)")))
+        "account_id", *[as_money(F.col(c)).alias(c) for c in parts], as_money(value).alias("clv_12m")
+    )

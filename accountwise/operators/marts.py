@@ -11,7 +11,7 @@ from accountwise.config import (
     CHURN_BIAS_BY_INDUSTRY, CHURN_BIAS_BY_TIER, OPEN_END, PRODUCT_CATEGORY, PRODUCT_MARGIN, SEVERE,
     UPSELL_BIAS_BY_INDUSTRY_PRODUCT, UPSELL_BIAS_BY_TIER,
 )
-from accountwise.functions.columns import blank_to, clamp01, day, lookup, rate, risk_level, zero_if_null
+from accountwise.functions.columns import blank_to, cents, clamp01, day, lookup, money, rate, risk_level, zero_if_null
 
 
 def dim_accounts(stg_accounts: DataFrame) -> DataFrame:
@@ -165,13 +165,13 @@ def mart_clv_analytics(
 ) -> DataFrame:
     """One wide row per account. Each event table is aggregated before the joins, so nothing fans out
     and a hot account is combined map-side before it is shuffled."""
-    money = F.sum("amount").cast("double")
+    spent = money(F.sum(cents(F.col("amount"))))
     # NULL account ids match no account: dropping them early saves the shuffle of one hot NULL group
     known = F.col("account_id").isNotNull()
     booked = stg_bookings.where(known).groupBy("account_id").agg(
         F.count("booking_id").alias("total_bookings"),
-        money.alias("total_booking_amount"),
-        rate(money, F.count("amount")).alias("avg_booking_amount"),
+        spent.alias("total_booking_amount"),
+        rate(spent, F.count("amount")).alias("avg_booking_amount"),
         F.count_if("is_out_of_policy").alias("out_of_policy_bookings"),
     )
     asked = stg_tickets.where(known).groupBy("account_id").agg(
@@ -180,7 +180,7 @@ def mart_clv_analytics(
         F.sum("cost_proxy").alias("total_support_cost_proxy"),
     )
     signed = stg_contracts.where(F.col("is_active") & known).groupBy("account_id").agg(
-        F.sum("contract_value").cast("double").alias("active_contract_value"),
+        money(F.sum(cents(F.col("contract_value")))).alias("active_contract_value"),
         F.count("contract_id").alias("active_contracts"),
     )
     joined = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountwise.config import PRODUCT_FLAGS, PRODUCTS, Params
-from accountwise.functions.columns import day, rate
+from accountwise.functions.columns import cents, day, money, rate
 
 RENEWAL_GAP_DAYS = 90
 
@@ -30,7 +30,7 @@ def _per_product_day(contracts: DataFrame, p: Params) -> DataFrame:
         .groupBy("account_id", "product", "start_date")
         .agg(
             F.count_if(active).alias("n_active"),
-            F.sum(F.when(active, F.col("contract_value"))).alias("active_value"),
+            F.sum(F.when(active, cents(F.col("contract_value")))).alias("active_value"),
             # same-day contracts follow each other by id: every one but the last can be renewed that day
             F.count_if(soon).alias("n_soon"),
             F.max_by("end_date", "contract_id").alias("last_end"),
@@ -79,7 +79,7 @@ def service(contracts: DataFrame, p: Params, before_cutoff_only: bool = False) -
         .agg(
             F.nullif(F.count_if((F.col("n_active") > 0) & named), F.lit(0)).alias("num_active_products"),
             (-F.sum(entropy_term) / F.lit(math.log2(len(PRODUCTS)))).alias("product_diversity_score"),
-            F.sum("active_value").cast("double").alias("active_contract_value"),
+            money(F.sum("active_value")).alias("active_contract_value"),
             F.sum(F.when(named, F.col("n_renewed"))).alias("contract_renewal_count"),
             *flags,
         )
@@ -93,7 +93,7 @@ def service_strict(accounts: DataFrame, contracts: DataFrame, p: Params) -> Data
         .groupBy("account_id")
         .agg(
             F.count(F.lit(1)).alias("num_active_products"),
-            F.sum("contract_value").cast("double").alias("active_contract_value"),
+            money(F.sum(cents(F.col("contract_value")))).alias("active_contract_value"),
             *[
                 F.max(F.when(F.col("product") == name, 1).otherwise(0)).alias(flag)
                 for name, flag in PRODUCT_FLAGS.items()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accountwise.config import SEVERE, Params
-from accountwise.functions.columns import day, rate
+from accountwise.functions.columns import cents, day, money, rate
 
 DAYS_PER_MONTH = 30.44
 
@@ -16,7 +16,7 @@ def support(tickets: DataFrame, p: Params) -> DataFrame:
     account level needs, so tickets are shuffled once."""
     created = F.col("created_date")
     severe = F.col("severity").isin(*SEVERE)
-    hours = F.col("resolution_hours")
+    hours = cents(F.col("resolution_hours"))  # hundredths of an hour
     cells = (
         tickets.where((created < day(p.cutoff)) & F.col("account_id").isNotNull())
         .groupBy("account_id", "category")
@@ -43,11 +43,11 @@ def support(tickets: DataFrame, p: Params) -> DataFrame:
     return merged.select(
         "account_id",
         F.col("n").alias("total_ticket_count"),
-        rate(F.col("hours"), F.col("timed")).alias("avg_resolution_hours"),
+        rate(money(F.col("hours")), F.col("timed")).alias("avg_resolution_hours"),
         per_month.alias("ticket_rate_per_month"),
         rate(F.col("n_severe"), F.col("n")).alias("p1_p2_escalation_ratio"),
         F.nullif(F.col("n_recent"), F.lit(0)).alias("ticket_count_90d"),
         (recent_per_month / F.greatest(per_month, F.lit(0.01))).alias("ticket_trend_ratio"),
-        rate(F.col("severe_hours"), F.col("severe_timed")).alias("avg_severe_resolution_hours"),
+        rate(money(F.col("severe_hours")), F.col("severe_timed")).alias("avg_severe_resolution_hours"),
         rate(F.col("top_category"), F.col("categorised")).alias("ticket_category_concentration"),
     )

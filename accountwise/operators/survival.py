@@ -149,35 +149,44 @@ def fit_cox(
         )
     )
     data = cut_lineage(packed.drop("_x"))
-    moments = Summarizer.metrics("sum")
-    fixed = data.groupBy("duration").agg(
-        F.sum("event").alias("d"), F.count(F.lit(1)).alias("n"),
-        moments.summary(F.col("_xx"), F.col("event").cast("double")).alias("e"),
-    ).orderBy("duration").collect()
-    times = np.array([float(r["duration"]) for r in fixed])
-    deaths = np.array([int(r["d"]) for r in fixed])
-    n = sum(r["n"] for r in fixed)
-    dead_x = sum((_second_order(r["e"]["sum"].toArray(), p)[0] for r, d in zip(fixed, deaths) if d), np.zeros(p))
+    # one row per (day, churned or not): everybody at risk is the sum of both, the tied events are one of them
+    def day_rows(weight: Column) -> list:
+        total = Summarizer.metrics("sum").summary(F.col("_xx"), F.col("_w"))
+        return data.withColumn("_w", weight).groupBy("duration", "event").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), total.getField("sum").alias("m")
+        ).collect()
+
+    width = p * (p + 3) // 2
+
+    def by_day(rows: list) -> tuple[np.ndarray, np.ndarray]:
+        everyone, dead = np.zeros((len(times), width + 1)), np.zeros((len(times), width + 1))
+        for r in rows:
+            line = np.append(r["m"].toArray(), r["w"])
+            everyone[place[r["duration"]]] += line
+            if r["event"]:
+                dead[place[r["duration"]]] += line
+        return everyone, dead
+
+    plain = day_rows(F.lit(1.0))
+    days = sorted({r["duration"] for r in plain})
+    place = {d: i for i, d in enumerate(days)}
+    times = np.array(days, dtype=float)
+    n, deaths = sum(r["n"] for r in plain), np.zeros(len(days), dtype=int)
+    for r in plain:
+        if r["event"]:
+            deaths[place[r["duration"]]] = r["n"]
+    dead_x = _second_order(by_day(plain)[1][:, :width].sum(0), p)[0]
 
     def evaluate(beta: np.ndarray):
         model = CoxModel(tuple(covariates), beta, beta, times, times, 0)
-        weighted = data.withColumn("_w", F.exp(model.log_hazard()))
-        rows = weighted.groupBy("duration").agg(
-            F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("event")).alias("dead_w"),
-            moments.summary(F.col("_xx"), F.col("_w")).alias("all"),
-            moments.summary(F.col("_xx"), F.col("_w") * F.col("event")).alias("dead"),
-        ).orderBy("duration").collect()
-        s0 = np.array([r["w"] for r in rows])[::-1].cumsum()[::-1]
-        s1, s2 = _second_order(np.array([r["all"]["sum"].toArray() for r in rows]), p)
-        s1, s2 = s1[::-1].cumsum(0)[::-1], s2[::-1].cumsum(0)[::-1]
+        everyone, dead = by_day(day_rows(F.exp(model.log_hazard())))
+        at_risk = everyone[::-1].cumsum(0)[::-1]
+        s0, (s1, s2) = at_risk[:, width], _second_order(at_risk[:, :width], p)
         loglik, grad, hess = float(dead_x @ beta), dead_x.copy(), np.zeros((p, p))
         for k in np.flatnonzero(deaths):
             d = int(deaths[k])
-            if ties == "efron":
-                d0 = float(rows[k]["dead_w"])
-                d1, d2 = _second_order(rows[k]["dead"]["sum"].toArray(), p)
-            else:
-                d0, d1, d2 = 0.0, np.zeros(p), np.zeros((p, p))
+            tied = dead[k] if ties == "efron" else np.zeros(width + 1)
+            d0, (d1, d2) = float(tied[width]), _second_order(tied[:width], p)
             f, af, ff, aff, aaff, logs = _tie_sums(s0[k], d0, d)
             loglik -= logs
             grad -= s1[k] * f - d1 * af

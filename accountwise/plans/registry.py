@@ -36,7 +36,7 @@ class Bound:
         self.spark, self.dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(binding.SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -309,7 +309,7 @@ def vs7_churn_scores(b: Bound) -> DataFrame:
 
 
 def vs6_concordance(b: Bound) -> DataFrame:
-    scores = b.predicted["churn_predictions"].select("account_id", F.col("churn_risk_score").alias("risk"))
+    scores = cut_lineage(b.predicted["churn_predictions"]).select("account_id", F.col("churn_risk_score").alias("risk"))
     return survival.concordance(b.survival.join(scores.where(F.col("risk").isNotNull()), "account_id"))
 
 
