@@ -1,237 +1,193 @@
 """Booking features per account: recency/frequency/spend windows, trends, cancellations, policy.
 
-Input of every function: bookings that already carry ``account_id`` (see staging). All windows are
-conditional aggregates of one ``groupBy``, so a feature group costs one scan and one shuffle of
-map-side combined rows; a hot account is reduced before it moves.
+Input of every function: bookings that already carry ``account_id`` (see staging).
+
+The windows are nested, so a booking is classified once, by the shortest window that contains it (its
+*band*), and counted in one cell. Cells are few per account, are combined map-side and then summed to any
+window: one scan and one heavy shuffle whatever the number of windows, and a hot account arrives as its
+cells, not as its bookings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountwise.config import Params
 from accountwise.functions.columns import cents, day, days_between, money, rate
 
-# Partial aggregates by name: (how partial results merge, the value to aggregate per booking).
-Partials = Mapping[str, tuple[str, Column]]
-MERGE = {"sum": F.sum, "max": F.max}
+RECENT_DAYS, YEAR_DAYS = 180, 365
+OLDER = 2_000_000_000  # band of everything before the longest window
+MONTH, BAND, PLACE = "month", "band", "destination"
 
 
 def history(bookings: DataFrame, p: Params) -> DataFrame:
     """Bookings strictly before the cutoff whose account is known, reduced to what the features read."""
     past = bookings.where((F.col("booking_date") < day(p.cutoff)) & F.col("account_id").isNotNull())
     return past.select(
-        "account_id", "booking_date", "travel_date", "is_cancelled", "is_out_of_policy", "destination_region",
-        cents(F.col("amount")).alias("paid"), F.trunc("booking_date", "month").alias("month"),
+        "account_id", "booking_date", "is_cancelled", "is_out_of_policy",
+        F.col("destination_region").alias(PLACE), cents(F.col("amount")).alias("paid"),
+        days_between(F.col("booking_date"), F.col("travel_date")).alias("lead"),
+        F.trunc("booking_date", "month").alias(MONTH), _band(p).alias(BAND),
     )
 
 
-def _since(p: Params, days: int) -> Column:
-    return F.col("booking_date") >= day(p.back(days))
-
-
-def _kept() -> Column:
-    return ~F.col("is_cancelled")
-
-
-def _count(condition: Column) -> tuple[str, Column]:
-    return "sum", F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+def _band(p: Params) -> Column:
+    out = None
+    for w in sorted({*p.windows, *p.rate_windows, RECENT_DAYS, YEAR_DAYS}):
+        inside = F.col("booking_date") >= day(p.back(w))
+        out = F.when(inside, F.lit(w)) if out is None else out.when(inside, F.lit(w))
+    return out.otherwise(F.lit(OLDER))
+
+
+def _cells(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    kept = ~F.col("is_cancelled")
+    return rows.groupBy("account_id", *keys).agg(
+        F.count("booking_date").alias("n"),
+        F.count_if(kept).alias("n_kept"),
+        F.sum(F.when(kept, F.col("paid"))).alias("paid"),
+        F.count_if(kept & F.col("paid").isNotNull()).alias("priced"),
+        F.max(F.when(kept, F.col("booking_date"))).alias("last_kept"),
+        F.count_if("is_out_of_policy").alias("n_oop"),
+        F.sum("lead").alias("lead_days"), F.count("lead").alias("lead_n"),
+    )
 
 
-def _total(value: Column, condition: Column) -> tuple[str, Column]:
-    return "sum", F.when(condition, value)
+def _within(w: int, column: str) -> Column:
+    return F.sum(F.when(F.col(BAND) <= w, F.col(column)))
 
 
-def _rfm_partials(p: Params) -> Partials:
-    paid = F.col("paid")
-    out = {
-        "last_kept": ("max", F.when(_kept(), F.col("booking_date"))),
-        "n_kept": _count(_kept()), "paid_kept": _total(paid, _kept()),
-    }
+def _rfm(p: Params) -> dict[str, Column]:
+    out = {}
     for w in p.windows:
-        inside = _kept() & _since(p, w)
-        out[f"n_{w}"] = _count(inside)
-        out[f"paid_{w}"] = _total(paid, inside)
-        out[f"priced_{w}"] = _count(inside & paid.isNotNull())
-    return out
+        spent = money(_within(w, "paid"))
+        out[f"booking_count_{w}d"] = F.nullif(_within(w, "n_kept"), F.lit(0))
+        out[f"total_spend_{w}d"] = spent
+        out[f"avg_booking_amount_{w}d"] = rate(spent, _within(w, "priced"))
+    return out | {
+        "days_since_last_booking": days_between(F.max("last_kept"), day(p.cutoff)),
+        "total_booking_count": F.nullif(F.sum("n_kept"), F.lit(0)),
+        "total_spend": money(F.sum("paid")),
+    }
 
 
-def _rfm_features(p: Params) -> list[Column]:
-    out = []
+def _behaviour(p: Params) -> dict[str, Column]:
+    recent = rate(money(_within(RECENT_DAYS, "paid")), _within(RECENT_DAYS, "priced"))
+    before = F.col(BAND) == YEAR_DAYS
     for w in p.windows:
-        out += [
-            F.nullif(F.col(f"n_{w}"), F.lit(0)).alias(f"booking_count_{w}d"),
-            money(F.col(f"paid_{w}")).alias(f"total_spend_{w}d"),
-            rate(money(F.col(f"paid_{w}")), F.col(f"priced_{w}")).alias(f"avg_booking_amount_{w}d"),
-        ]
-    return out + [
-        days_between(F.col("last_kept"), day(p.cutoff)).alias("days_since_last_booking"),
-        F.nullif(F.col("n_kept"), F.lit(0)).alias("total_booking_count"),
-        money(F.col("paid_kept")).alias("total_spend"),
-    ]
-
-
-def _trajectory_partials(p: Params) -> Partials:
-    paid = F.col("paid")
-    spans = {"recent": _kept() & _since(p, 180), "older": _kept() & _since(p, 365) & ~_since(p, 180)}
-    out = {}
-    for name, inside in spans.items():
-        out[f"{name}_paid"] = _total(paid, inside)
-        out[f"{name}_n"] = _count(inside & paid.isNotNull())
+        if RECENT_DAYS < w < YEAR_DAYS:
+            before = before | (F.col(BAND) == w)
+    older = rate(
+        money(F.sum(F.when(before, F.col("paid")))), F.sum(F.when(before, F.col("priced")))
+    )
+    out = {"spend_acceleration": F.coalesce(recent - older, F.lit(0.0))}
     for w in p.rate_windows:
-        out[f"all_{w}"] = _count(_since(p, w))
-        out[f"cancelled_{w}"] = _count(_since(p, w) & F.col("is_cancelled"))
+        total = _within(w, "n")
+        out[f"cancellation_rate_{w}d"] = rate(total - _within(w, "n_kept"), total)
     return out
 
 
-def _trajectory_features(p: Params) -> list[Column]:
-    mean = {s: rate(money(F.col(f"{s}_paid")), F.col(f"{s}_n")) for s in ("recent", "older")}
-    return [F.coalesce(mean["recent"] - mean["older"], F.lit(0.0)).alias("spend_acceleration")] + [
-        rate(F.col(f"cancelled_{w}"), F.col(f"all_{w}")).alias(f"cancellation_rate_{w}d") for w in p.rate_windows
-    ]
-
-
-def _policy_partials(p: Params) -> Partials:
-    lead = days_between(F.col("booking_date"), F.col("travel_date"))
-    out = {"lead_days": ("sum", lead), "lead_n": _count(lead.isNotNull())}
-    for w in p.rate_windows:
-        out[f"all_{w}"] = _count(_since(p, w))
-        out[f"oop_{w}"] = _count(_since(p, w) & F.col("is_out_of_policy"))
+def _policy(p: Params) -> dict[str, Column]:
+    rates = {w: rate(_within(w, "n_oop"), _within(w, "n")) for w in p.rate_windows}
+    out = {f"out_of_policy_rate_{w}d": r for w, r in rates.items()}
+    # NULL (later 0) when the short window is empty, not minus the long rate
+    out["oop_trend"] = rates[min(p.rate_windows)] - rates[max(p.rate_windows)]
+    out["destination_diversity"] = F.count_distinct(PLACE)
+    out["avg_lead_time_days"] = rate(F.sum("lead_days"), F.sum("lead_n"))
     return out
 
 
-def _policy_features(p: Params) -> list[Column]:
-    rates = {w: rate(F.col(f"oop_{w}"), F.col(f"all_{w}")) for w in p.rate_windows}
-    short, long = min(p.rate_windows), max(p.rate_windows)
-    return [rates[w].alias(f"out_of_policy_rate_{w}d") for w in p.rate_windows] + [
-        # NULL (later 0) when the short window is empty, not minus the long rate
-        (rates[short] - rates[long]).alias("oop_trend"),
-        F.col("destination_diversity"),
-        rate(F.col("lead_days"), F.col("lead_n")).alias("avg_lead_time_days"),
-    ]
-
-
-def _aggregate(parts: Partials) -> list[Column]:
-    return [MERGE[how](value).alias(name) for name, (how, value) in parts.items()]
-
-
-def _merge(parts: Partials) -> list[Column]:
-    return [MERGE[how](name).alias(name) for name, (how, _) in parts.items()]
-
-
-def rfm(bookings: DataFrame, p: Params) -> DataFrame:
-    parts = _rfm_partials(p)
-    kept = history(bookings, p).where(_kept())
-    return kept.groupBy("account_id").agg(*_aggregate(parts)).select("account_id", *_rfm_features(p))
-
-
-def slope(n: Column, sum_xy: Column, sum_y: Column) -> Column:
-    """Least-squares slope of y over x = 0..n-1; 0 below three points."""
-    mean_x = (n - 1) / F.lit(2.0)
-    spread = n.cast("double") * (n * n - 1) / F.lit(12.0)
-    return F.when(n >= 3, F.try_divide(sum_xy - mean_x * sum_y, spread)).otherwise(F.lit(0.0))
+def _trends() -> dict[str, Column]:
+    kept = F.col("month_kept") > 0
+    paid = F.when(kept, F.coalesce("paid", F.lit(0)))
+    return {
+        "booking_volume_trend": slope(F.max("x_all") + 1, F.sum(F.col("x_all") * F.col("n")), F.sum("n")),
+        "spend_trend": slope(
+            F.max(F.when(kept, F.col("x_kept"))) + 1, money(F.sum(F.col("x_kept") * paid)), money(F.sum(paid))
+        ),
+    }
 
 
-MONTH_PARTIALS = ("m_all", "m_kept", "m_paid")
+def slope(points: Column, sum_xy: Column, sum_y: Column) -> Column:
+    """Least-squares slope of y over x = 0..points-1; 0 below three points, NULL without any."""
+    n = points.cast("double")
+    top = sum_xy - (n - 1) / 2.0 * sum_y
+    return F.when(n >= 3, top / (n * (n * n - 1) / 12.0)).when(n.isNotNull(), F.lit(0.0))
 
 
-def _month_partials() -> Partials:
-    return {
-        "m_all": ("sum", F.lit(1).cast("bigint")), "m_kept": _count(_kept()), "m_paid": _total(F.col("paid"), _kept()),
-    }
+def _with_month_positions(cells: DataFrame) -> DataFrame:
+    """Dense index over the months present, and over those with a kept booking.
 
-
-def _with_month_positions(rows: DataFrame) -> DataFrame:
-    """Dense index over the months present, and over those with a kept booking. Rows without a month
-    (destinations) sort last. A window partition is one account's months: bounded by the calendar."""
-    w = Window.partitionBy("account_id").orderBy(F.col("month").asc_nulls_last())
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.select(
-        "*", (F.row_number().over(w) - 1).alias("x_all"),
-        (F.sum(F.when(F.col("m_kept") > 0, 1).otherwise(0)).over(running) - 1).alias("x_kept"),
+    A window partition holds one account's cells: bounded by the calendar. Rows without a month (places)
+    come last and carry no counts.
+    """
+    account = Window.partitionBy("account_id")
+    month = F.col(MONTH)
+    kept = F.sum("n_kept").over(Window.partitionBy("account_id", MONTH))
+    placed = cells.withColumn("month_kept", F.when(month.isNotNull(), kept))
+    x_all = F.dense_rank().over(account.orderBy(month.asc_nulls_last())) - 1
+    x_kept = F.dense_rank().over(
+        account.orderBy(F.when(F.col("month_kept") > 0, month).asc_nulls_last())
+    ) - 1
+    return placed.select(
+        "*", F.when(month.isNotNull(), x_all).alias("x_all"), F.when(F.col("month_kept") > 0, x_kept).alias("x_kept")
     )
 
 
-def _trend_aggregates() -> list[Column]:
-    kept = F.col("m_kept") > 0
-    paid = F.coalesce("m_paid", F.lit(0))
-    return [
-        F.count("month").alias("t_n"),
-        F.sum(F.col("x_all") * F.col("m_all")).alias("t_xy"), F.sum("m_all").alias("t_y"),
-        F.count_if(kept).alias("s_n"),
-        F.sum(F.when(kept, F.col("x_kept") * paid)).alias("s_xy"), F.sum(F.when(kept, paid)).alias("s_y"),
-    ]
+def _per_account(cells: DataFrame, features: dict[str, Column]) -> DataFrame:
+    return cells.groupBy("account_id").agg(*[c.alias(name) for name, c in features.items()])
 
 
-def _trend_features() -> list[Column]:
-    spend = slope(F.col("s_n"), money(F.col("s_xy")), money(F.col("s_y")))
-    return [
-        slope(F.col("t_n"), F.col("t_xy"), F.col("t_y")).alias("booking_volume_trend"),
-        F.when(F.col("s_n") > 0, spend).alias("spend_trend"),
-    ]
+def rfm(bookings: DataFrame, p: Params) -> DataFrame:
+    kept = history(bookings, p).where(~F.col("is_cancelled"))
+    return _per_account(_cells(kept, (BAND,)), _rfm(p))
 
 
 def trajectory(bookings: DataFrame, p: Params) -> DataFrame:
-    """Trends, spend acceleration and cancellation rates, from month totals of one shuffle."""
-    parts = _trajectory_partials(p)
-    months = history(bookings, p).groupBy("account_id", "month").agg(*_aggregate({**_month_partials(), **parts}))
-    return (
-        _with_month_positions(months).groupBy("account_id").agg(*_trend_aggregates(), *_merge(parts))
-        .select("account_id", *_trend_features(), *_trajectory_features(p))
-    )
+    """Trends, spend acceleration and cancellation rates."""
+    cells = _cells(history(bookings, p), (MONTH, BAND))
+    return _per_account(_with_month_positions(cells), _trends() | _behaviour(p))
 
 
 def policy(bookings: DataFrame, p: Params) -> DataFrame:
-    return (
-        history(bookings, p).groupBy("account_id")
-        .agg(
-            *_aggregate(_policy_partials(p)), F.count_distinct("destination_region").alias("destination_diversity")
-        )
-        .select("account_id", *_policy_features(p))
-    )
+    return _per_account(_cells(history(bookings, p), (BAND, PLACE)), _policy(p))
 
 
 def booking_features(bookings: DataFrame, p: Params) -> DataFrame:
     """All three families from ONE scan and ONE join to travelers.
 
-    Every booking is counted once in its (account, destination) cell, which carries the account totals, and
-    once in its (account, month) cell, which carries the trend. Both are combined map-side, so the first
-    shuffle moves cells, not bookings; the second, by account, serves the month index and the final sums.
+    Each booking feeds its (month, band) cell, which carries the counts, and an empty cell that only marks
+    its destination. The second shuffle, by account, moves cells and serves the month index, the final
+    sums and the joins of the assembly.
     """
-    parts = {**_rfm_partials(p), **_trajectory_partials(p), **_policy_partials(p)}
-    by_month = F.col("cell") == 0
-    twice = history(bookings, p).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("cell"))
-    split = {n: (how, F.when(by_month, v)) for n, (how, v) in _month_partials().items()} | {
-        n: (how, F.when(~by_month, v)) for n, (how, v) in parts.items()
-    }
-    cells = twice.groupBy(
-        "account_id", "cell", F.when(by_month, F.col("month")).alias("month"),
-        F.when(~by_month, F.col("destination_region")).alias("destination"),
-    ).agg(*_aggregate(split))
-    return (
-        _with_month_positions(cells).groupBy("account_id")
-        .agg(*_trend_aggregates(), *_merge(parts), F.count("destination").alias("destination_diversity"))
-        .select(
-            "account_id", *_rfm_features(p), *_trend_features(), *_trajectory_features(p), *_policy_features(p)
-        )
+    marks = F.explode(F.array(F.lit(False), F.lit(True))).alias("mark")
+    rows = history(bookings, p).select("*", marks)
+    counted = ("booking_date", "is_cancelled", "is_out_of_policy", "paid", "lead", MONTH, BAND)
+    rows = rows.select(
+        "account_id", *[F.when(~F.col("mark"), F.col(c)).alias(c) for c in counted],
+        F.when(F.col("mark"), F.col(PLACE)).alias(PLACE),
     )
+    cells = _cells(rows, (MONTH, BAND, PLACE)).repartition("account_id")
+    features = _rfm(p) | _trends() | _behaviour(p) | _policy(p)
+    # every destination is one marked cell by now: a plain count is the distinct count
+    features["destination_diversity"] = F.count(PLACE)
+    return _per_account(_with_month_positions(cells), features)
 
 
 def rfm_with_cancelled(accounts: DataFrame, bookings: DataFrame, p: Params) -> DataFrame:
     """Variant that keeps cancelled bookings and reports average order values (0 without bookings)."""
-    paid = F.col("paid")
-    aggs = [
-        F.count(F.lit(1)).alias("total_booking_count"), money(F.sum(paid)).alias("total_spend"),
-        days_between(F.max("booking_date"), day(p.cutoff)).alias("days_since_last_booking"),
-    ]
+    rows = history(bookings, p).groupBy("account_id", BAND).agg(
+        F.count("booking_date").alias("n"), F.sum("paid").alias("paid"), F.max("booking_date").alias("last")
+    )
+    features = {
+        "total_booking_count": F.sum("n"), "total_spend": money(F.sum("paid")),
+        "days_since_last_booking": days_between(F.max("last"), day(p.cutoff)),
+    }
     for w in p.windows:
-        spent, made = money(F.sum(F.when(_since(p, w), paid))), F.count_if(_since(p, w))
-        aggs += [
-            made.alias(f"booking_count_{w}d"), spent.alias(f"total_spend_{w}d"), rate(spent, made).alias(f"aov_{w}d"),
-        ]
-    per_account = history(bookings, p).groupBy("account_id").agg(*aggs)
-    names = [c for c in per_account.columns if c != "account_id"]
-    return accounts.select("account_id").join(per_account, "account_id", "left").na.fill(0, names)
+        spent = money(_within(w, "paid"))
+        features[f"booking_count_{w}d"] = _within(w, "n")
+        features[f"total_spend_{w}d"] = spent
+        features[f"aov_{w}d"] = rate(spent, _within(w, "n"))
+    return accounts.select("account_id").join(_per_account(rows, features), "account_id", "left").na.fill(
+        0, list(features)
+    )
