@@ -8,7 +8,7 @@ from math import erfc, exp, log2, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -108,17 +108,40 @@ class CoxModel:
         return float(np.interp(t, np.append(0.0, self.times), np.append(0.0, self.cumulative_hazard)))
 
 
-def _second_order(packed: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
-    """Split degree-2 expansions [x1, x1x1, x2, x1x2, x2x2, ...] into first and second moments."""
-    first = np.empty(packed.shape[:-1] + (p,))
-    second = np.empty(packed.shape[:-1] + (p, p))
-    at = 0
-    for j in range(p):
-        first[..., j] = packed[..., at]
-        for i in range(j + 1):
-            second[..., i, j] = second[..., j, i] = packed[..., at + 1 + i]
-        at += j + 2
-    return first, second
+def _moments(packed: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weight, first and second moments from rows of [w, wx (p), wxx (p*p)]."""
+    return packed[..., 0], packed[..., 1:p + 1], packed[..., p + 1:].reshape(packed.shape[:-1] + (p, p))
+
+
+def _day_moments(frame: DataFrame, covariates: Sequence[str], beta: np.ndarray) -> DataFrame:
+    """One row per (duration, event): the account count and the weighted moments with w = exp(beta x).
+
+    Every task folds its Arrow batches into one row per day it has seen, so what is shuffled is bounded by
+    tasks x calendar days, never by accounts, and the wide products exist for one batch at a time.
+    """
+    names, p = list(covariates), len(covariates)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            x = batch[names].to_numpy(dtype=float)
+            w = np.exp(x @ beta)
+            wx = x * w[:, None]
+            wide = np.hstack([np.ones((len(x), 1)), w[:, None], wx, np.einsum("ni,nj->nij", wx, x).reshape(len(x), p * p)])
+            key = batch["duration"].to_numpy(dtype=np.int64) * 2 + batch["event"].to_numpy(dtype=np.int64)
+            order = np.argsort(key, kind="stable")
+            days, starts = np.unique(key[order], return_index=True)
+            for day, total in zip(days, np.add.reduceat(wide[order], starts, axis=0) if len(x) else ()):
+                at = (int(day) // 2, int(day) % 2)
+                seen[at] = seen[at] + total if at in seen else total
+        if seen:
+            yield pd.DataFrame({
+                "duration": [k[0] for k in seen], "event": [k[1] for k in seen], "m": [v.tolist() for v in seen.values()]
+            })
+
+    parts = frame.select("duration", "event", *names).mapInPandas(fold, "duration bigint, event int, m array<double>")
+    merged = Summarizer.metrics("sum").summary(array_to_vector("m")).getField("sum")
+    return parts.groupBy("duration", "event").agg(vector_to_array(merged).alias("m"))
 
 
 def _tie_sums(s0: float, d0: float, d: int, chunk: int = 1_000_000) -> np.ndarray:
@@ -138,56 +161,40 @@ def fit_cox(
 ) -> CoxModel:
     """Proportional hazards with an L2 penalty of n * penalty / 2 * |beta|^2.
 
-    One Newton step is one Spark aggregate: weighted first and second moments per duration, combined
-    map-side. What reaches the driver is one row per distinct day, not per account; suffix sums and a
-    p x p solve happen there.
+    One Newton step is one Spark aggregate of weighted moments per duration. What reaches the driver is one
+    row per distinct day, not per account; suffix sums and a p x p solve happen there.
     """
     p = len(covariates)
-    packed = PolynomialExpansion(degree=2, inputCol="_x", outputCol="_xx").transform(
-        VectorAssembler(inputCols=list(covariates), outputCol="_x").transform(
-            frame.select("duration", "event", *covariates)
-        )
-    )
-    data = cut_lineage(packed.drop("_x"))
-    # one row per (day, churned or not): everybody at risk is the sum of both, the tied events are one of them
-    def day_rows(weight: Column) -> list:
-        total = Summarizer.metrics("sum").summary(F.col("_xx"), F.col("_w"))
-        return data.withColumn("_w", weight).groupBy("duration", "event").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), total.getField("sum").alias("m")
-        ).collect()
-
-    width = p * (p + 3) // 2
-
-    def by_day(rows: list) -> tuple[np.ndarray, np.ndarray]:
-        everyone, dead = np.zeros((len(times), width + 1)), np.zeros((len(times), width + 1))
+    data = cut_lineage(frame.select("duration", "event", *covariates))
+    width = 1 + p + p * p
+
+    def by_day(beta: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, int]:
+        """Days, deaths per day, the moments of everybody and of the tied events per day, and the accounts."""
+        rows = _day_moments(data, covariates, beta).collect()
+        days = sorted({r["duration"] for r in rows})
+        place = {d: i for i, d in enumerate(days)}
+        counts, deaths = 0, np.zeros(len(days), dtype=int)
+        everyone, dead = np.zeros((len(days), width)), np.zeros((len(days), width))
         for r in rows:
-            line = np.append(r["m"].toArray(), r["w"])
-            everyone[place[r["duration"]]] += line
+            at, line = place[r["duration"]], np.array(r["m"])
+            everyone[at] += line[1:]
+            counts += int(line[0])
             if r["event"]:
-                dead[place[r["duration"]]] += line
-        return everyone, dead
+                deaths[at], dead[at] = int(line[0]), line[1:]
+        return days, deaths, everyone, dead, counts
 
-    plain = day_rows(F.lit(1.0))
-    days = sorted({r["duration"] for r in plain})
-    place = {d: i for i, d in enumerate(days)}
+    days, deaths, _, dead, n = by_day(np.zeros(p))
     times = np.array(days, dtype=float)
-    n, deaths = sum(r["n"] for r in plain), np.zeros(len(days), dtype=int)
-    for r in plain:
-        if r["event"]:
-            deaths[place[r["duration"]]] = r["n"]
-    dead_x = _second_order(by_day(plain)[1][:, :width].sum(0), p)[0]
+    dead_x = _moments(dead.sum(0), p)[1].copy()
 
     def evaluate(beta: np.ndarray):
-        model = CoxModel(tuple(covariates), beta, beta, times, times, 0)
-        everyone, dead = by_day(day_rows(F.exp(model.log_hazard())))
-        at_risk = everyone[::-1].cumsum(0)[::-1]
-        s0, (s1, s2) = at_risk[:, width], _second_order(at_risk[:, :width], p)
+        _, _, everyone, dead, _ = by_day(beta)
+        s0, s1, s2 = _moments(everyone[::-1].cumsum(0)[::-1], p)
         loglik, grad, hess = float(dead_x @ beta), dead_x.copy(), np.zeros((p, p))
         for k in np.flatnonzero(deaths):
             d = int(deaths[k])
-            tied = dead[k] if ties == "efron" else np.zeros(width + 1)
-            d0, (d1, d2) = float(tied[width]), _second_order(tied[:width], p)
-            f, af, ff, aff, aaff, logs = _tie_sums(s0[k], d0, d)
+            d0, d1, d2 = _moments(dead[k] if ties == "efron" else np.zeros(width), p)
+            f, af, ff, aff, aaff, logs = _tie_sums(float(s0[k]), float(d0), d)
             loglik -= logs
             grad -= s1[k] * f - d1 * af
             cross = np.outer(s1[k], d1)

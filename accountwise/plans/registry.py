@@ -29,6 +29,11 @@ from accountwise.streaming import activity
 AS_OF = PARAMS.as_of
 
 
+# Written layers by (application, data set, name): the feature matrix and the predictions are tables that
+# many jobs read, so they are computed once per application and kept in the shared folder.
+_WRITTEN: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+
+
 class Bound:
     """The bound tables and everything derived from them, each built once per query and lazily."""
 
@@ -52,16 +57,37 @@ class Bound:
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
-        return staging.stage_all(self.predicted, AS_OF)
+        return staging.stage_all(self.tables, AS_OF)
+
+    @cached_property
+    def staged_churn(self) -> DataFrame:
+        return staging.stg_churn_predictions(self.stored("churn_predictions"), AS_OF)
+
+    @cached_property
+    def staged_recommendations(self) -> DataFrame:
+        return staging.stg_cross_sell_recommendations(self.stored("recommendations"), AS_OF)
 
     @cached_property
     def features(self) -> DataFrame:
         return assemble.account_features(self.owned, PARAMS, FEATURE_TS)
 
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _WRITTEN:
+            path, df = run_dir(self.spark, name), build()
+            df.write.parquet(path)
+            _WRITTEN[key] = (path, df.schema)
+        path, schema = _WRITTEN[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     @cached_property
     def stored_features(self) -> DataFrame:
-        """The matrix cut from its lineage, for jobs that read it many times."""
-        return cut_lineage(self.features)
+        """The matrix as a table, for the jobs that read it."""
+        return self.written("account_features", lambda: self.features)
+
+    def stored(self, name: str) -> DataFrame:
+        """A prediction table."""
+        return self.written(name, lambda: self.predicted[name])
 
     @cached_property
     def dim_accounts(self) -> DataFrame:
@@ -70,7 +96,7 @@ class Bound:
     @cached_property
     def churn(self) -> DataFrame:
         s = self.staged
-        return marts.fact_ml_churn(s["churn_predictions"], self.dim_accounts, s["contracts"], s["tickets"])
+        return marts.fact_ml_churn(self.staged_churn, self.dim_accounts, s["contracts"], s["tickets"])
 
     @cached_property
     def earlier_churn(self) -> DataFrame:
@@ -84,11 +110,11 @@ class Bound:
     @cached_property
     def cross_sell(self) -> DataFrame:
         s = self.staged
-        return marts.fact_ml_cross_sell(s["recommendations"], self.dim_accounts, s["contracts"])
+        return marts.fact_ml_cross_sell(self.staged_recommendations, self.dim_accounts, s["contracts"])
 
     @cached_property
     def products(self) -> DataFrame:
-        return marts.dim_products(self.staged["contracts"], self.staged["recommendations"])
+        return marts.dim_products(self.staged["contracts"], self.staged_recommendations)
 
     @cached_property
     def fact_bookings(self) -> DataFrame:
@@ -113,13 +139,13 @@ class Bound:
     @cached_property
     def master(self) -> DataFrame:
         return lookups.master_table(
-            self.stored_features, self.segments, self.predicted["churn_predictions"], self.predicted["recommendations"]
+            self.stored_features, self.segments, self.stored("churn_predictions"), self.stored("recommendations")
         )
 
     @cached_property
     def profile(self) -> DataFrame:
         return lookups.account_profile(
-            self.stored_features, self.predicted["churn_predictions"], self.segments, self.predicted["probabilities"]
+            self.stored_features, self.stored("churn_predictions"), self.segments, self.stored("probabilities")
         )
 
     @cached_property
@@ -309,7 +335,7 @@ def vs7_churn_scores(b: Bound) -> DataFrame:
 
 
 def vs6_concordance(b: Bound) -> DataFrame:
-    scores = cut_lineage(b.predicted["churn_predictions"]).select("account_id", F.col("churn_risk_score").alias("risk"))
+    scores = b.stored("churn_predictions").select("account_id", F.col("churn_risk_score").alias("risk"))
     return survival.concordance(b.survival.join(scores.where(F.col("risk").isNotNull()), "account_id"))
 
 
@@ -338,7 +364,7 @@ def x2_classifiers(b: Bound) -> DataFrame:
 
 
 def x6_probability_matrix(b: Bound) -> DataFrame:
-    long = cross_sell.long_scores(b.predicted["probabilities"]).withColumnRenamed("label", "is_current")
+    long = cross_sell.long_scores(b.stored("probabilities")).withColumnRenamed("label", "is_current")
     return cross_sell.matrix_from_long(long)
 
 
@@ -406,8 +432,8 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "p3_stg_service_contracts": lambda b: b.staged["contracts"],
     "p4_stg_support_tickets": lambda b: b.staged["tickets"],
     "p5_stg_traveler_profiles": lambda b: b.staged["travelers"],
-    "p6_stg_churn_predictions": lambda b: b.staged["churn_predictions"],
-    "p7_stg_cross_sell_recommendations": lambda b: b.staged["recommendations"],
+    "p6_stg_churn_predictions": lambda b: b.staged_churn,
+    "p7_stg_cross_sell_recommendations": lambda b: b.staged_recommendations,
     "m1_dim_accounts": lambda b: b.dim_accounts,
     "m2_dim_products": lambda b: b.products,
     "m3_dim_date": lambda b: marts.dim_date(b.spark),
@@ -450,8 +476,8 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "vs5_cox": vs5_cox,
     "vs6_concordance": lambda b: rounded(vs6_concordance(b), 8),
     "vs7_churn_scores": vs7_churn_scores,
-    "vs8_risk_summary": lambda b: rounded(survival.risk_summary(b.predicted["churn_predictions"]), 8),
-    "vs8_risk_histogram": lambda b: survival.risk_histogram(b.predicted["churn_predictions"]),
+    "vs8_risk_summary": lambda b: rounded(survival.risk_summary(b.stored("churn_predictions")), 8),
+    "vs8_risk_histogram": lambda b: survival.risk_histogram(b.stored("churn_predictions")),
     "g1_segmentation_frame": lambda b: rounded(b.segment_frame, 5),
     "g2_principal_map": lambda b: segments.principal_map(b.segment_frame),
     "g3_density_clusters": _density,
@@ -464,14 +490,14 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
         b.segments.select("account_id", "segment"), "account_id")),
     "x1_adoption_rates": lambda b: cross_sell.adoption_rates(cross_sell.adoption_frame(b.stored_features)),
     "x2_classifiers": x2_classifiers,
-    "x3_ranking_metrics": lambda b: cross_sell.ranking_metrics(cross_sell.long_scores(b.predicted["probabilities"])),
+    "x3_ranking_metrics": lambda b: cross_sell.ranking_metrics(cross_sell.long_scores(b.stored("probabilities"))),
     "x4_precision_recall_curve": lambda b: rounded(
-        cross_sell.precision_recall_curve(cross_sell.long_scores(b.predicted["probabilities"])), 8),
+        cross_sell.precision_recall_curve(cross_sell.long_scores(b.stored("probabilities"))), 8),
     "x5_recommendations": lambda b: b.predicted["recommendations"],
     "x6_probability_matrix": x6_probability_matrix,
-    "x7_recommendation_distribution": lambda b: cross_sell.recommendation_distribution(b.predicted["recommendations"]),
-    "v1_churn_lookup": lambda b: lookups.churn_lookup(b.predicted["churn_predictions"]),
-    "v2_cross_sell_lookup": lambda b: lookups.cross_sell_lookup(b.predicted["probabilities"]),
+    "x7_recommendation_distribution": lambda b: cross_sell.recommendation_distribution(b.stored("recommendations")),
+    "v1_churn_lookup": lambda b: lookups.churn_lookup(b.stored("churn_predictions")),
+    "v2_cross_sell_lookup": lambda b: lookups.cross_sell_lookup(b.stored("probabilities")),
     "v3_account_page": lambda b: lookups.account_page(b.stored_features, b.segments, tier="Gold", offset=20),
     "v4_account_profile": lambda b: b.profile.select("*", "key_metrics.*").drop("key_metrics"),
     "v5_segment_overview": lambda b: lookups.segment_overview(b.stored_features, b.segments),
@@ -483,7 +509,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "v11_product_penetration": lambda b: rounded(lookups.product_penetration(b.features)),
     "v12_explorer": lambda b: lookups.explorer(b.master, ("Platinum", "Gold"), (), "1"),
     "v13_segment_breakdown": lambda b: lookups.segment_breakdown(b.master),
-    "v14_propensity_matrix": lambda b: lookups.propensity_matrix(b.master, b.predicted["probabilities"]),
+    "v14_propensity_matrix": lambda b: lookups.propensity_matrix(b.master, b.stored("probabilities")),
     "v15_top_recommendation_by_segment": lambda b: rounded(lookups.top_recommendation_by_segment(b.master), 8),
     "v16_outreach_context": lambda b: lookups.outreach_context(b.profile),
     "b1_total_active_arr": lambda b: bi.total_active_arr(b.fact_contracts),
@@ -525,7 +551,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "t4_winsorised_amounts": lambda b: rounded(guards.winsorise(b.tables["bookings"].select(
         "booking_id", "traveler_id", "booking_date", "amount"), "amount"), 4),
     "t5_score_drift": lambda b: rounded(guards.score_drift(
-        b.predicted["churn_predictions"], b.churn, "churn_risk_score"), 8),
+        b.stored("churn_predictions"), b.churn, "churn_risk_score"), 8),
 }
 
 
