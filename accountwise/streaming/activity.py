@@ -33,16 +33,18 @@ def activity_sessions(events: DataFrame, lateness: str = "2 days", gap: str = "1
     )
 
 
-def first_alerts(snapshots: DataFrame, quiet: str = "7 days") -> DataFrame:
-    """The first High alert of an account; repeats within the quiet time are dropped.
+def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """One High alert per account and week, however often the account is scored.
 
-    ``snapshots`` carry ``scored_at``. The state holds one key per account and expires with the watermark.
+    ``snapshots`` carry ``scored_at``. The week is part of the key, so an account is reported again in the
+    next week, and the watermark removes the keys of past weeks from the state.
     """
     return (
         snapshots.where(F.col("risk_level") == "High")
-        .withWatermark("scored_at", quiet)
-        .dropDuplicatesWithinWatermark(["account_id"])
-        .select("account_id", "scored_at", "churn_risk_score")
+        .withWatermark("scored_at", lateness)
+        .select("account_id", F.window("scored_at", "7 days").alias("week"), "scored_at", "churn_risk_score")
+        .dropDuplicates(["account_id", "week"])
+        .select("account_id", F.col("week.start").alias("week_start"), "scored_at", "churn_risk_score")
     )
 
 
