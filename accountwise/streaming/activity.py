@@ -39,10 +39,12 @@ def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
     ``snapshots`` carry ``scored_at``. The week is part of the key, so an account is reported again in the
     next week, and the watermark removes the keys of past weeks from the state.
     """
+    # a plain copy of the time: the week must be the only event-time column
+    time = F.timestamp_micros(F.unix_micros("scored_at")).alias("scored_at")
     return (
         snapshots.where(F.col("risk_level") == "High")
         .withWatermark("scored_at", lateness)
-        .select("account_id", F.window("scored_at", "7 days").alias("week"), "scored_at", "churn_risk_score")
+        .select("account_id", F.window("scored_at", "7 days").alias("week"), time, "churn_risk_score")
         .dropDuplicates(["account_id", "week"])
         .select("account_id", F.col("week.start").alias("week_start"), "scored_at", "churn_risk_score")
     )
