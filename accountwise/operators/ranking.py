@@ -38,32 +38,35 @@ def running_totals(
     otherwise they are sketched. The ranges depend on the value only, so a recomputed task agrees.
     """
     cuts = value_cuts(counted, order) if cuts is None else sorted(set(cuts))
-    keys = list(keys)
+    # one struct as the group key: equal to itself also where a key is NULL, and the same expression in the
+    # window and in the join, so that the join reuses the partitioning of the window
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    keyed = counted.withColumn("_group", group)
     if cuts:
         ranged = Bucketizer(
             splits=[float("-inf"), *cuts, float("inf")], inputCol="_order", outputCol="_range"
-        ).transform(counted.withColumn("_order", F.col(order).cast("double"))).drop("_order")
+        ).transform(keyed.withColumn("_order", F.col(order).cast("double"))).drop("_order")
+        ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     else:
-        ranged = counted.withColumn("_range", F.lit(0.0))
+        ranged = keyed.withColumn("_range", F.lit(0))
     direction = (lambda c: c.desc()) if descending else (lambda c: c.asc())
-    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
+    totals = ranged.groupBy("_group", "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     # at most one row per range and group from here on
-    span = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    span = Window.partitionBy("_group")
     before = span.orderBy(direction(F.col("_range"))).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_r"),
+        F.col("_group").alias("_g"), F.col("_range").alias("_r"),
         *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
         *[F.sum(f"_sum_{m}").over(span).alias(f"total_{m}") for m in measures],
     )
+    if not keys:
+        offsets = F.broadcast(offsets)  # at most MAX_RANGES + 1 rows
     inside = (
-        Window.partitionBy(*keys, "_range").orderBy(direction(F.col(order)))
+        Window.partitionBy("_group", "_range").orderBy(direction(F.col(order)))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     local = ranged.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
-    match = F.col("_range") == F.col("_r")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return local.join(offsets, match, "inner").select(
+    return local.join(offsets, (F.col("_group") == F.col("_g")) & (F.col("_range") == F.col("_r")), "inner").select(
         *counted.columns,
         *[(F.col(f"_before_{m}") + F.col(f"_in_{m}")).alias(f"cum_{m}") for m in measures],
         *[f"total_{m}" for m in measures],
