@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,17 +53,28 @@ def write_predictions(frames: Mapping[str, DataFrame], folder: str) -> dict[str,
 
 
 def load_raw_layer(spark: SparkSession, files: Mapping[str, str], folder: str) -> DataFrame:
-    """Truncate-and-load every CSV into the raw layer and its quarantine; returns one count row per table."""
+    """Truncate-and-load every CSV into the raw layer and its quarantine; returns one count row per table.
+
+    A file that does not exist is skipped and has no row.
+    """
     summary = None
     for name, path in files.items():
-        load: BulkLoad = bulk_load_raw(spark, path, schema_of(RAW[name]))
-        load.good.write.mode("overwrite").parquet(f"{folder}/raw/{name}")
-        load.rejected.write.mode("overwrite").parquet(f"{folder}/quarantine/{name}")
-        stored = spark.read.parquet(f"{folder}/raw/{name}").agg(F.count(F.lit(1))).scalar()
+        try:
+            load: BulkLoad = bulk_load_raw(spark, path, schema_of(RAW[name]))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        target = f"{folder}/raw/{name}.parquet"
+        load.good.write.mode("overwrite").parquet(target)
+        load.rejected.write.mode("overwrite").parquet(f"{folder}/quarantine/{name}.parquet")
+        stored = spark.read.parquet(target).agg(F.count(F.lit(1))).scalar()
         row = load.counts.select(
             F.lit(name).alias("table_name"), "loaded", "rejected", (F.col("loaded") == stored).alias("verified")
         )
         summary = row if summary is None else summary.unionByName(row)
+    if summary is None:
+        raise FileNotFoundError(f"none of {sorted(files.values())} exists")
     return summary
 
 

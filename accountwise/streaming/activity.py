@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from accountwise.session import run_dir
 
+LOCAL_MERGE = ("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+
 
 def windowed_activity(
     events: DataFrame, lateness: str = "2 days", width: str = "7 days", slide: str = "1 day"
@@ -23,7 +25,10 @@ def windowed_activity(
 
 
 def activity_sessions(events: DataFrame, lateness: str = "2 days", gap: str = "12 hours") -> DataFrame:
-    """Sessions per account: events less than ``gap`` apart belong together."""
+    """Sessions per account: events less than ``gap`` apart belong together.
+
+    Run it under ``LOCAL_MERGE`` (``drain`` does), so that a task shuffles sessions instead of events.
+    """
     return (
         events.withWatermark("ts", lateness)
         .groupBy(F.session_window("ts", gap), "account_id")
@@ -53,6 +58,7 @@ def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
 def drain(spark: SparkSession, stream: DataFrame, label: str, timeout: int = 600) -> DataFrame:
     """Process everything available, then stop. Output and checkpoint live in the shared folder."""
     base = run_dir(spark, label)
+    spark.conf.set(*LOCAL_MERGE)
     query = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
