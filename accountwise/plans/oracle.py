@@ -260,9 +260,12 @@ FROM features f LEFT JOIN segs USING (account_id) LEFT JOIN churn_pred c USING (
 LEFT JOIN recs USING (account_id)"""),
     ("arr", "SELECT account_id, sum(contract_value) AS arr FROM contracts WHERE is_active GROUP BY 1"),
     ("fb", "SELECT *, coalesce(amount, 0) AS transaction_amount FROM sb"),
-    ("surv", "SELECT account_id, greatest(1, tenure_days) AS duration, is_churned::INT AS event, tier, tier_rank FROM features"),
+    ("surv", "SELECT account_id, greatest(1, tenure_days) AS duration, coalesce(is_churned::INT, 0) AS event, tier, tier_rank FROM features"),
 ]
-_PREFIX = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _CTES)
+_CTES.append(("risk_times", "SELECT duration, event, s FROM surv JOIN quiet USING (account_id) WHERE s IS NOT NULL"))
+_PREFIX = "WITH " + ",\n".join(
+    f"{name} AS {'MATERIALIZED ' if name == 'risk_times' else ''}({sql})" for name, sql in _CTES
+)
 
 
 def statement(final: str) -> str:
@@ -320,12 +323,12 @@ SEGMENTING = ("tier_rank", "annual_contract_value", "tenure_days", "booking_coun
               "ticket_rate_per_month", "p1_p2_escalation_ratio", "out_of_policy_rate_90d", "clv_12m")
 
 
-def _kaplan(by: str, extra: str = "", where: str = "") -> str:
+def _kaplan(by: str, extra: str = "", where: str = "", digits: int = 8) -> str:
     part = f"PARTITION BY {by} " if by else ""
     cols = f"{by}, " if by else ""
     return f"""
-SELECT {cols}duration, at_risk, events, round(exp(sum(ln(greatest(1 - events / at_risk::DOUBLE, 1e-300)))
-  OVER ({part}ORDER BY duration ROWS UNBOUNDED PRECEDING)), 8) AS survival
+SELECT {cols}duration, at_risk, events, round(round(exp(sum(ln(greatest(1 - events / at_risk::DOUBLE, 1e-300)))
+  OVER ({part}ORDER BY duration ROWS UNBOUNDED PRECEDING)), 12), {digits}) AS survival
 FROM (SELECT *, sum(n) OVER ({part}ORDER BY duration ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS at_risk,
     sum(n) OVER ({part})::BIGINT AS size
   FROM (SELECT {cols}duration, count(*) AS n, sum(event)::BIGINT AS events FROM ({extra or 'SELECT * FROM surv'}) GROUP BY ALL))
@@ -501,19 +504,18 @@ SELECT p.account_id, predicted AS predicted_clv, round(100 * (SELECT count(*) FR
   / (SELECT count(*) FROM features), 1) AS clv_percentile
 FROM ({_PREDICTED}) p""",
     # survival
-    "vs1_survival_frame": _standard(COVARIATES, "greatest(1, tenure_days) AS duration, is_churned::INT AS event, tier_rank AS tier_rank_raw, "),
+    "vs1_survival_frame": _standard(COVARIATES, "greatest(1, tenure_days) AS duration, coalesce(is_churned::INT, 0) AS event, tier_rank AS tier_rank_raw, "),
     "vs2_kaplan_meier": _kaplan(""),
     "vs3_kaplan_meier_by_tier": _kaplan("tier", where="WHERE size > 10"),
     "vs3b_kaplan_meier_by_tier_third": _kaplan("tier_group", _THIRDS, "WHERE size > 10"),
     "vs4_median_survival": f"""
 SELECT tier, coalesce(min(duration) FILTER (WHERE survival <= 0.5)::DOUBLE, 'inf'::DOUBLE) AS median_survival_days
-FROM ({_kaplan("tier").replace(', 8) AS survival', ', 12) AS survival')}) GROUP BY tier""",
+FROM ({_kaplan("tier", digits=12)}) GROUP BY tier""",
     "vs6_concordance": """
 SELECT count(*) FILTER (WHERE a.s > b.s) AS concordant, count(*) FILTER (WHERE a.s < b.s) AS discordant,
   count(*) FILTER (WHERE a.s = b.s) AS tied,
   round((count(*) FILTER (WHERE a.s > b.s) + count(*) FILTER (WHERE a.s = b.s) / 2.0::DOUBLE) / count(*), 8) AS concordance_index
-FROM (SELECT * FROM surv JOIN quiet USING (account_id) WHERE s IS NOT NULL) a,
-     (SELECT * FROM surv JOIN quiet USING (account_id) WHERE s IS NOT NULL) b
+FROM risk_times a, risk_times b
 WHERE a.event = 1 AND (a.duration < b.duration OR (a.duration = b.duration AND b.event = 0))""",
     "vs8_risk_summary": "SELECT round(avg(churn_risk_score), 8) AS mean, count(*) FILTER (WHERE churn_risk_score > 0.5) AS high_risk, "
                         "count(churn_risk_score) AS accounts, round(quantile_cont(churn_risk_score, 0.5), 8) AS median FROM churn_pred",

@@ -83,7 +83,8 @@ def main() -> int:
         try:
             df = run(spark, sf_dir)
             verdict = compare(name, df, con, sqls[name]) if name in sqls else f"rows only: {len(df.collect())}"
-        except Exception as e:  # report and go on
+        except Exception as e:  # report and go on; a fatal DuckDB error spoils its connection
+            con = duck(sf_dir)
             verdict = f"ERROR {type(e).__name__}: {str(e)[:600]}"
         flag = "" if verdict.startswith(("ok", "rows only")) else "  <<<"
         bad += bool(flag)
