@@ -118,19 +118,21 @@ def slope(points: Column, sum_xy: Column, sum_y: Column) -> Column:
 def _with_month_positions(cells: DataFrame) -> DataFrame:
     """Dense index over the months present, and over those with a kept booking.
 
-    A window partition holds one account's cells: bounded by the calendar. Rows without a month (places)
-    come last and carry no counts.
+    A window partition holds one account's cells: bounded by the calendar. Cells without a month (places)
+    get no index. All windows agree on one order, (account, month, band), so the cells are sorted once.
     """
-    account = Window.partitionBy("account_id")
-    month = F.col(MONTH)
-    kept = F.sum("n_kept").over(Window.partitionBy("account_id", MONTH))
-    placed = cells.withColumn("month_kept", F.when(month.isNotNull(), kept))
-    x_all = F.dense_rank().over(account.orderBy(month.asc_nulls_last())) - 1
-    x_kept = F.dense_rank().over(
-        account.orderBy(F.when(F.col("month_kept") > 0, month).asc_nulls_last())
-    ) - 1
-    return placed.select(
-        "*", F.when(month.isNotNull(), x_all).alias("x_all"), F.when(F.col("month_kept") > 0, x_kept).alias("x_kept")
+    dated = F.col(MONTH).isNotNull()
+    month = Window.partitionBy("account_id", MONTH)
+    marked = cells.withColumn("first_of_month", dated & (F.row_number().over(month.orderBy(BAND)) == 1))
+    marked = marked.withColumn("month_kept", F.when(dated, F.sum("n_kept").over(month)))
+    sofar = Window.partitionBy("account_id").orderBy(MONTH, BAND).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    position = lambda seen: F.sum(seen.cast("int")).over(sofar) - 1
+    kept = F.coalesce(F.col("month_kept") > 0, F.lit(False))
+    return marked.select(
+        "*", F.when(dated, position(F.col("first_of_month"))).alias("x_all"),
+        F.when(kept, position(F.col("first_of_month") & kept)).alias("x_kept"),
     )
 
 

@@ -293,7 +293,7 @@ def s9_write_layers(b: Bound) -> DataFrame:
 
 
 def s10_manifest(b: Bound) -> DataFrame:
-    now = manifests.manifest(b.spark, b.dir)
+    now = cut_lineage(manifests.manifest(b.spark, b.dir))
     return manifests.verify(now, now).join(now, "path")
 
 
@@ -503,7 +503,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "v5_segment_overview": lambda b: lookups.segment_overview(b.stored_features, b.segments),
     "v6_master_table": lambda b: rounded(b.master),
     "v7_portfolio_kpis": lambda b: rounded(lookups.portfolio_kpis(b.master), 4),
-    "v8_clv_by_tier": lambda b: rounded(lookups.clv_by_tier(b.master), 4),
+    "v8_clv_by_tier": lambda b: rounded(lookups.clv_by_tier(b.stored_features), 4),
     "v9_segment_distribution": lambda b: lookups.segment_distribution(b.segments),
     "v10_revenue_at_risk": lambda b: lookups.revenue_at_risk(b.master),
     "v11_product_penetration": lambda b: rounded(lookups.product_penetration(b.features)),
