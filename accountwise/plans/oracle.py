@@ -517,6 +517,16 @@ SELECT count(*) FILTER (WHERE a.s > b.s) AS concordant, count(*) FILTER (WHERE a
   round((count(*) FILTER (WHERE a.s > b.s) + count(*) FILTER (WHERE a.s = b.s) / 2.0::DOUBLE) / count(*), 8) AS concordance_index
 FROM risk_times a, risk_times b
 WHERE a.event = 1 AND (a.duration < b.duration OR (a.duration = b.duration AND b.event = 0))""",
+    "vs7b_churn_scores_given_model": """
+SELECT account_id, round(h, 6) AS partial_hazard, round(exp(-0.006 * h), 6) AS survival_prob_30d,
+  round(exp(-0.018 * h), 6) AS survival_prob_90d, round(exp(-(0.02 + 0.08 * 80 / 300.0) * h), 6) AS survival_prob_180d,
+  round(exp(-(0.02 + 0.08 * 265 / 300.0) * h), 6) AS survival_prob_365d,
+  round(1 - exp(-(0.02 + 0.08 * 265 / 300.0) * h), 6) AS churn_risk_score,
+  round(100 * (1 + exp(-0.02 * h)) / 2 + 300 * (exp(-0.02 * h) + exp(-0.1 * h)) / 2
+    + 1100 * (exp(-0.1 * h) + exp(-0.6 * h)) / 2, 6) AS expected_lifetime_days
+FROM (SELECT account_id, exp(-0.8::DOUBLE * (tenure_days - avg(tenure_days) OVER ()) / stddev_pop(tenure_days) OVER ()
+  - 0.3::DOUBLE * (num_active_products - avg(num_active_products) OVER ()) / stddev_pop(num_active_products) OVER ()) AS h
+  FROM features)""",
     "vs8_risk_summary": "SELECT round(avg(churn_risk_score), 8) AS mean, count(*) FILTER (WHERE churn_risk_score > 0.5) AS high_risk, "
                         "count(churn_risk_score) AS accounts, round(quantile_cont(churn_risk_score, 0.5), 8) AS median FROM churn_pred",
     "vs8_risk_histogram": """

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import cached_property
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -334,6 +335,15 @@ def vs7_churn_scores(b: Bound) -> DataFrame:
     return survival.score_churn(survival.fit_cox(b.survival), b.survival)
 
 
+def vs7b_churn_scores_given_model(b: Bound) -> DataFrame:
+    """Scoring alone, with a given model, so that it can be checked exactly."""
+    given = survival.CoxModel(
+        ("tenure_days", "num_active_products"), np.array([-0.8, -0.3]), np.zeros(2),
+        np.array([100.0, 400.0, 1500.0]), np.array([0.02, 0.1, 0.6]), 0,
+    )
+    return survival.score_churn(given, b.survival)
+
+
 def vs6_concordance(b: Bound) -> DataFrame:
     scores = b.stored("churn_predictions").select("account_id", F.col("churn_risk_score").alias("risk"))
     return survival.concordance(b.survival.join(scores.where(F.col("risk").isNotNull()), "account_id"))
@@ -476,6 +486,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "vs5_cox": vs5_cox,
     "vs6_concordance": lambda b: rounded(vs6_concordance(b), 8),
     "vs7_churn_scores": vs7_churn_scores,
+    "vs7b_churn_scores_given_model": lambda b: rounded(vs7b_churn_scores_given_model(b), 6),
     "vs8_risk_summary": lambda b: rounded(survival.risk_summary(b.stored("churn_predictions")), 8),
     "vs8_risk_histogram": lambda b: survival.risk_histogram(b.stored("churn_predictions")),
     "g1_segmentation_frame": lambda b: rounded(b.segment_frame, 5),
