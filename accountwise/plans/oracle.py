@@ -341,6 +341,11 @@ FROM surv, (SELECT min(tier_rank) AS lo, max(tier_rank) AS hi FROM surv)"""
 
 _PREDICTED = "SELECT account_id, tier, clv_12m AS actual, clv_12m * (50 + account_id % 100) / 100 AS predicted FROM features"
 
+_Z = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT account_id, account_id % 5 - 1 AS cluster, '{c}' AS f, ({c} - avg({c}) OVER ()) / "
+    f"coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS v FROM features" for c in SEGMENTING
+) + ") WHERE cluster <> -1"
+
 _CURVE = """
 SELECT product, score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, pos, neg, sum(pos) OVER (PARTITION BY product) AS p,
   sum(neg) OVER (PARTITION BY product) AS n
@@ -544,6 +549,17 @@ FROM (SELECT f, count(*) AS k, sum(n) AS n, sum(s) AS s, sum(ss) AS ss, sum(s *
   FROM (SELECT cluster, f, count(*) AS n, sum(v) AS s, sum(v * v) AS ss FROM (
     {" UNION ALL ".join(f"SELECT account_id % 5 - 1 AS cluster, '{c}' AS f, ({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS v FROM features" for c in SEGMENTING)}
   ) WHERE cluster <> -1 GROUP BY 1, 2) GROUP BY f)""",
+    "g5b_silhouette": f"""
+SELECT count(DISTINCT account_id) AS accounts, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM (SELECT account_id, max(size) AS size, max(own * size / (size - 1)) AS a, min(other) AS b FROM (
+  SELECT p.account_id, CASE WHEN p.cluster = c.cluster THEN c.n END AS size,
+    CASE WHEN p.cluster = c.cluster THEN p.nx + c.spread - 2 * dot END AS own,
+    CASE WHEN p.cluster <> c.cluster THEN p.nx + c.spread - 2 * dot END AS other
+  FROM (SELECT account_id, cluster, sum(v * v) AS nx FROM ({_Z}) GROUP BY 1, 2) p
+  JOIN (SELECT z.account_id, m.cluster, sum(z.v * m.mean) AS dot FROM ({_Z}) z
+    JOIN (SELECT cluster, f, avg(v) AS mean FROM ({_Z}) GROUP BY 1, 2) m USING (f) GROUP BY 1, 2) d ON d.account_id = p.account_id
+  JOIN (SELECT cluster, count(DISTINCT account_id) AS n, sum(v * v) / count(DISTINCT account_id) AS spread FROM ({_Z}) GROUP BY 1) c
+    ON c.cluster = d.cluster) GROUP BY 1)""",
     "g6_cluster_profiles": "SELECT * FROM profiles",
     "g7_cluster_labels": "SELECT cluster, round(clv_rank, 6) AS clv_rank, segment FROM cluster_labels",
     "g8_segment_summary": "SELECT segment, count(*) AS accounts, round(avg(clv_12m), 2) AS avg_clv, "

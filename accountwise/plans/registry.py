@@ -494,7 +494,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "g3_density_clusters": _density,
     "g4_cluster_sizes": lambda b: segments.cluster_sizes(b.clustered),
     "g5_calinski_harabasz": lambda b: rounded(g5_calinski_harabasz(b), 4),
-    "g5b_silhouette": g5b_silhouette,
+    "g5b_silhouette": lambda b: rounded(g5b_silhouette(b)),
     "g6_cluster_profiles": lambda b: segments.cluster_profiles(b.clustered),
     "g7_cluster_labels": lambda b: rounded(segments.label_clusters(segments.cluster_profiles(b.clustered))),
     "g8_segment_summary": lambda b: segments.segment_summary(b.clustered.join(
