@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountwise.llm import decontaminate, language, lengths, mixing, near_dedup, secret_scan
+from accountwise.llm import decontaminate, language, lengths, mixing, near_dedup, pitman_yor, quality, sanitise, secret_scan, toxicity
 from accountwise.llm.texts import bucket, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,14 +33,31 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(tables(spark, sf_dir, "documents"), bucket("doc_id", 3) != 1)
 
 
+def op6_decision_list_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
+def op7_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digest(sanitise.scan(tables(spark, sf_dir, "documents")))
+
+
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_report(tables(spark, sf_dir, "documents"))
 
 
+def op9_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(tables(spark, sf_dir, "documents"), bucket("doc_id", 5) != 1)
+
+
+def op10_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"), bucket("doc_id", 3) != 1)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bag_minhash_dedup, op2_markov_secret_scan, op3_containment_decontamination, op4_pareto_mixing, op5_language_id,
-        op8_length_histogram,
+        op6_decision_list_quality, op7_disclosure_sanitisation, op8_length_histogram, op9_pitman_yor_lm,
+        op10_toxicity_automata,
     )}
 
 

@@ -137,5 +137,5 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", odds:
     model = learn(labelled(stored(scanned(docs.select(F.col(text).alias("text"))).drop("text"), "secrets")))
     inner = docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns})
     out = judged(scanned(inner, f"_in_{text}"), model, odds)
-    out = out.withColumn(f"_in_{text}", F.when(F.size("_spans") > 0, spans.masked(F.col(f"_in_{text}"), F.col("_spans"), mark)).otherwise(F.col(f"_in_{text}")))
+    out = out.withColumn(f"_in_{text}", F.when(F.size("_spans") > 0, spans.masked(F.col(f"_in_{text}"), F.col("_spans"), [mark] * len(KINDS))).otherwise(F.col(f"_in_{text}")))
     return out.select(*(F.col(f"_in_{c}").alias(c) for c in docs.columns))

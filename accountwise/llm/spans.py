@@ -57,13 +57,14 @@ def overlaps(span: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
 
 
-def masked(text: Column, sorted_spans: Column, mark: str) -> Column:
-    """The text with a mark for every span; spans that overlap become one."""
+def masked(text: Column, sorted_spans: Column, marks: Sequence[str]) -> Column:
+    """The text with a mark, by kind, for every span; spans that overlap become one."""
+    names = F.array(*(F.lit(m) for m in marks))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
-        more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mark))
+        more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.get(names, s["kind"]))
         return F.struct(
             F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(state["out"]).alias("out")
         )
