@@ -44,32 +44,43 @@ def edits(length: int) -> int:
     return 0 if length < 5 else 1 if length < 10 else 2
 
 
+class Node:
+    """A trie node: children, the terms that end here, and the edits that some term below allows."""
+
+    __slots__ = ("children", "ends", "allowed")
+
+    def __init__(self) -> None:
+        self.children: dict[str, Node] = {}
+        self.ends: list[int] = []
+        self.allowed = 0
+
+
 class Lexicon:
     """A trie of terms. A term that ends in * is the beginning of a word."""
 
     def __init__(self, terms: list[str]) -> None:
-        self.terms = terms
-        self.root: dict = {}
-        self.parts: dict[int, dict[str, set[int]]] = {}
+        self.open = [t.endswith("*") for t in terms]
+        self.root = Node()
+        parts: dict[tuple[int, int], set[str]] = {}
         for k, term in enumerate(terms):
             word = term.removesuffix("*")
-            node = self.root
+            e, node = edits(len(word)), self.root
             for c in word:
-                node = node.setdefault(c, {})
-            node.setdefault("", []).append(k)
+                node.allowed = max(node.allowed, e)
+                node = node.children.setdefault(c, Node())
+            node.allowed = max(node.allowed, e)
+            node.ends.append(k)
             # of e + 1 parts of a term one is untouched by e edits, and at most e places away from where it was
-            e = edits(len(word))
             cut = [round(len(word) * i / (e + 1)) for i in range(e + 2)]
             for a, b in zip(cut, cut[1:]):
-                self.parts.setdefault(b - a, {}).setdefault(word[a:b], set()).update(range(max(0, a - e), a + e + 1))
-        self.deepest = max((edits(len(t.removesuffix("*"))) for t in terms), default=0)
+                for at in range(max(0, a - e), a + e + 1):
+                    parts.setdefault((at, at + b - a), set()).add(word[a:b])
+        self.parts = [(a, b, known) for (a, b), known in parts.items()]
 
     def possible(self, word: str) -> bool:
-        for size, known in self.parts.items():
-            for at in range(len(word) - size + 1):
-                places = known.get(word[at : at + size])
-                if places and at in places:
-                    return True
+        for a, b, known in self.parts:
+            if word[a:b] in known:
+                return True
         return False
 
     def near(self, word: str) -> tuple[int, int] | None:
@@ -77,22 +88,32 @@ class Lexicon:
         if not self.possible(word):
             return None
         best: tuple[int, int, int] | None = None
-        most = self.deepest
         stack = [(self.root, list(range(len(word) + 1)), 0)]
         while stack:
             node, row, depth = stack.pop()
-            for k in node.get("", ()):
-                distance = min(row) if self.terms[k].endswith("*") else row[-1]
+            for k in node.ends:
+                distance = min(row) if self.open[k] else row[-1]
                 if distance <= edits(depth):
                     one = (distance, -depth, k)
                     best = one if best is None else min(best, one)
-            for c, child in node.items():
-                if c == "":
-                    continue
-                new = [row[0] + 1]
-                for j, w in enumerate(word):
-                    new.append(min(row[j] + (w != c), row[j + 1] + 1, new[j] + 1))
-                if min(new) <= most:
+            for c, child in node.children.items():
+                # the automaton of the word reads c; states further than the allowance from the diagonal are dead
+                allowed = child.allowed
+                low, high = max(1, depth + 1 - allowed), min(len(word), depth + 1 + allowed)
+                dead = allowed + 1
+                new = [dead] * len(row)
+                new[0] = depth + 1
+                least = new[0] if low == 1 else dead
+                for j in range(low, high + 1):
+                    cost = row[j - 1] + (word[j - 1] != c)
+                    if row[j] + 1 < cost:
+                        cost = row[j] + 1
+                    if new[j - 1] + 1 < cost:
+                        cost = new[j - 1] + 1
+                    new[j] = cost
+                    if cost < least:
+                        least = cost
+                if least <= allowed:
                     stack.append((child, new, depth + 1))
         return None if best is None else (best[2], best[0])
 
@@ -118,22 +139,29 @@ class Finder:
     """Hits of a lexicon in texts, remembering words it has met."""
 
     def __init__(self, lexicon: Lexicon) -> None:
-        self.lexicon, self.met = lexicon, {}
+        self.lexicon = lexicon
+        self.met: set[str] = set()
+        self.hit: dict[str, tuple[int, int]] = {}
 
     def hits(self, text: str) -> tuple[int, list[tuple[int, int, bool]]]:
         """The number of words, and (term, edits, quoted) of each hit."""
         low = text.lower()
-        words, met = LETTERS.findall(low), self.met
-        if len(met) > REMEMBERED:
-            met.clear()
-        for w in set(words):
-            if w not in met:
-                met[w] = self.lexicon.near(w)
-        if not any(met[w] for w in set(words)):
+        words = LETTERS.findall(low)
+        own = set(words)
+        if len(self.met) > REMEMBERED:
+            self.met.clear()
+            self.hit.clear()
+        new = own - self.met
+        for w in new:
+            found = self.lexicon.near(w)
+            if found:
+                self.hit[w] = found
+        self.met |= new
+        if own.isdisjoint(self.hit):
             return len(words), []
         out = []
         for m in LETTERS.finditer(low):
-            hit = met[m.group()]
+            hit = self.hit.get(m.group())
             if hit:
                 quoted = OPENS.search(low[max(0, m.start() - WINDOW) : m.start()]) and CLOSES.search(low[m.end() : m.end() + WINDOW])
                 out.append((*hit, bool(quoted)))
