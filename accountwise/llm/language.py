@@ -65,39 +65,33 @@ class Lattice:
         self.unknown, self.none = len(ids), len(ids) + 1
         self.longest = max((len(p) for p in ids), default=1)
 
+    def places(self, n: int) -> list[tuple[int, int]]:
+        """(end, length - 1) of the pieces that a word of n characters can have, in the order of the columns of edges."""
+        return [(j, l) for j in range(n) for l in range(min(j + 1, self.longest))]
+
     def edges(self, words: list[str]) -> np.ndarray:
-        """For words of one length n: the piece that ends at j and has l + 1 characters, by word, j and l."""
+        """For words of one length: the piece at each place, or ``none``."""
         n, get, none = len(words[0]), self.ids.get, self.none
-        wide = min(n, self.longest)
-        out = np.full((len(words), n, wide), none, dtype=np.int32)
-        for k, w in enumerate(words):
-            row = out[k]
-            for j in range(n):
-                for l in range(min(j + 1, wide)):
-                    at = get(w[j - l : j + 1])
-                    if at is not None:
-                        row[j, l] = at
-                if row[j, 0] == none:
-                    row[j, 0] = self.unknown
+        cuts = [(j - l, j + 1) for j, l in self.places(n)]
+        flat = np.fromiter((get(w[a:b], none) for w in words for a, b in cuts), dtype=np.int32, count=len(words) * len(cuts))
+        out = flat.reshape(len(words), len(cuts))
+        single = [k for k, (a, b) in enumerate(cuts) if b - a == 1]
+        out[:, single] = np.where(out[:, single] == none, self.unknown, out[:, single])
         return out
 
-    def forward(self, edges: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Sums up to each place, by word, place (0 to n) and column of p."""
-        count, n, wide = edges.shape
-        a = np.zeros((count, n + 1, p.shape[1]))
-        a[:, 0] = 1
-        for j in range(n):
-            for l in range(min(j + 1, wide)):
-                a[:, j + 1] += a[:, j - l] * p[edges[:, j, l]]
+    def forward(self, edges: np.ndarray, n: int, p: np.ndarray) -> np.ndarray:
+        """Sums up to each place (0 to n), by place, word and column of p."""
+        a = np.zeros((n + 1, len(edges), p.shape[1]))
+        a[0] = 1
+        for k, (j, l) in enumerate(self.places(n)):
+            a[j + 1] += a[j - l] * p[edges[:, k]]
         return a
 
-    def backward(self, edges: np.ndarray, p: np.ndarray) -> np.ndarray:
-        count, n, wide = edges.shape
-        b = np.zeros((count, n + 1, p.shape[1]))
-        b[:, n] = 1
-        for j in range(n - 1, -1, -1):
-            for l in range(min(j + 1, wide)):
-                b[:, j - l] += b[:, j + 1] * p[edges[:, j, l]]
+    def backward(self, edges: np.ndarray, n: int, p: np.ndarray) -> np.ndarray:
+        b = np.zeros((n + 1, len(edges), p.shape[1]))
+        b[n] = 1
+        for k, (j, l) in reversed(list(enumerate(self.places(n)))):
+            b[j - l] += b[j + 1] * p[edges[:, k]]
         return b
 
     def long_logs(self, word: str, p: np.ndarray) -> np.ndarray:
@@ -127,7 +121,7 @@ class Lattice:
                 continue
             for c in range(0, len(ks), 4096):
                 some = ks[c : c + 4096]
-                out[some] = np.log(self.forward(self.edges([words[k] for k in some]), p)[:, -1])
+                out[some] = np.log(self.forward(self.edges([words[k] for k in some]), n, p)[n])
         return out
 
 
@@ -147,12 +141,11 @@ def _expected(words_of: DataFrame, ids: dict[str, int], p: np.ndarray, langs: li
                 for c in range(0, len(part), 4096):
                     some = part.iloc[c : c + 4096]
                     edges = lattice.edges(list(some["word"]))
-                    a, b = lattice.forward(edges, column)[:, :, 0], lattice.backward(edges, column)[:, :, 0]
-                    weight = some["n"].to_numpy() / a[:, -1]
-                    for j in range(n):
-                        for l in range(min(j + 1, edges.shape[2])):
-                            at = edges[:, j, l]
-                            np.add.at(sums[:, k], at, weight * a[:, j - l] * column[at, 0] * b[:, j + 1])
+                    a, b = lattice.forward(edges, n, column)[:, :, 0], lattice.backward(edges, n, column)[:, :, 0]
+                    weight = some["n"].to_numpy() / a[n]
+                    for place, (j, l) in enumerate(lattice.places(n)):
+                        at = edges[:, place]
+                        np.add.at(sums[:, k], at, weight * a[j - l] * column[at, 0] * b[j + 1])
         at, k = np.nonzero(sums[: len(known)])
         yield pd.DataFrame({"lang": [langs[x] for x in k], "piece": at, "n": sums[at, k]})
 
@@ -167,9 +160,12 @@ def learn(
     """Pieces, languages in order, and piece probabilities by piece and language."""
     ids = pieces(vocabulary)
     known = labelled.select(text_of(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
-    langs = sorted(r["lang"] for r in sizes.select("lang").collect())
-    some = known.join(sizes, "lang").where(uniform(F.lit(3), F.col("text")) * F.col("docs") < sample)
+    sizes = {r["lang"]: r["docs"] for r in known.groupBy("lang").agg(F.count("*").alias("docs")).collect()}
+    langs = sorted(sizes)
+    share = F.lit(0.0)
+    for name, docs in sizes.items():
+        share = F.when(F.col("lang") == name, F.lit(sample / docs)).otherwise(share)
+    some = known.where(uniform(F.lit(3), F.col("text")) < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

@@ -161,10 +161,10 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     # about ``sample`` rows of two numbers: a bounded broadcast
     read = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("text")).join(F.broadcast(some), "_id")
     read = measured(read, "text").where(F.col("_n_words") > 0)
-    rows = read.orderBy("_id", "_word_chars").select("_good", *(feature(f).alias(f) for f in FEATURES)).collect()
+    rows = sorted(read.select("_id", "_good", *(feature(f).alias(f) for f in FEATURES)).collect())
     if not rows:
         return []
-    x = np.array([tuple(r)[1:] for r in rows], dtype=float)
+    x = np.array([tuple(r)[2:] for r in rows], dtype=float)
     return learn_list(x, np.array([r["_good"] == 0 for r in rows]))
 
 
