@@ -10,8 +10,8 @@ a long text costs one draw a run and a few hundred more.
 Texts that agree in a band of the signature are candidates; the multisets themselves decide. In every bucket the best
 connected text is compared with all others first, so a group of many copies costs as many comparisons as it has
 members. Texts of a bucket that are still in different classes then are compared by their whole signatures, in blocks of
-bounded size and inside tasks: pairs are written only if the share of equal places is at least ``LIKELY``, which
-a pair at similarity 0.8 misses with probability 4e-5. These pairs go to the multisets as well.
+bounded size and inside tasks; pairs of which at least the share ``LIKELY`` of places is equal go to the multisets, which
+a pair at similarity 0.8 misses with probability 4e-5. Only links that join classes leave a task.
 
 Null, empty and wordless texts are classes of their own, row by row. Equal texts are one class. Rows may repeat, and
 different texts may carry the same id.
@@ -140,10 +140,27 @@ def signed(docs: DataFrame, text: str, shingle: int, bands: int, rows: int, plac
     return docs.mapInArrow(run, "doc_id long, digest binary, n long, bands array<long>, signature binary")
 
 
-def _likely(members: DataFrame, least: float, threshold: float) -> DataFrame:
-    """(a, b), a < b: pairs of a bucket in different classes whose signatures agree to ``least``.
+def _bag(body: str, shingle: int) -> Counter:
+    """The multiset of a text."""
+    w = [x for x in body.translate(_TO_BLANK).split(" ") if x]
+    if len(w) < shingle:
+        return Counter([tuple(w)])
+    return Counter(zip(*(w[k:] for k in range(shingle))))
 
-    A bucket of k members is dealt into blocks; one task sees two blocks of it, so members travel k / BLOCK times.
+
+def _alike(x: Counter, y: Counter, threshold: float) -> bool:
+    if len(y) < len(x):
+        x, y = y, x
+    common = sum(min(n, y[e]) for e, n in x.items() if e in y)
+    return common >= threshold * (x.total() + y.total() - common)
+
+
+def _joined(members: DataFrame, shingle: int, likely: float, threshold: float) -> DataFrame:
+    """(a, b): links between different classes of a bucket, as many as join what can be joined.
+
+    A bucket of k members is dealt into blocks; one task sees two blocks of it, so members travel k / BLOCK times. A pair
+    is looked at in the first bucket that it shares, if its sizes and signatures allow the threshold, and unless the
+    task has joined its classes already; the multisets decide.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     own = F.pmod(F.xxhash64("digest"), F.col("blocks"))
@@ -151,28 +168,44 @@ def _likely(members: DataFrame, least: float, threshold: float) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     )
     dealt = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "class", "n", "signature"
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "class", "n",
+        "bands", "signature", "body",
     )
     together = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def compared(group: pd.DataFrame) -> pd.DataFrame:
+        def links(group: pd.DataFrame) -> pd.DataFrame:
             x = np.frombuffer(b"".join(group["signature"]), np.uint16).reshape(len(group), -1)
+            bands = np.stack(group["bands"].to_numpy())
             n, own = group["n"].to_numpy(), group["own"].to_numpy()
-            names, classes = group["digest"].to_numpy(), pd.factorize(group["class"])[0]
-            mixed_blocks = group["i"].iloc[0] != group["j"].iloc[0]
-            found = []
-            for k in range(len(group)):
+            key, two = group["key"].iloc[0], group["i"].iloc[0] != group["j"].iloc[0]
+            names, bodies = group["digest"].to_numpy(), group["body"].to_numpy()
+            classes = pd.factorize(group["class"])[0]
+            bags: dict[int, Counter] = {}
+
+            def bag(k: int) -> Counter:
+                if k not in bags:
+                    bags[k] = _bag(bodies[k], shingle)
+                return bags[k]
+
+            found, here = [], np.arange(len(group))
+            for k in here:
                 ok = (classes != classes[k]) & (np.minimum(n, n[k]) >= threshold * np.maximum(n, n[k]))
-                ok &= (own > own[k]) if mixed_blocks else (np.arange(len(group)) > k)
+                ok &= (own > own[k]) if two else (here > k)
                 at = np.flatnonzero(ok)
-                if len(at):
-                    at = at[(x[at] == x[k]).mean(axis=1) >= least]
-                    found.extend((min(names[k], names[o]), max(names[k], names[o])) for o in at)
+                if not len(at):
+                    continue
+                at = at[(x[at] == x[k]).mean(axis=1) >= likely]
+                same = bands[at] == bands[k]
+                at = at[bands[k][np.argmax(same, axis=1)] == key]
+                for o in at:
+                    if classes[o] != classes[k] and _alike(bag(k), bag(o), threshold):
+                        found.append((names[k], names[o]))
+                        classes[classes == classes[o]] = classes[k]
             return pd.DataFrame(found, columns=["a", "b"])
 
         for group in _groups(frames, ["key", "i", "j"]):
-            yield compared(group)
+            yield links(group)
 
     return together.mapInPandas(run, "a binary, b binary").distinct()
 
@@ -226,23 +259,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float
     together = members.unionByName(leaders)
     together = together.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
-    def bag(body: str) -> Counter:
-        w = [x for x in body.translate(_TO_BLANK).split(" ") if x]
-        if len(w) < shingle:
-            return Counter([tuple(w)])
-        return Counter(zip(*(w[k:] for k in range(shingle))))
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leader, total = Counter(), 0
+        leader = Counter()
         for frame in frames:
             kept = []
             for a, b, body in zip(frame["a"], frame["b"], frame["body"]):
-                own = bag(body)
+                own = _bag(body, shingle)
                 if b is None:
-                    leader, total = own, sum(own.values())
-                    continue
-                common = sum(min(n, leader[x]) for x, n in own.items() if x in leader)
-                if common >= threshold * (total + sum(own.values()) - common):
+                    leader = own
+                elif _alike(leader, own, threshold):
                     kept.append((a, b))
             yield pd.DataFrame(kept, columns=["a", "b"])
 
@@ -298,11 +323,9 @@ def near_duplicates(
     degree = entries.groupBy("digest").agg(F.sum("members").alias("degree"))
     entries = stored(entries.drop("members").join(degree, "digest"), "members")
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+    def texts(needed: DataFrame) -> DataFrame:
         some = _maybe(base, _marked(needed), "digest").where("_in").join(needed, "digest", "left_semi")
-        some = some.groupBy("digest").agg(F.first("body").alias("body"))
-        return _verified(pairs, stored(some.select("digest", "body"), "texts"), shingle, threshold)
+        return stored(some.groupBy("digest").agg(F.first("body").alias("body")), "texts")
 
     leaders = entries.groupBy("key").agg(F.max(F.struct("degree", "digest", "n")).alias("t")).select("key", "t.digest", "t.n")
     x, y = leaders.alias("x"), entries.alias("y")
@@ -311,16 +334,16 @@ def near_duplicates(
         F.col("x.digest").alias("a"), F.col("y.digest").alias("b")
     )
     first = stored(first.distinct(), "pairs")
-    edges = stored(checked(first), "links")
+    needed = first.select(F.col("a").alias("digest")).union(first.select(F.col("b").alias("digest"))).distinct()
+    edges = stored(_verified(first, texts(needed), shingle, threshold), "links")
 
     classes = components(edges)
     open_ = entries.join(classes, "digest", "left").withColumn("class", F.coalesce("class", "digest"))
     apart = open_.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("key")
-    open_ = open_.join(apart, "key", "left_semi").join(nodes.select("digest", "signature"), "digest")
-    more = _likely(open_.select("key", "digest", "class", "n", "signature"), likely, threshold)
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(more.join(done, ["a", "b"], "left_anti"), "pairs")
-    edges = edges.union(stored(checked(more), "links"))
+    open_ = stored(open_.join(apart, "key", "left_semi").select("key", "digest", "class", "n"), "open")
+    bodies = texts(open_.select("digest").distinct())
+    open_ = open_.join(nodes.select("digest", "bands", "signature"), "digest").join(bodies, "digest")
+    edges = edges.union(stored(_joined(open_, shingle, likely, threshold), "links"))
 
     classes = components(edges)
     known = nodes.select("digest", "copy_id", "n_copies").join(classes, "digest", "left").withColumn(
