@@ -3,7 +3,8 @@
 The rules find assignments to a key word, access keys and long hexadecimal runs. Beyond them every run of 16 or more
 characters of [A-Za-z0-9+/_=-] with a letter is a candidate. Two character Markov models of first order give its
 log-likelihood ratio: one learned from what the rules find (random strings), one from the candidates apart
-from it (ordinary identifiers), both with half a count added to each transition. A ratio of at least ``ODDS`` (natural
+from it (ordinary identifiers). ``SMOOTH`` counts are added to each transition: few for random strings, many for ordinary
+ones, so that the odd secret which no rule finds doesn't make its transitions ordinary. A ratio of at least ``ODDS`` (natural
 logarithm) marks a secret of kind ``markov``; it does not touch a span of a rule. All of it is Spark expressions;
 the models are 67 x 67 numbers.
 
@@ -32,6 +33,8 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 ODDS = math.log(1e4)
+#: Counts added to each transition, by label: random, ordinary.
+SMOOTH = {True: 0.5, False: 20.0}
 #: About so many strings of each label are learned from.
 SAMPLE = 50_000
 
@@ -72,7 +75,7 @@ def learn(samples: DataFrame) -> list[float]:
         "random", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("two")
     )
     n = len(ALPHABET)
-    counts = {True: [0.5] * (n * n), False: [0.5] * (n * n)}
+    counts = {label: [added] * (n * n) for label, added in SMOOTH.items()}
     place = {c: k for k, c in enumerate(ALPHABET)}
     for r in pairs.groupBy("random", "two").agg(F.count("*").alias("n")).collect():  # transitions times two at most
         if r["two"][0] in place and r["two"][1] in place:
