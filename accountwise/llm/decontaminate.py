@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accountwise.llm.texts import mix, shingle_hashes, slices, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import finished, shingle_hashes, slices, stream, text_of, texts_array, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -143,6 +143,7 @@ def _scan(docs: DataFrame, text: str, block: Items, hits: str, threshold: float)
                 columns = [c.slice(a, b - a) for c in batch.columns]
                 columns[listed] = pa.array(found, kind)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        finished()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import stored, text_of, uniform
+from accountwise.llm.texts import finished, stored, text_of, uniform
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: About so many documents of each language are learned from.
@@ -37,7 +37,7 @@ MARK = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Longer words are summed one by one, with rescaling; shorter ones together, and remembered.
 LONG = 32
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def letter_words(text: str) -> list[str]:
@@ -229,6 +229,8 @@ def predicted(docs: DataFrame, model: tuple[dict[str, int], list[str], np.ndarra
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=[*names, f"{prefix}pred", f"{prefix}score"],
             )
+        place, table = {}, table[:0]
+        finished()
 
     schema = docs.withColumn(f"{prefix}pred", F.lit("")).withColumn(f"{prefix}score", F.lit(0.0)).schema
     for field in schema.fields:

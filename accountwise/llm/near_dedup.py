@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import mix, shingle_hashes, slices, stored, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import finished, mix, shingle_hashes, slices, stored, stream, text_of, texts_array, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -136,6 +136,7 @@ def signed(docs: DataFrame, text: str, shingle: int, bands: int, rows: int, plac
                     ],
                     names=["doc_id", "digest", "n", "bands", "signature"],
                 )
+        finished()
 
     return docs.mapInArrow(run, "doc_id long, digest binary, n long, bands array<long>, signature binary")
 
@@ -206,6 +207,7 @@ def _joined(members: DataFrame, shingle: int, likely: float, threshold: float) -
 
         for group in _groups(frames, ["key", "i", "j"]):
             yield links(group)
+        finished()
 
     return together.mapInPandas(run, "a binary, b binary").distinct()
 

@@ -6,6 +6,7 @@ numpy form works on UTF-8 bytes without decoding. Null texts are empty.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,13 @@ SLICE_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def finished() -> None:
+    """Frees what a task leaves in its worker, which serves many tasks: tables, and functions that refer to each other."""
+    _powers.release()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
@@ -90,6 +98,10 @@ class _Powers:
     def __reduce__(self):
         return _Powers, ()
 
+    def release(self) -> None:
+        """Called when a task ends: workers live longer than tasks."""
+        self.__init__()
+
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if self.size < n:
             self.size = max(n, SLICE_BYTES + SLICE_BYTES // 4)
