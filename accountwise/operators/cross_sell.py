@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountwise.config import PRODUCT_FLAGS, PRODUCTS
@@ -82,12 +82,16 @@ def matrix_from_long(scores: DataFrame) -> DataFrame:
     return wide
 
 
-def ranked_offers(probabilities: DataFrame) -> DataFrame:
+def ranked_offers(probabilities: DataFrame, digits: int | None = None) -> DataFrame:
     """Adds ``offers``: products not adopted yet, best score first, ties in product-list order; and
-    ``current_products``. The four scores sit in one row, so ranking is an array sort without a shuffle."""
+    ``current_products``. With ``digits`` scores are rounded first, so equal rounded scores are ties. The four scores sit in one row, so ranking is an array sort without a shuffle."""
+    def score(product: str) -> Column:
+        raw = F.col(f"`{product}_score`")
+        return raw if digits is None else F.round(raw, digits)
+
     entry = [
         F.struct(
-            F.col(f"`{product}_score`").alias("score"), F.lit(-i).alias("neg_order"),
+            score(product).alias("score"), F.lit(-i).alias("neg_order"),
             F.lit(product).alias("product"), F.col(f"`{product}_current`").alias("current"),
         )
         for i, product in enumerate(PRODUCTS)

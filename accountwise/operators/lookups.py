@@ -30,7 +30,7 @@ def churn_lookup(churn: DataFrame, account_id=None) -> DataFrame:
 
 def cross_sell_lookup(probabilities: DataFrame, top: int = 3, account_id=None) -> DataFrame:
     """Best offers as an array of (product, propensity_score) and the products already held."""
-    return ranked_offers(_only(probabilities, account_id)).select(
+    return ranked_offers(_only(probabilities, account_id), digits=4).select(
         "account_id", offer_list(top, "propensity_score").alias("recommendations"), "current_products"
     )
 
@@ -72,7 +72,7 @@ def account_profile(
         _only(features, account_id)
         .join(churn.select("account_id", "churn_risk_score", F.lit(True).alias("_scored")), "account_id", "left")
         .join(segments.select("account_id", "segment"), "account_id", "left")
-        .join(ranked_offers(probabilities), "account_id", "left")
+        .join(ranked_offers(probabilities, digits=4), "account_id", "left")
     )
     unknown = lambda c: F.coalesce(c, F.lit("Unknown"))
     return joined.select(

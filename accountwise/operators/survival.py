@@ -157,12 +157,13 @@ def _tie_sums(s0: float, d0: float, d: int, chunk: int = 1_000_000) -> np.ndarra
 
 def fit_cox(
     frame: DataFrame, covariates: Sequence[str] = SURVIVAL_COVARIATES, penalty: float = 0.01,
-    ties: str = "efron", max_iter: int = 30, tol: float = 1e-9,
+    ties: str = "efron", max_iter: int = 100, tol: float = 1e-9,
 ) -> CoxModel:
     """Proportional hazards with an L2 penalty of n * penalty / 2 * |beta|^2.
 
     One Newton step is one Spark aggregate of weighted moments per duration. What reaches the driver is one
-    row per distinct day, not per account; suffix sums and a p x p solve happen there.
+    row per distinct day, not per account; suffix sums and a p x p solve happen there. A fit that doesn't settle
+    in ``max_iter`` rounds is an error.
     """
     p = len(covariates)
     data = cut_lineage(frame.select("duration", "event", *covariates))
@@ -211,14 +212,18 @@ def fit_cox(
         shrink = 1.0
         while True:
             trial = evaluate(beta + shrink * move)
-            if trial[0] >= loglik - 1e-9 or shrink < 1e-4:
+            if trial[0] >= loglik - 1e-9 * max(1.0, abs(loglik)):
                 break
+            if shrink < 1e-4:
+                raise RuntimeError(f"the Cox fit finds no better step in round {rounds}")
             shrink /= 2
         beta = beta + shrink * move
         gained = trial[0] - loglik
         loglik, grad, hess, s0 = trial
         if abs(gained) < tol * max(1.0, abs(loglik)) and np.abs(move).max() < 1e-6:
             break
+    else:
+        raise RuntimeError(f"the Cox fit has not settled after {max_iter} rounds")
     hazard = np.cumsum(np.where(deaths > 0, deaths / s0, 0.0))
     se = np.sqrt(np.diag(np.linalg.inv(hess)))
     return CoxModel(tuple(covariates), beta, se, times, hazard, rounds)

@@ -351,7 +351,7 @@ def vs6_concordance(b: Bound) -> DataFrame:
 
 def _density(b: Bound) -> DataFrame:
     points = cut_lineage(segments.principal_map(b.segment_frame, k=3))
-    return segments.density_clusters(points, ["pc_0", "pc_1", "pc_2"], cell=0.75, min_neighbours=20, min_size=50)
+    return segments.density_clusters(points, ["pc_0", "pc_1", "pc_2"], cell=0.75, min_neighbours=20)
 
 
 def g5b_silhouette(b: Bound) -> DataFrame:

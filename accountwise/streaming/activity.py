@@ -55,16 +55,21 @@ def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
     )
 
 
-def drain(spark: SparkSession, stream: DataFrame, label: str, timeout: int = 600) -> DataFrame:
+def drain(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Process everything available, then stop. Output and checkpoint live in the shared folder."""
     base = run_dir(spark, label)
+    before = spark.conf.get(LOCAL_MERGE[0], None)
     spark.conf.set(*LOCAL_MERGE)
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream {label} did not finish in {timeout} s")
+    try:
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(LOCAL_MERGE[0])
+        else:
+            spark.conf.set(LOCAL_MERGE[0], before)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
