@@ -47,9 +47,9 @@ FROM customer JOIN places ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, min(o_orderdate)::DATE AS lo, max(o_orderdate)::DATE AS hi FROM orders GROUP BY 1) span
   ON o_custkey = c_custkey"""),
     ("travelers", """
-SELECT o_orderkey AS traveler_id, o_custkey AS account_id, substr(o_orderpriority, 3) AS role,
+SELECT o_orderkey AS traveler_id, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS account_id, substr(o_orderpriority, 3) AS role,
   CASE o_orderstatus WHEN 'P' THEN 'VIP' WHEN 'F' THEN 'Frequent' ELSE '' END AS travel_tier
-FROM orders WHERE o_orderkey % 50 <> 0"""),
+FROM orders"""),
     ("bookings", """
 SELECT l_orderkey * 10 + l_linenumber AS booking_id, l_orderkey AS traveler_id,
   CASE l_linenumber % 4 WHEN 0 THEN 'Flight' WHEN 1 THEN 'Hotel' WHEN 2 THEN 'Rail' ELSE 'Car' END AS booking_type,
