@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import text_of
+from accountwise.llm.texts import stored, text_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the public vocabulary splits texts before merging.
@@ -56,7 +56,7 @@ def length_report(docs: DataFrame, text: str = "text", vocabulary: str = VOCABUL
     Answers for a limit L between two lengths follow from the next longer row: documents at least as long as L are its
     docs_at_least, and tokens kept at L are all tokens less tokens_at_least plus L times docs_at_least.
     """
-    cells = histogram(docs, text, vocabulary).withColumn("span", F.floor(F.col("n_tokens") / SPAN))
+    cells = stored(histogram(docs, text, vocabulary), "lengths").withColumn("span", F.floor(F.col("n_tokens") / SPAN))
     spans = cells.groupBy("span").agg(
         F.sum("docs").alias("span_docs"), F.sum(F.col("docs") * F.col("n_tokens")).alias("span_tokens")
     )
