@@ -24,7 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     data, feats = {"data_dir": need, "output_dir": need}, {"features": need, "output_dir": need}
     cutoff = {"cutoff": {**day, "default": Params().cutoff}}
     job("load-raw", **data)
-    job("marts", **data, as_of={**day, "default": date.today()})
+    job("marts", **data, as_of={**day, "default": date.today()}, without_predictions={"action": "store_true"})
+    job("publish", models=need, raw_dir=need)
     job("labels", **data, **cutoff)
     job("features", **data, **cutoff, format={"choices": ["csv", "parquet", "both"], "default": "both"},
         source={"choices": ["local", "catalog"], "default": "local"}, namespace={"default": "staging"},
@@ -41,7 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     params = Params(cutoff=getattr(a, "cutoff", Params().cutoff))
     run = {
         "load-raw": lambda: jobs.load_raw(spark, a.data_dir, a.output_dir),
-        "marts": lambda: jobs.build_marts(spark, a.data_dir, a.output_dir, a.as_of),
+        "marts": lambda: jobs.build_marts(spark, a.data_dir, a.output_dir, a.as_of, a.without_predictions),
+        "publish": lambda: jobs.publish_predictions(spark, a.models, a.raw_dir),
         "labels": lambda: jobs.build_labels(spark, a.data_dir, a.output_dir, params),
         "features": lambda: jobs.build_features(
             spark, a.data_dir, a.output_dir, params, a.format, source=a.source, namespace=a.namespace, prefix=a.prefix),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountwise.functions.columns import day, rate
-from accountwise.operators.ranking import exact_quantiles, top_n
+from accountwise.operators.ranking import exact_quantiles, melt, top_n
 
 HIT_SCORE = 0.80
 
@@ -112,10 +112,9 @@ def resolution_risk_quadrants(tickets: DataFrame, churn: DataFrame, accounts: Da
         slow.join(churn.select("account_id", "churn_risk_score", "risk_level"), "account_id")
         .join(accounts.select("account_id", "base_acv"), "account_id", "left")
     )
-    mid = {
-        c: exact_quantiles(rows, [], c, {"median": 0.5}, cuts).select("median").scalar()
-        for c in ("avg_resolution_hours", "churn_risk_score")
-    }
+    axes = ("avg_resolution_hours", "churn_risk_score")
+    medians = exact_quantiles(melt(rows, [], axes, "axis", "value"), ["axis"], "value", {"median": 0.5}, cuts)
+    mid = {c: medians.where(F.col("axis") == c).select("median").scalar() for c in axes}
     is_slow = F.col("avg_resolution_hours") > mid["avg_resolution_hours"]
     risky = F.col("churn_risk_score") > mid["churn_risk_score"]
     return rows.withColumn(

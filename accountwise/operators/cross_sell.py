@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +17,7 @@ from accountwise.functions.columns import rate
 from accountwise.operators.assemble import model_inputs
 from accountwise.operators.clv import hash_split
 from accountwise.operators.ranking import running_totals
+from accountwise.session import cut_lineage
 
 POSITIVE_WEIGHT = 5.0
 
@@ -43,18 +45,23 @@ def adoption_rates(frame: DataFrame) -> DataFrame:
 def fit_classifiers(
     train: DataFrame, inputs: Sequence[str], rounds: int = 300, depth: int = 5, step: float = 0.05, seed: int = 42
 ) -> dict[str, PipelineModel]:
-    """One boosted classifier per product; adopters weigh more because they are few."""
-    models = {}
-    for product, flag in PRODUCT_FLAGS.items():
-        weighted = train.withColumn("_weight", F.when(F.col(flag) == 1, POSITIVE_WEIGHT).otherwise(1.0))
+    """One boosted classifier per product, fitted at the same time; adopters weigh more because they are few.
+
+    The input vector is assembled once and stored for all of them.
+    """
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol="_inputs")
+    assembled = cut_lineage(assembler.transform(train))
+
+    def fit(flag: str) -> PipelineModel:
+        weighted = assembled.withColumn("_weight", F.when(F.col(flag) == 1, POSITIVE_WEIGHT).otherwise(1.0))
         learner = GBTClassifier(
             featuresCol="_inputs", labelCol=flag, weightCol="_weight", maxIter=rounds, maxDepth=depth,
             stepSize=step, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, cacheNodeIds=False,
         )
-        models[product] = Pipeline(
-            stages=[VectorAssembler(inputCols=list(inputs), outputCol="_inputs"), learner]
-        ).fit(weighted)
-    return models
+        return PipelineModel([assembler, learner.fit(weighted)])
+
+    with ThreadPool(len(PRODUCT_FLAGS)) as pool:
+        return dict(zip(PRODUCT_FLAGS, pool.map(fit, PRODUCT_FLAGS.values())))
 
 
 def probability_matrix(models: dict[str, PipelineModel], features: DataFrame) -> DataFrame:
@@ -131,7 +138,7 @@ def long_scores(probabilities: DataFrame) -> DataFrame:
 
 
 def _threshold_counts(scores: DataFrame, cuts) -> DataFrame:
-    """Per distinct score, best first: positives and negatives at it and up to it."""
+    """Per distinct score, best first: positives and negatives at it and up to it. Unscored rows (NULL or NaN) count nowhere."""
     counted = scores.groupBy("product", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )

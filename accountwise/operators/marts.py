@@ -27,17 +27,14 @@ def dim_accounts(stg_accounts: DataFrame) -> DataFrame:
     )
 
 
-def dim_products(stg_contracts: DataFrame, stg_recommendations: DataFrame) -> DataFrame:
+def dim_products(stg_contracts: DataFrame, stg_recommendations: DataFrame | None = None) -> DataFrame:
     """Products seen in contracts or recommendations; one scan of each, deduplicated map-side."""
-    offered = stg_recommendations.select(
-        F.explode(F.array("top_1_product", "top_2_product")).alias("product_name")
-    )
-    names = (
-        stg_contracts.select(F.col("product").alias("product_name"))
-        .union(offered)
-        .where(F.col("product_name").isNotNull())
-        .distinct()
-    )
+    names = stg_contracts.select(F.col("product").alias("product_name"))
+    if stg_recommendations is not None:
+        names = names.union(
+            stg_recommendations.select(F.explode(F.array("top_1_product", "top_2_product")).alias("product_name"))
+        )
+    names = names.where(F.col("product_name").isNotNull()).distinct()
     name = F.col("product_name")
     return names.select(
         F.md5(name).alias("product_id"), "product_name",

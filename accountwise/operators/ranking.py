@@ -2,7 +2,7 @@
 
 ``Window.orderBy`` over a large group sorts that group in one task. Here the rows are first combined to
 distinct values, then cut into value ranges of about equal size; a running total is the range-local
-running total plus the totals of the ranges before it. Both windows see a bounded number of rows.
+running total plus the totals of the ranges before it. The number of ranges follows the number of distinct values.
 """
 
 from __future__ import annotations
@@ -13,13 +13,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_RANGES, MAX_RANGES = 16, 2000
+from accountwise.session import cut_lineage
+
+MIN_RANGES, ROWS_A_RANGE = 16, 1_000_000
 
 
 def value_cuts(df: DataFrame, order: str, ranges: int | None = None) -> list[float]:
-    """Cut points giving about equal numbers of rows per range (a small sketch, one pass)."""
+    """Cut points giving about equal numbers of rows per range (a small sketch, one pass after a count)."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = ranges or min(MAX_RANGES, max(MIN_RANGES, 2 * tasks))
+    n = ranges or max(MIN_RANGES, 2 * tasks, df.count() // ROWS_A_RANGE)
     cuts = df.approxQuantile(order, [i / n for i in range(1, n)], 0.25 / n)
     return sorted({float(c) for c in cuts})
 
@@ -34,10 +36,17 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<m>`` (this value included) and ``total_<m>`` for every measure, per group in ``keys``.
 
-    ``counted`` holds one row per (keys, order). ``cuts`` may be given when the distribution is known,
-    otherwise they are sketched. The ranges depend on the value only, so a recomputed task agrees.
+    ``counted`` holds one row per (keys, order); rows whose ``order`` is NULL or NaN have no place in the order and
+    are left out, of the totals too. ``cuts`` may be given when the distribution is known, otherwise ``counted`` is
+    stored and they are sketched on it, so that its input is read once. The ranges depend on the value only, so a
+    recomputed task agrees.
     """
-    cuts = value_cuts(counted, order) if cuts is None else sorted(set(cuts))
+    counted = counted.where(~F.isnan(F.col(order).cast("double")) & F.col(order).isNotNull())
+    if cuts is None:
+        counted = cut_lineage(counted)
+        cuts = value_cuts(counted, order)
+    else:
+        cuts = sorted(set(cuts))
     # one struct as the group key: equal to itself also where a key is NULL, and the same expression in the
     # window and in the join, so that the join reuses the partitioning of the window
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
@@ -60,7 +69,7 @@ def running_totals(
         *[F.sum(f"_sum_{m}").over(span).alias(f"total_{m}") for m in measures],
     )
     if not keys:
-        offsets = F.broadcast(offsets)  # at most MAX_RANGES + 1 rows
+        offsets = F.broadcast(offsets)  # one row per range: at most one for ROWS_A_RANGE values, or two per task
     inside = (
         Window.partitionBy("_group", "_range").orderBy(direction(F.col(order)))
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -76,7 +85,10 @@ def running_totals(
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], cuts: Sequence[float] | None = None
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per group: one row per group, one column per entry of probs."""
+    """Exact linearly interpolated quantiles per group: one row per group, one column per entry of probs.
+
+    NULL and NaN values are left out.
+    """
     counted = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     )

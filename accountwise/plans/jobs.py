@@ -16,7 +16,7 @@ from accountwise.operators import assemble, clv, cross_sell, labels, quality, se
 from accountwise.operators.staging import bookings_with_account
 from accountwise.session import cut_lineage
 from accountwise.sources import manifest, readers, writers
-from accountwise.sources.schemas import ENTITY_TABLES, LOGICAL_NAME, RAW
+from accountwise.sources.schemas import ENTITY_TABLES, LOGICAL_NAME, PREDICTIONS, RAW
 
 CLV_GRID = {"maxDepth": [4, 6], "stepSize": [0.05, 0.1]}
 
@@ -32,12 +32,22 @@ def _entities(spark: SparkSession, folder: str, fmt: str = "auto", names: Sequen
     return readers.load_tables(spark, folder, fmt, names, optional=("clv_labels",))
 
 
-def build_marts(spark: SparkSession, folder: str, out: str, as_of: date) -> dict[str, DataFrame]:
-    """Staging views and marts; the prediction marts need the prediction tables."""
-    tables = readers.load_tables(
-        spark, folder, names=tuple(RAW), optional=("clv_labels", "churn_predictions", "cross_sell_recommendations")
-    )
-    return writers.write_marts(writers.build_layers(tables, as_of), out)
+def build_marts(
+    spark: SparkSession, folder: str, out: str, as_of: date, without_predictions: bool = False
+) -> dict[str, DataFrame]:
+    """Staging views and marts. Fails without published predictions, unless told to do without."""
+    tables = readers.load_tables(spark, folder, names=tuple(RAW), optional=("clv_labels", *PREDICTIONS))
+    return writers.write_marts(writers.build_layers(tables, as_of, without_predictions), out)
+
+
+def publish_predictions(spark: SparkSession, models: str, raw: str) -> dict[str, str]:
+    """Scored churn and recommendations into the raw layer that the marts read: by name, in its types."""
+    out = {}
+    for name, table in (("churn_predictions", "churn_predictions"), ("recommendations", "cross_sell_recommendations")):
+        scored = spark.read.parquet(f"{models}/{writers.PREDICTION_FOLDERS[name]}")
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in readers.schema_of(RAW[table])]
+        out[table] = _save(scored.select(*typed), f"{raw}/{table}.parquet")
+    return out
 
 
 def build_labels(spark: SparkSession, folder: str, out: str, p: Params) -> str:

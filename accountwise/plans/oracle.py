@@ -728,17 +728,16 @@ SELECT account_id, '{"account_id":"' || account_id || '","churn_score":' || chur
     # streams and guards
     "t1_windowed_activity": """
 SELECT account_id, CAST(ws AS VARCHAR) AS window_start, CAST(ws + INTERVAL 7 DAY AS VARCHAR) AS window_end, count(*) AS events,
-  round(sum(value), 4) AS value
+  round(sum(value), 4) AS value, ws + INTERVAL 7 DAY > (SELECT max(ts) - INTERVAL 2 DAY FROM events) AS is_open
 FROM (SELECT user_id AS account_id, value, unnest(generate_series(date_trunc('day', ts) - INTERVAL 6 DAY, date_trunc('day', ts), INTERVAL 1 DAY)) AS ws
-  FROM events)
-WHERE ws + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY account_id, ws""",
+  FROM events) GROUP BY account_id, ws""",
     "t2_activity_sessions": """
 SELECT account_id, CAST(min(ts) AS VARCHAR) AS session_start, CAST(max(ts) + INTERVAL 12 HOUR AS VARCHAR) AS session_end, count(*) AS events,
-  round(sum(value), 4) AS value
+  round(sum(value), 4) AS value, max(ts) + INTERVAL 12 HOUR > (SELECT max(ts) - INTERVAL 2 DAY FROM events) AS is_open
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY account_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid
   FROM (SELECT user_id AS account_id, event_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
     <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events))
-GROUP BY account_id, sid HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)""",
+GROUP BY account_id, sid""",
     "t4_winsorised_amounts": """
 SELECT booking_id, traveler_id, CAST(booking_date AS VARCHAR) AS booking_date, round(least(amount::DOUBLE, top), 4) AS amount
 FROM bookings, (SELECT quantile_cont(amount::DOUBLE, 0.99) AS top FROM bookings)""",

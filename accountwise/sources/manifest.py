@@ -2,16 +2,49 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SUFFIXES = ("joblib", "pkl", "pickle", "json", "parquet", "csv")
 
+#: Files up to this size are hashed as one value by Spark's reader, larger ones in chunks.
+WHOLE_BYTES, CHUNK_BYTES = 64 << 20, 8 << 20
+
+
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it. Only the store's root is parsed as a URI: names need no escapes."""
+    scheme, _, rest = path.partition("://") if "://" in path else ("file", "", path.removeprefix("file:"))
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    authority, _, name = rest.partition("/")
+    system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, f"{root.rstrip('/')}/{name}"
+
 
-def manifest(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def _hashed(frames: Iterator[pd.DataFrame], chunk: int) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for path, size in zip(frame["path"], frame["bytes"]):
+            system, name = _opened(path)
+            digest = hashlib.sha256()
+            with system.open_input_stream(name) as stream:
+                while block := stream.read(chunk):
+                    digest.update(block)
+            yield pd.DataFrame({"path": [path], "bytes": [size], "sha256": [digest.hexdigest()]})
+
+
+def manifest(
+    spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUFFIXES, whole: int = WHOLE_BYTES,
+    chunk: int = CHUNK_BYTES,
+) -> DataFrame:
     """Relative path, size and hash of every file below a folder; hashing runs in the tasks.
 
-    Spark reads a file as one value here, so a file above 2 GB fails the job instead of going unverified.
+    A file above ``whole`` bytes is read through Arrow's file systems in chunks, so its size is not bounded by memory;
+    a store that Arrow cannot open fails the job instead of leaving the file unverified.
     """
     root = folder.rstrip("/")
     files = (
@@ -22,7 +55,12 @@ def manifest(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUFFI
     )
     bare = root.split("://", 1)[-1].removeprefix("file:")
     relative = F.element_at(F.split("path", F.lit("\\Q" + bare + "/\\E"), 2), -1)
-    return files.select(relative.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    small = files.where(F.col("length") <= whole).select(
+        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+    )
+    large = files.where(F.col("length") > whole).select("path", F.col("length").alias("bytes")).repartition("path")
+    streamed = large.mapInPandas(lambda frames: _hashed(frames, chunk), "path string, bytes long, sha256 string")
+    return small.unionByName(streamed).select(relative.alias("path"), "bytes", "sha256")
 
 
 def verify(expected: DataFrame, current: DataFrame) -> DataFrame:

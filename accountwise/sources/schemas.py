@@ -39,4 +39,5 @@ LOGICAL_NAME = {
 ENTITY_TABLES = (
     "corporate_accounts", "traveler_profiles", "bookings", "service_contracts", "support_tickets", "clv_labels",
 )
+PREDICTIONS = ("churn_predictions", "cross_sell_recommendations")
 NAMESPACES = ("raw", "staging", "features")

@@ -27,6 +27,8 @@ def write_features(
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path) if kind == "parquet" else writer.csv(path, header=True)
+        if kind == "parquet":  # the CSV copies the stored matrix instead of computing it again
+            features = features.sparkSession.read.schema(features.schema).parquet(path)
         out.append(path)
     return out
 
@@ -78,8 +80,16 @@ def load_raw_layer(spark: SparkSession, files: Mapping[str, str], folder: str) -
     return summary
 
 
-def build_layers(tables: Mapping[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
-    """Staging views and marts as lazy DataFrames, composed in dependency order."""
+def build_layers(
+    tables: Mapping[str, DataFrame], as_of: date, without_predictions: bool = False
+) -> dict[str, DataFrame]:
+    """Staging views and marts as lazy DataFrames, composed in dependency order.
+
+    Missing prediction tables are an error, unless marts ``without_predictions`` are asked for.
+    """
+    missing = sorted({"churn_predictions", "recommendations"} - set(tables))
+    if missing and not without_predictions:
+        raise ValueError(f"no table of {', '.join(missing)}: publish predictions, or ask for marts without them")
     stg = staging.stage_all(dict(tables), as_of)
     out = {f"stg_{k}": v for k, v in stg.items()}
     accounts = marts.dim_accounts(stg["accounts"])
@@ -92,6 +102,7 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: date) -> dict[str, Data
             stg["accounts"], stg["bookings"], stg["tickets"], stg["contracts"]
         ),
         "dim_date": marts.dim_date(stg["accounts"].sparkSession),
+        "dim_products": marts.dim_products(stg["contracts"], stg.get("recommendations")),
     }
     if "churn_predictions" in stg:
         out["fact_ml_churn"] = marts.fact_ml_churn(
@@ -99,7 +110,6 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: date) -> dict[str, Data
         )
     if "recommendations" in stg:
         out["fact_ml_cross_sell"] = marts.fact_ml_cross_sell(stg["recommendations"], accounts, stg["contracts"])
-        out["dim_products"] = marts.dim_products(stg["contracts"], stg["recommendations"])
     return out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,17 +29,31 @@ def windowed_activity(
 def activity_sessions(events: DataFrame, lateness: str = "2 days", gap: str = "12 hours") -> DataFrame:
     """Sessions per account: events less than ``gap`` apart belong together.
 
-    Run it under ``LOCAL_MERGE`` (``drain`` does), so that a task shuffles sessions instead of events.
+    Run it under ``LOCAL_MERGE`` (``drain`` does), so that a task shuffles sessions instead of events. Start and end are
+    aggregates: a filter on the fields of the window would be pushed below the merge of sessions and cut them.
     """
     return (
         events.withWatermark("ts", lateness)
         .groupBy(F.session_window("ts", gap), "account_id")
-        .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value"))
-        .select("account_id", F.col("session_window.start").alias("session_start"),
-                F.col("session_window.end").alias("session_end"), "events", "value")
+        .agg(F.min("ts").alias("session_start"), (F.max("ts") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+             F.count(F.lit(1)).alias("events"), F.sum("value").alias("value"))
+        .select("account_id", "session_start", "session_end", "events", "value")
     )
 
 
+def with_open(
+    closed: DataFrame, events: DataFrame, compute: Callable[[DataFrame], DataFrame], end: str, lateness: str = "2 days"
+) -> DataFrame:
+    """``closed`` windows of a drained stream, and those that still wait for the watermark, flagged ``is_open``.
+
+    ``events`` are the stream's events as a batch. A sliding window that is open has dropped no event, so the batch gives
+    it exactly; an open session also counts events that were too late for the stream.
+    """
+    mark = events.agg(F.max("ts") - F.expr(f"INTERVAL {lateness}")).scalar()
+    waiting = compute(events).where(F.col(end) > mark)
+    return closed.withColumn("is_open", F.lit(False)).unionByName(waiting.withColumn("is_open", F.lit(True)))
+
+
 def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
     """One High alert per account and week, however often the account is scored.
 

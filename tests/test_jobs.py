@@ -40,7 +40,10 @@ def test_features_match_the_lazy_build(spark, matrix):
 def test_load_raw_and_marts(spark, folder):
     counts = jobs.load_raw(spark, folder, f"{folder}/wh").collect()  # prediction files do not exist: skipped
     assert len(counts) == 5 and all(r["verified"] and r["rejected"] == 0 for r in counts)
-    marts = jobs.build_marts(spark, f"{folder}/wh/raw", f"{folder}/wh", binding.PARAMS.as_of)
+    with pytest.raises(ValueError, match="publish predictions"):
+        jobs.build_marts(spark, f"{folder}/wh/raw", f"{folder}/wh", binding.PARAMS.as_of)
+    marts = jobs.build_marts(spark, f"{folder}/wh/raw", f"{folder}/wh", binding.PARAMS.as_of, without_predictions=True)
+    assert "fact_ml_churn" not in marts and not marts["dim_products"].isEmpty()
     assert marts["mart_clv_analytics"].count() == 150
     plan = marts["fact_bookings"].where("booking_month = date'1998-01-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(booking_month" in plan
@@ -59,6 +62,12 @@ def test_models(spark, folder, matrix):
     assert seg.count() == 150 and set(seg.columns) == {"account_id", "cluster", "segment", "map_x", "map_y"}
     recs = spark.read.parquet(jobs.train_cross_sell(spark, matrix, out, rounds=2, depth=2)["recommendations"])
     assert recs.count() == 150
+    # predictions reach the marts
+    jobs.load_raw(spark, folder, f"{folder}/loop")
+    jobs.publish_predictions(spark, out, f"{folder}/loop/raw")
+    marts = jobs.build_marts(spark, f"{folder}/loop/raw", f"{folder}/loop", binding.PARAMS.as_of)
+    assert {"fact_ml_churn", "fact_ml_cross_sell", "dim_products"} <= set(marts)
+    assert [name for name, df in marts.items() if df.isEmpty()] == []
 
 
 def test_checks(spark, folder, matrix):

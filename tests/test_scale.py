@@ -170,3 +170,15 @@ def test_winsorise_and_drift(spark):
     assert max(v for v in out if v is not None) == 90.0 and out.count(None) == 1
     scores = spark.range(100).select((F.col("id") / 100).alias("s"))
     assert guards.score_drift(scores, scores, "s").agg(F.sum("stability")).first()[0] == pytest.approx(0.0)
+
+
+def test_unscored_rows_count_nowhere(spark):
+    from accountwise.operators import cross_sell
+
+    rows = [("P", float(i % 10) / 10, i % 2) for i in range(100)]
+    unscored = [("P", None, 1), ("P", float("nan"), 0)] * 10
+    schema = "product string, score double, label int"
+    plain = cross_sell.ranking_metrics(spark.createDataFrame(rows, schema)).collect()
+    assert cross_sell.ranking_metrics(spark.createDataFrame(rows + unscored, schema)).collect() == plain
+    values = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
+    assert exact_quantiles(values, [], "v", {"m": 0.5}).first()["m"] == 2.0

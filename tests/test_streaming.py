@@ -30,6 +30,12 @@ def test_late_events_are_dropped_and_open_windows_wait(spark):
     stream = activity.windowed_activity(stream_of(spark, batches, EVENT), "24 hours", "24 hours", "24 hours")
     got = {r["window_start"]: r["value"] for r in activity.drain(spark, stream, "w").collect()}
     assert got == {START: 1.0, START + timedelta(days=1): 1.0}  # the late 5.0 is gone, the last window still open
+    rows = [r for batch in batches for r in batch]
+    closed = spark.createDataFrame([("A", k, k + timedelta(days=1), 1, v) for k, v in got.items()], "account_id string, window_start timestamp, window_end timestamp, events long, value double")
+    compute = lambda df: activity.windowed_activity(df, "24 hours", "24 hours", "24 hours")
+    both = activity.with_open(closed, spark.createDataFrame(rows, EVENT), compute, "window_end", "24 hours")
+    assert {(r["window_start"], r["is_open"], r["value"]) for r in both.collect()} == {
+        (START, False, 1.0), (START + timedelta(days=1), False, 1.0), (START + timedelta(days=4), True, 3.0)}
 
 
 def test_sessions(spark):
