@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from accountwise.operators import clv, cross_sell, guards, segments, survival
+from accountwise.operators import clv, cross_sell, guards, segments, staging, survival
 from accountwise.operators.ranking import exact_quantiles, running_totals
 
 
@@ -182,3 +182,33 @@ def test_unscored_rows_count_nowhere(spark):
     assert cross_sell.ranking_metrics(spark.createDataFrame(rows + unscored, schema)).collect() == plain
     values = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
     assert exact_quantiles(values, [], "v", {"m": 0.5}).first()["m"] == 2.0
+
+
+def test_hot_traveler_is_split(spark):
+    """One traveler has a third of the bookings: the adaptive join splits that key, and every row keeps its account."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        who = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997).cast("long")
+        bookings = spark.range(n).repartition(16).select(F.col("id").alias("booking_id"), who.alias("traveler_id"))
+        travelers = spark.range(990).select(F.col("id").alias("traveler_id"), (F.col("id") % 50).alias("account_id"))
+        got = staging.bookings_with_account(bookings, travelers)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    want = {}
+    for i in range(n):
+        t = 7 if i % 3 == 0 else i % 997
+        want[i] = (t, t % 50 if t < 990 else None)
+    assert len(rows) == n
+    assert {r["booking_id"]: (r["traveler_id"], r["account_id"]) for r in rows} == want
