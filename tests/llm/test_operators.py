@@ -397,6 +397,22 @@ def test_word_probabilities_sum_below_one(docs):
     assert 0.5 < scores.agg(F.sum(F.pow(F.lit(10.0), "score"))).first()[0] <= 1.001
 
 
+def test_score_depends_on_the_order_of_words(spark):
+    rows = [(k, "one two three four five six") for k in range(50)] + [(100, "one two three four five six"), (101, "six two four one five three")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for head in (3, 1000):  # by joins, and inside tasks
+        got = {r["doc_id"]: r for r in pitman_yor.scored(frame, F.col("doc_id") < 50, head=head).collect()}
+        assert got[100]["base_score"] == pytest.approx(got[101]["base_score"]) and got[100]["score"] > got[101]["score"] + 4
+
+
+def test_words_after_a_word_sum_below_one(docs):
+    model = pitman_yor.seated_model(docs, "text", F.lit(True))
+    total = pitman_yor.with_words(model.pairs, model.words.withColumn("p", F.pow(F.lit(10.0), "score")), 1000).where("c > 0")
+    after = F.sum((F.col("c") - model.d * F.col("t")) / (1 + F.col("cu"))) + F.first((1 + model.d * F.col("tu")) / (1 + F.col("cu")))
+    got = total.groupBy("u").agg(after.alias("p"), F.sum("c").alias("c"), F.sum("t").alias("t"), F.first("cu").alias("cu"), F.first("tu").alias("tu")).collect()
+    assert got and all(r["p"] == pytest.approx(1) and r["c"] == r["cu"] and r["t"] == r["tu"] for r in got)
+
+
 def test_model_of_odd_rows(odd, empty):
     assert pitman_yor.scored(odd, texts.bucket("doc_id", 5) != 1).count() == odd.count()
     assert pitman_yor.scored(odd, F.lit(False)).count() == odd.count()
