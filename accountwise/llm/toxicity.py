@@ -1,7 +1,8 @@
 """Toxicity: Levenshtein automata over a lexicon trie, and context windows that tell quotation from abuse.
 
 The lexicon is learned: words, and beginnings of words of four to six letters, that occur in far more labelled toxic
-documents than in others, by a likelihood-ratio test over documents that are not near copies. A word of a text
+documents than in others, by a likelihood-ratio test over the classes of near copies of each label (those of ``near_dedup``),
+one document of each. A word of a text
 is run as a Levenshtein automaton against the trie of the lexicon, one edit allowed from five letters, two from ten.
 A term at an edit distance has a weight of its own, its log-odds among the labelled documents, so that ordinary words near a term
 don't count. A hit is quoted if a quotation mark opens before it and closes after it within 80 characters. A logistic
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accountwise.llm import near_dedup
 from accountwise.llm.language import LETTERS
 from accountwise.llm.texts import stored, text_of, uniform
 
@@ -123,16 +125,15 @@ def entries(words: set[str]) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in (4, 5, 6) if len(w) > n}
 
 
-def _near_key(words: set[str]) -> int:
-    return min((hash_of(w) for w in words), default=0)
-
-
-def hash_of(word: str) -> int:
-    h = 0xCBF29CE484222325
-    for b in word.encode("utf-8", "surrogatepass"):
-        h = ((h ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
-    return (h ^ (h >> 32)) >> 1
+def one_of_each(sample: DataFrame) -> DataFrame:
+    """(text, toxic, key) of (_id, text, toxic): of the near copies of a label the row with the least id and text."""
+    least = F.min(F.struct("_id", "text")).alias("row")
+    exact = sample.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary")))).groupBy("digest", "toxic").agg(least)
+    exact = stored(exact.select("digest", "toxic", "row._id", "row.text"), "toxic-texts")
+    classes = near_dedup.near_duplicates(exact, id="_id").where("class_digest is not null").select("digest", "class_digest").distinct()
+    key = F.coalesce("class_digest", "digest").alias("key")
+    apart = exact.join(classes, "digest", "left").select("_id", "text", "toxic", key)
+    return apart.groupBy("key", "toxic").agg(least).select("row.text", "toxic", "key")
 
 
 class Finder:
@@ -204,14 +205,9 @@ def learn(docs: DataFrame, labels: DataFrame, open_ids: Column, id: str = "doc_i
     # about TOXIC + CLEAN rows of two numbers: a bounded broadcast
     read = docs.select(F.col(id).cast("long").alias("_id"), text_of(text).alias("text")).join(F.broadcast(some), "_id")
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [_near_key(set(LETTERS.findall(v.as_py().lower()))) for v in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["text", "toxic", "key"])
-
-    sample = read.select("text", F.col("_toxic").alias("toxic")).mapInArrow(keyed, "text string, toxic int, key long")
+    sample = one_of_each(read.select("_id", "text", F.col("_toxic").alias("toxic")))
     spread = docs.sparkSession.sparkContext.defaultParallelism
-    sample = stored(sample.dropDuplicates(["key", "toxic"]).repartition(spread, "key"), "toxic-sample")
+    sample = stored(sample.repartition(spread, "key"), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())

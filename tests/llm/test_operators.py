@@ -459,6 +459,21 @@ def test_toxicity_held_out(spark):
     assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.01
 
 
+def test_labelled_texts_that_share_common_words_all_count(spark):
+    rng = np.random.default_rng(7)
+    common = [f"{a}{b}" for a in "bcdfghjklm" for b in ("ane", "ise", "ote", "ulk", "err", "ash", "imp", "ond", "ust", "elt")]
+    own = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:04}")
+    rows = [(k, " ".join([*rng.permutation(common), own(k)] + ["blorgh"] * (k < 30))) for k in range(150)]
+    rows += [(200 + k, rows[0][1]) for k in range(50)]  # copies count once
+    rows += [(300 + k, rows[1][1] + " " + own(300 + k)) for k in range(50)]  # near copies too
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sample = frame.select(F.col("doc_id").alias("_id"), "text", (F.instr("text", "blorgh") > 0).cast("int").alias("toxic"))
+    terms = toxicity.learn(frame, sample.select(F.col("_id").alias("doc_id"), "toxic"), F.lit(True))[0]
+    assert "blorgh" in terms
+    kept = toxicity.one_of_each(sample).collect()
+    assert sorted(r["text"] for r in kept) == sorted(t for _, t in rows[:150])
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (9, 1), (9, 0), (None, 1), (77, None)], "doc_id long, toxic int")
     got = toxicity.scored(odd, labels, F.lit(True)).collect()
