@@ -3,14 +3,17 @@
 The lexicon is learned: words, and beginnings of words of four to six letters, that occur in far more labelled toxic
 documents than in others, by a likelihood-ratio test over the classes of near copies of each label (those of ``near_dedup``),
 one document of each. A word of a text
-is run as a Levenshtein automaton against the trie of the lexicon, one edit allowed from five letters, two from ten.
+is compared with the terms, one edit allowed from five letters, two from ten: terms of at most one edit are found by
+what a word and they have in common without one letter, for those of two edits the word is run as a Levenshtein
+automaton against their trie.
 A term at an edit distance has a weight of its own, its log-odds among the labelled documents, so that ordinary words near a term
-don't count. A hit is quoted if a quotation mark opens before it and closes after it within 80 characters. A logistic
+don't count. At a distance that no labelled document has, the weight is the log-odds of the term less a penalty for each edit, the
+mean loss of the distances that were seen. Words with digits or signs inside are run as they stand, and by their runs of letters if
+that finds nothing. A hit is quoted if a quotation mark opens before it and closes after it within 80 characters. A logistic
 regression over the sums of weights outside and inside quotations, the largest weight and the hits by length gives
 the score.
 
-Labels are learned from a bounded sample (``TOXIC`` and ``CLEAN`` documents about); the lexicon has at most ``TERMS``
-entries. Every text is scored as a whole. Null and empty texts have no hit and get the score of a text without one. If one
+Labels are learned from a bounded sample (``TOXIC`` and ``CLEAN`` documents about), which bounds the lexicon. Every text is scored as a whole. Null and empty texts have no hit and get the score of a text without one. If one
 of the two labels is missing, every score is the share of toxic labels (0 without labels). A document with several
 labels is toxic if one says so; labels without a document are ignored. Repeated rows are scored each.
 """
@@ -32,12 +35,15 @@ from accountwise.llm.language import LETTERS
 from accountwise.llm.texts import stored, text_of, uniform
 
 TOXIC, CLEAN = 2_000, 8_000
-TERMS = 600
 #: Least likelihood ratio (twice the gain in nats) of a lexicon entry.
 EVIDENCE = 20.0
 LEAST_WEIGHT = 1.0
+#: Log-odds that an edit costs, as if one term had shown it.
+EDIT_PENALTY = 1.0
 WINDOW = 80
 REMEMBERED = 300_000
+#: Runs of letters, and those that digits or signs join.
+TOKENS = re.compile(r"[^\W\d_]++(?:[0-9*@$!#+|&%^~_.-]++[^\W\d_]++)*")
 OPENS = re.compile(r"(?:^|[\s(\[])[\"'“„«‘][^\"“”„«»]*$")
 CLOSES = re.compile(r"^[^\"“”„«»]*?[\"'”“»’](?:[\s.,;:!?)\]]|$)")
 
@@ -57,6 +63,13 @@ class Node:
         self.allowed = 0
 
 
+def shortened(word: str) -> Iterator[str]:
+    """The word, and the word without one of its letters; words one edit apart have one of these in common."""
+    yield word
+    for i in range(len(word)):
+        yield word[:i] + word[i + 1 :]
+
+
 class Lexicon:
     """A trie of terms. A term that ends in * is the beginning of a word."""
 
@@ -64,9 +77,20 @@ class Lexicon:
         self.open = [t.endswith("*") for t in terms]
         self.root = Node()
         parts: dict[tuple[int, int], set[str]] = {}
+        self.terms = [t.removesuffix("*") for t in terms]
+        #: Terms of at most one edit by what is left without a letter: whole words, and beginnings with their lengths in a word.
+        self.whole: dict[str, list[int]] = {}
+        self.begin: dict[str, list[int]] = {}
+        lengths: set[int] = set()
         for k, term in enumerate(terms):
             word = term.removesuffix("*")
             e, node = edits(len(word)), self.root
+            if e < 2:
+                for v in set(shortened(word)) if e else (word,):
+                    (self.begin if self.open[k] else self.whole).setdefault(v, []).append(k)
+                if self.open[k]:
+                    lengths.update(range(len(word) - e, len(word) + e + 1))
+                continue
             for c in word:
                 node.allowed = max(node.allowed, e)
                 node = node.children.setdefault(c, Node())
@@ -77,7 +101,10 @@ class Lexicon:
             for a, b in zip(cut, cut[1:]):
                 for at in range(max(0, a - e), a + e + 1):
                     parts.setdefault((at, at + b - a), set()).add(word[a:b])
+        self.lengths = sorted(lengths)
         self.parts = [(a, b, known) for (a, b), known in parts.items()]
+        # letters after these change nothing: no term allows three edits
+        self.longest = max((len(t) for t in terms), default=0) + 3
 
     def possible(self, word: str) -> bool:
         for a, b, known in self.parts:
@@ -85,12 +112,29 @@ class Lexicon:
                 return True
         return False
 
+    def distance(self, k: int, word: str) -> int:
+        """Edits from a term of at most one edit, 2 for more than that."""
+        term = self.terms[k]
+        if word == term or self.open[k] and word.startswith(term):
+            return 0
+        i = 0
+        while i < len(term) and i < len(word) and term[i] == word[i]:
+            i += 1
+        rests = (term[i + 1 :], word[i + 1 :]), (term[i:], word[i + 1 :]), (term[i + 1 :], word[i:])
+        return 1 if any(b.startswith(a) if self.open[k] else a == b for a, b in rests) else 2
+
     def near(self, word: str) -> tuple[int, int] | None:
         """(term, edits): the nearest term within its allowance, the longest and first of equals."""
-        if not self.possible(word):
-            return None
-        best: tuple[int, int, int] | None = None
-        stack = [(self.root, list(range(len(word) + 1)), 0)]
+        found: set[int] = set()
+        if len(word) <= self.longest:
+            for v in shortened(word):
+                found.update(self.whole.get(v, ()))
+        for n in self.lengths:
+            for v in shortened(word[:n]):
+                found.update(self.begin.get(v, ()))
+        close = ((self.distance(k, word), -len(self.terms[k]), k) for k in found)
+        best = min((x for x in close if x[0] <= edits(-x[1])), default=None)
+        stack = [] if not self.possible(word) else [(self.root, list(range(len(word) + 1)), 0)]
         while stack:
             node, row, depth = stack.pop()
             for k in node.ends:
@@ -142,31 +186,58 @@ class Finder:
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
         self.met: set[str] = set()
-        self.hit: dict[str, tuple[int, int]] = {}
+        #: (start, end, term, edits) by token; a token of several runs of letters that is no hit itself has those of its runs.
+        self.hit: dict[str, list[tuple[int, int, int, int]]] = {}
+        self.runs: dict[str, int] = {}
+
+    def meet(self, token: str) -> None:
+        near = lambda w: self.lexicon.near(w[: self.lexicon.longest])
+        runs = list(LETTERS.finditer(token))
+        if len(runs) > 1:
+            self.runs[token] = len(runs)
+            found = near(token)
+            if found:
+                self.hit[token] = [(0, len(token), *found)]
+                return
+        own = [(m.start(), m.end(), *found) for m in runs if (found := near(m.group()))]
+        if own:
+            self.hit[token] = own
 
     def hits(self, text: str) -> tuple[int, list[tuple[int, int, bool]]]:
-        """The number of words, and (term, edits, quoted) of each hit."""
+        """The number of runs of letters, and (term, edits, quoted) of each hit."""
         low = text.lower()
-        words = LETTERS.findall(low)
-        own = set(words)
+        tokens = TOKENS.findall(low)
+        own = set(tokens)
         if len(self.met) > REMEMBERED:
             self.met.clear()
             self.hit.clear()
+            self.runs.clear()
         new = own - self.met
         for w in new:
-            found = self.lexicon.near(w)
-            if found:
-                self.hit[w] = found
+            self.meet(w)
         self.met |= new
+        words = len(tokens)
+        if not own.isdisjoint(self.runs):
+            words += sum(self.runs[w] - 1 for w in tokens if w in self.runs)
         if own.isdisjoint(self.hit):
-            return len(words), []
+            return words, []
         out = []
-        for m in LETTERS.finditer(low):
-            hit = self.hit.get(m.group())
-            if hit:
-                quoted = OPENS.search(low[max(0, m.start() - WINDOW) : m.start()]) and CLOSES.search(low[m.end() : m.end() + WINDOW])
-                out.append((*hit, bool(quoted)))
-        return len(words), out
+        for m in TOKENS.finditer(low):
+            for a, b, term, e in self.hit.get(m.group(), ()):
+                first, last = m.start() + a, m.start() + b
+                quoted = OPENS.search(low[max(0, first - WINDOW) : first]) and CLOSES.search(low[last : last + WINDOW])
+                out.append((term, e, bool(quoted)))
+        return words, out
+
+
+def default_weights(
+    terms: list[str], odds: list[float], seen: dict[tuple[int, int], float],
+) -> dict[tuple[int, int], float]:
+    """Weights of terms at the distances that no labelled document has; ``odds`` are the terms' log-odds, ``seen`` those of the others."""
+    lost = [(odds[t] - w) / e for (t, e), w in seen.items() if e]
+    penalty = max(0.0, (EDIT_PENALTY + sum(lost)) / (1 + len(lost)))
+    every = ((k, e) for k, t in enumerate(terms) for e in range(edits(len(t.removesuffix("*"))) + 1))
+    return {(k, e): w for k, e in every if (k, e) not in seen and (w := odds[k] - penalty * e) >= LEAST_WEIGHT}
 
 
 def features(words: int, hits: list[tuple[int, int, bool]], weights: dict[tuple[int, int], float]) -> list[float]:
@@ -234,8 +305,9 @@ def learn(docs: DataFrame, labels: DataFrame, open_ids: Column, id: str = "doc_i
     expected = (p + q) * F.lit(n[1] / both)
     evidence = 2 * (p * F.log(p / expected) + F.when(q > 0, q * F.log(q / (p + q - expected))).otherwise(0.0))
     found = counts.where(p > expected).withColumn("evidence", evidence).where(F.col("evidence") >= EVIDENCE)
-    found = found.where(F.log((p + 0.5) / (q + 0.5) * F.lit(n[0] / n[1])) >= LEAST_WEIGHT)
-    terms = [r["term"] for r in found.orderBy(F.desc("evidence"), "term").limit(TERMS).select("term").collect()]
+    found = found.withColumn("odds", F.log((p + 0.5) / (q + 0.5) * F.lit(n[0] / n[1]))).where(F.col("odds") >= LEAST_WEIGHT)
+    chosen = sorted(found.select("evidence", "term", "odds").collect(), key=lambda r: (-r["evidence"], r["term"]))
+    terms, odds = [r["term"] for r in chosen], [r["odds"] for r in chosen]
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +334,8 @@ def learn(docs: DataFrame, labels: DataFrame, open_ids: Column, id: str = "doc_i
     pos, neg = Counter(), Counter()
     for toxic, _, hits in rows:
         (pos if toxic else neg).update({(t, e) for t, e, _ in hits})
-    weights = {k: w for k in pos if (w := math.log((pos[k] + 0.5) / (neg[k] + 0.5) * n[0] / n[1])) >= LEAST_WEIGHT}
+    told = {k: math.log((pos[k] + 0.5) / (neg[k] + 0.5) * n[0] / n[1]) for k in pos | neg}
+    weights = {k: w for k, w in told.items() if k in pos and w >= LEAST_WEIGHT} | default_weights(terms, odds, told)
     x = np.array([features(words, hits, weights) for _, words, hits in rows])
     return terms, weights, fit(x, np.array([r[0] for r in rows], dtype=float)), share
 

@@ -474,6 +474,36 @@ def test_labelled_texts_that_share_common_words_all_count(spark):
     assert sorted(r["text"] for r in kept) == sorted(t for _, t in rows[:150])
 
 
+def test_words_with_digits_and_signs_inside():
+    finder = toxicity.Finder(toxicity.Lexicon(["moron", "idiot", "lose*"]))
+    assert finder.hits("a m0ron, an idi*t")[1] == [(0, 1, False), (1, 1, False)]
+    assert finder.hits("an idiot-moron. idiot.") == (4, [(1, 0, False), (0, 0, False), (1, 0, False)])
+    assert finder.hits("x" * 100_000 + "1" * 100_000 + "y loser" + "-z" * 50_000)[1] == [(2, 0, False)]
+
+
+def test_misspellings_no_labelled_text_has(spark):
+    own = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:05}")
+    rows = [(k, " ".join(f"qq{own(k)}{c}" for c in "abcdefgh") + (" you idiot" if k % 4 == 0 else " you see")) for k in range(400)]
+    asked = ["you idlot", "you idi*t", "you 1see", "you ridge"]
+    frame = spark.createDataFrame(rows + [(1000 + k, t) for k, t in enumerate(asked)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.scored(frame, labels, F.col("doc_id") < 1000).collect()}
+    assert [got[1000 + k]["predicted"] for k in range(4)] == [1, 1, 0, 0] and got[1000]["score"] < got[0]["score"]
+
+
+def test_a_lexicon_of_many_words(spark):
+    """No word that passes the test is left out: 250 words of 20 toxic documents each."""
+    own = lambda k: "".join("bcdfghjklmnp"[(k // 12**i) % 12] for i in range(4))
+    word = lambda k: f"{own(k)}tox"
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(rng.permutation([word((k * 25 + j) % 250) for j in range(25)] + [f"e{own(k)}" for _ in range(3)]))) for k in range(200)]
+    rows += [(1000 + k, " ".join(f"zz{own(k)}{c}" for c in "abcdefgh")) for k in range(800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = frame.select("doc_id", (F.col("doc_id") < 1000).cast("int").alias("toxic"))
+    terms = toxicity.learn(frame, labels, F.lit(True))[0]
+    assert {word(k) for k in range(250)} <= set(terms) and len(terms) > 600
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (9, 1), (9, 0), (None, 1), (77, None)], "doc_id long, toxic int")
     got = toxicity.scored(odd, labels, F.lit(True)).collect()
