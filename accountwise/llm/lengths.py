@@ -3,12 +3,14 @@
 Tasks encode whole texts with a public byte-level vocabulary and add up documents by length before anything is
 shuffled. Suffix sums over the histogram give, for every length that occurs, how many documents and tokens are at least
 as long, the tokens that remain if every document is cut there, and the share of documents up to it. A null text has
-no tokens. Repeated rows count each time.
+no tokens. Repeated rows count each time. Long texts are encoded whole, runs of white space of any length too. The
+driver reads the vocabulary's file and sends its bytes to the tasks.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,25 +25,48 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Lengths that share a step of the suffix sums.
 SPAN = 1024
+#: Runs of white space from this length on are encoded without the pattern, whose engine ends on very long ones.
+LONG_BLANK = 10_000
+_BLANKS = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % LONG_BLANK)
 
 
-def encoder(vocabulary: str):
+def encoding(ids: dict[bytes, int]):
     import tiktoken
 
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ids, special_tokens={})
+
+
+def ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
+
+
+def encoder(vocabulary: str):
+    with open(vocabulary, "rb") as file:
+        return encoding(ranks(file.read()))
+
+
+def encode_whole(encode, text: str) -> list[int]:
+    """The ids of a text of any length. The pattern splits a run of white space before its last sign, or at its end."""
+    out, at = [], 0
+    for run in _BLANKS.finditer(text) if len(text) >= LONG_BLANK else ():
+        stop = run.end() - (run.end() < len(text))
+        out += encode.encode_ordinary(text[at : run.start()]) + encode._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return out + encode.encode_ordinary(text[at:])
 
 
 def histogram(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(n_tokens, docs): how many documents have each length."""
 
+    with open(vocabulary, "rb") as file:
+        lines = docs.sparkSession.sparkContext.broadcast(file.read())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = None, Counter()
         for batch in batches:
-            encode = encode or encoder(vocabulary).encode_ordinary
+            encode = encode or encoding(ranks(lines.value))
             for value in batch.column(0):
-                seen[len(encode(value.as_py()))] += 1
+                seen[len(encode_whole(encode, value.as_py()))] += 1
         yield pa.RecordBatch.from_pydict(
             {"n_tokens": pa.array(list(seen), pa.int64()), "docs": pa.array(list(seen.values()), pa.int64())}
         )
