@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountwise.llm import decontaminate, language, lengths, mixing, near_dedup, pitman_yor, quality, sanitise, secret_scan, toxicity
+from accountwise.llm import alignment, collocations, decontaminate, language, lengths, mixing, near_dedup, pitman_yor, quality, sanitise, secret_scan, toxicity
 from accountwise.llm.texts import bucket, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +53,19 @@ def op10_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"), bucket("doc_id", 3) != 1)
 
 
+def op11_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(alignment.aligned(tables(spark, sf_dir, "documents"), with_groups=False))
+
+
+def op12_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(tables(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bag_minhash_dedup, op2_markov_secret_scan, op3_containment_decontamination, op4_pareto_mixing, op5_language_id,
         op6_decision_list_quality, op7_disclosure_sanitisation, op8_length_histogram, op9_pitman_yor_lm,
-        op10_toxicity_automata,
+        op10_toxicity_automata, op11_merge_path_alignment, op12_hat_trie_collocations,
     )}
 
 
@@ -84,4 +92,4 @@ HAVING count(*) >= 0.8 * any_value(n)
 
 
 def statements() -> dict[str, str]:
-    return {"op3_containment_decontamination": OP3}
+    return {"op3_containment_decontamination": OP3, "op12_hat_trie_collocations": collocations.OP12}
