@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountwise.llm import alignment, collocations, decontaminate, language, lengths, mixing, near_dedup, pitman_yor, quality, sanitise, secret_scan, toxicity
+from accountwise.llm import (
+    alignment, collocations, decontaminate, language, lengths, licences, mixing, near_dedup, pitman_yor, quality, sanitise,
+    secret_scan, toxicity,
+)
 from accountwise.llm.texts import bucket, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,11 +64,16 @@ def op12_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(tables(spark, sf_dir, "documents"))
 
 
+def op13_suffix_automaton_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(tables(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bag_minhash_dedup, op2_markov_secret_scan, op3_containment_decontamination, op4_pareto_mixing, op5_language_id,
         op6_decision_list_quality, op7_disclosure_sanitisation, op8_length_histogram, op9_pitman_yor_lm,
         op10_toxicity_automata, op11_merge_path_alignment, op12_hat_trie_collocations,
+        op13_suffix_automaton_licences,
     )}
 
 
