@@ -37,10 +37,12 @@ def brute(rows):
             done.append((r["doc_id"], 0, 0, 0, [], ""))
             continue
         a, b = placed(a), placed(b)
-        groups, begin = [], 0
-        for end in sorted({x[2] for x in a} & {x[2] for x in b}):
-            groups.append("|".join(",".join(str(k) for k, x, y in side if begin <= x and y <= end) for side in (a, b)))
-            begin = end
+        common = sorted({x[2] for x in a} & {x[2] for x in b})
+        parts = [([], []) for _ in common]
+        for side, tokens in enumerate((a, b)):
+            for k, _, end in tokens:
+                parts[bisect.bisect_left(common, end)][side].append(str(k))
+        groups = ["|".join(",".join(side) for side in part) for part in parts]
         links, starts = [], [x for _, x, _ in b]
         for k, x, y in a:
             at = bisect.bisect_right(starts, x) - 1
