@@ -53,15 +53,15 @@ def _neighbours(cells: DataFrame, axes: Sequence[str], columns: Sequence[str]) -
     )
 
 
-def connected_labels(core: DataFrame, axes: Sequence[str], max_rounds: int = 60) -> DataFrame:
+def connected_labels(core: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Smallest cell name reachable through adjacent core cells.
 
     Each round takes the best label among the neighbours, then jumps to the label of that label, which
-    shortens long chains. Every round is checkpointed to the shared folder.
+    shortens long chains. Every round is checkpointed to the shared folder; it ends when no label changes.
     """
     name = F.concat_ws(",", *[F.col(a).cast("string") for a in axes])
     labels = cut_lineage(core.select(*axes, name.alias("cell"), name.alias("label")))
-    for _ in range(max_rounds):
+    while True:
         seen = _neighbours(labels, axes, ["label"]).groupBy(*axes).agg(F.min("label").alias("near"))
         lowered = labels.join(seen, list(axes)).select(
             *axes, "cell", "label", F.least("label", "near").alias("next")
@@ -76,7 +76,6 @@ def connected_labels(core: DataFrame, axes: Sequence[str], max_rounds: int = 60)
         labels = stepped.drop("old")
         if stepped.where(F.col("label") != F.col("old")).isEmpty():
             return labels.select(*axes, "label")
-    raise RuntimeError("components did not settle; raise max_rounds")
 
 
 def density_clusters(

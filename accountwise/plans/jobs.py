@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwise.config import PRODUCT_FLAGS, Params
-from accountwise.operators import assemble, clv, cross_sell, labels, quality, segments, survival
+from accountwise.operators import assemble, clv, cross_sell, density, labels, quality, segments, survival
 from accountwise.operators.staging import bookings_with_account
 from accountwise.session import cut_lineage
 from accountwise.sources import manifest, readers, writers
@@ -134,17 +134,19 @@ def train_survival(spark: SparkSession, features: str, out: str, penalty: float
 
 
 def segment_accounts(
-    spark: SparkSession, features: str, out: str, cell: float = 0.75, min_neighbours: int = 20, min_size: int = 100,
-    axes: int = 3,
+    spark: SparkSession, features: str, out: str, reach: float = 1.0, min_neighbours: int = 20, min_size: int = 100,
+    axes: int = 2,
 ) -> dict[str, str]:
-    """Map, density clusters, rule labels and quality measures."""
+    """Map, density clusters, their profiles and rule labels, and quality measures."""
     matrix = spark.read.parquet(features)
     frame, _ = segments.segmentation_frame(matrix)
     points = cut_lineage(segments.principal_map(frame, k=axes))
     names = [f"pc_{i}" for i in range(axes)]
-    clusters = cut_lineage(segments.density_clusters(points, names, cell, min_neighbours, min_size))
+    clusters = cut_lineage(density.density_hierarchy(points, names, reach, min_neighbours=min_neighbours, min_size=min_size))
     clustered = matrix.join(clusters, "account_id")
-    labelled = cut_lineage(segments.label_accounts(clustered))
+    profiles = cut_lineage(segments.cluster_profiles(clustered))
+    labels = segments.label_clusters(profiles).select("cluster", "segment")
+    labelled = cut_lineage(clustered.join(labels, "cluster").select("account_id", "cluster", "segment"))
     placed = labelled.join(
         points.select("account_id", F.col("pc_0").alias("map_x"), F.col("pc_1").alias("map_y")), "account_id"
     )
@@ -155,6 +157,7 @@ def segment_accounts(
     return {
         "segments": _save(placed, f"{base}/account_segments"),
         "cluster_sizes": _save(segments.cluster_sizes(clusters), f"{base}/cluster_sizes"),
+        "cluster_profiles": _save(profiles, f"{base}/cluster_profiles"),
         "cluster_metrics": _save(measures, f"{base}/cluster_metrics"),
         "segment_summary": _save(segments.segment_summary(named), f"{base}/segment_summary"),
     }

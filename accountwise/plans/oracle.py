@@ -269,7 +269,8 @@ _PREFIX = "WITH " + ",\n".join(
 
 
 def statement(final: str) -> str:
-    return f"{_PREFIX}\n{final}"
+    """A final select over the common tables; a recursive statement brings its own."""
+    return final if final.lstrip().startswith("WITH RECURSIVE") else f"{_PREFIX}\n{final}"
 
 
 def r(expr: str, digits: int = 6, name: str | None = None) -> str:
@@ -540,6 +541,31 @@ SELECT bin, count(*) AS accounts FROM (
   FROM quiet, (SELECT min(s) AS lo, max(s) AS hi FROM quiet) WHERE s IS NOT NULL) GROUP BY bin""",
     # segmentation
     "g1_segmentation_frame": _standard(SEGMENTING, ""),
+    "g3b_density_levels": """
+WITH RECURSIVE spots AS (
+  SELECT min(c_custkey) AS id, x, y, count(*) AS n FROM (
+    SELECT c_custkey, round(c_acctbal / 500 * 16.0::DOUBLE)::BIGINT AS x, round(c_nationkey / 2.0::DOUBLE * 16.0::DOUBLE)::BIGINT AS y
+    FROM customer) GROUP BY x, y
+), pairs AS (
+  SELECT a.id AS a, b.id AS b, b.n, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS square FROM spots a, spots b
+  WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 256
+), core AS (
+  SELECT a AS id, min(square) AS core FROM (
+    SELECT a, square, sum(n) OVER (PARTITION BY a ORDER BY square) AS inside FROM pairs) WHERE inside >= 10 GROUP BY a
+), radii AS (
+  SELECT * FROM (VALUES (0, 16), (1, 11), (2, 8), (3, 6), (4, 4), (5, 3), (6, 2), (7, 1)) r(level, r)
+), links AS (
+  SELECT level, a, b FROM pairs p JOIN core c ON c.id = p.a JOIN core d ON d.id = p.b, radii
+  WHERE greatest(p.square, c.core, d.core) <= r * r
+), spread AS (
+  SELECT level, id, id AS label FROM core, radii WHERE core <= r * r
+  UNION
+  SELECT l.level, l.b, s.label FROM spread s JOIN links l ON l.level = s.level AND l.a = s.id WHERE s.label < l.b
+), settled AS (
+  SELECT level, id, min(label) AS component FROM spread GROUP BY level, id
+)
+SELECT level, component, count(*) AS positions, sum(n)::BIGINT AS accounts
+FROM settled JOIN spots USING (id) GROUP BY level, component""",
     "g4_cluster_sizes": "SELECT cluster, count(*) AS accounts, count(*)::DOUBLE / (SELECT count(*) FROM clustered) * 100 AS percent "
                         "FROM clustered GROUP BY cluster",
     "g5_calinski_harabasz": f"""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from accountwise.config import PRODUCTS, SEGMENT_FEATURES, SURVIVAL_COVARIATES
 from accountwise.functions.columns import as_comparable, numeric_columns
 from accountwise.operators import (
-    alerts, assemble, bi, bookings, clv, cross_sell, guards, labels, lookups, marts, quality, segments, service,
+    alerts, assemble, bi, bookings, clv, cross_sell, density, guards, labels, lookups, marts, quality, segments, service,
     staging, support, survival,
 )
 from accountwise.plans import binding
@@ -369,6 +369,20 @@ def vs6_concordance(b: Bound) -> DataFrame:
 
 
 def _density(b: Bound) -> DataFrame:
+    points = cut_lineage(segments.principal_map(b.segment_frame, k=2))
+    return density.density_hierarchy(points, ["pc_0", "pc_1"], reach=1.0, min_neighbours=20)
+
+
+def g3b_density_levels(b: Bound) -> DataFrame:
+    """The hierarchy before the choice, over given points, so that it can be checked exactly."""
+    points = b.raw("customer").select(
+        F.col("c_custkey").alias("account_id"), (F.col("c_acctbal") / 500).alias("x"), (F.col("c_nationkey") / 2).alias("y"))
+    _, levels, _ = density.density_levels(points, ["x", "y"], reach=1.0, steps=16, min_neighbours=10, per_halving=2)
+    return density.level_summary(levels)
+
+
+def g3c_grid_clusters(b: Bound) -> DataFrame:
+    """The flat alternative on a grid of three axes."""
     points = cut_lineage(segments.principal_map(b.segment_frame, k=3))
     return segments.density_clusters(points, ["pc_0", "pc_1", "pc_2"], cell=0.75, min_neighbours=20)
 
@@ -514,6 +528,8 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "g1_segmentation_frame": lambda b: rounded(b.segment_frame, 5),
     "g2_principal_map": lambda b: segments.principal_map(b.segment_frame),
     "g3_density_clusters": _density,
+    "g3b_density_levels": g3b_density_levels,
+    "g3c_grid_clusters": g3c_grid_clusters,
     "g4_cluster_sizes": lambda b: segments.cluster_sizes(b.clustered),
     "g5_calinski_harabasz": lambda b: rounded(g5_calinski_harabasz(b), 4),
     "g5b_silhouette": lambda b: rounded(g5b_silhouette(b)),
