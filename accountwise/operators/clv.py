@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,41 +63,107 @@ def split_sizes(frame: DataFrame) -> DataFrame:
     )
 
 
-def fit_boosted(
-    frame: DataFrame, inputs: Sequence[str], rounds: int = 500, depth: int = 6, step: float = 0.05,
-    grid: dict[str, list] | None = None, parallelism: int = 4, patience: int = 50, seed: int = 42,
-) -> PipelineModel:
-    """Boosted trees, as many as are best on the validation split.
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The fitted model's first n trees as a model: what n rounds with the same seed would have given."""
+    spark, fitted = SparkSession.getActiveSession(), model._java_obj
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for k, (tree, weight) in enumerate(zip(list(fitted.trees())[:n], list(fitted.treeWeights())[:n])):
+        trees[k], weights[k] = tree, weight
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(fitted.uid(), trees, weights, fitted.numFeatures())
+    return GBTRegressionModel._from_java(fitted.copyValues(cut, fitted.extractParamMap()))
 
-    The number of rounds doubles until the best one lies ``patience`` rounds back, up to ``rounds``; the seed makes the
-    shorter model the beginning of the longer. ``grid`` adds a search whose trials are scored on the same split.
-    """
+
+def _halves(frame: DataFrame, inputs: Sequence[str]) -> tuple[VectorAssembler, DataFrame, DataFrame]:
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="_inputs")
     train, held = (
-        cut_lineage(assembler.transform(frame.where(F.col("split") == part))) for part in ("train", "validation")
+        cut_lineage(assembler.transform(frame.where(F.col("split") == part)).select("_inputs", "log_target"))
+        for part in ("train", "validation")
     )
+    return assembler, train, held
+
+
+def _boosted(train: DataFrame, held: DataFrame, rounds: int, seed: int, setting: dict) -> tuple[GBTRegressionModel, np.ndarray]:
+    """One fit, and its squared error on the held-out rows after every round."""
+    given = {"subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"} | setting
+    model = GBTRegressor(featuresCol="_inputs", labelCol="log_target", maxIter=rounds, seed=seed, **given).fit(train)
+    return model, np.array(model.evaluateEachIteration(held, "squared"))
 
-    def fit(setting: dict) -> tuple[float, PipelineModel]:
-        def boosted(n: int):
-            return GBTRegressor(
-                featuresCol="_inputs", labelCol="log_target", maxIter=n, seed=seed, subsamplingRate=0.8,
-                featureSubsetStrategy="0.8", **{"maxDepth": depth, "stepSize": step, **setting},
-            ).fit(train)
-
-        n = min(rounds, 2 * patience)
-        while True:
-            model = boosted(n)
-            errors = np.array(model.evaluateEachIteration(held, "squared"))
-            if np.isnan(errors).any():  # nothing held out: nothing to stop at
-                return float("inf"), PipelineModel([assembler, model if n == rounds else boosted(rounds)])
-            best = int(errors.argmin()) + 1
-            if n == rounds or best + patience <= n:
-                return float(errors.min()), PipelineModel([assembler, model if best == n else boosted(best)])
-            n = min(rounds, 2 * n)
-
-    settings = [dict(zip(grid, values)) for values in product(*grid.values())] if grid else [{}]
-    with ThreadPool(min(parallelism, len(settings))) as pool:
-        return min(pool.map(fit, settings), key=lambda tried: tried[0])[1]
+
+def fit_boosted(
+    frame: DataFrame, inputs: Sequence[str], rounds: int = 500, depth: int = 6, step: float = 0.05,
+    setting: dict | None = None, seed: int = 42,
+) -> PipelineModel:
+    """Boosted trees, as many as are best on the validation split: one fit, evaluated after every round and cut to the best.
+
+    With nothing held out all rounds are kept. ``setting`` overrides the learner's parameters, for instance with those of
+    ``search_boosted``.
+    """
+    assembler, train, held = _halves(frame, inputs)
+    model, errors = _boosted(train, held, rounds, seed, {"maxDepth": depth, "stepSize": step} | (setting or {}))
+    best = rounds if np.isnan(errors).any() else int(errors.argmin()) + 1
+    return PipelineModel([assembler, model if best == rounds else first_trees(model, best)])
+
+
+def drawn_settings(points: int, seed: int) -> list[dict]:
+    """Settings drawn at random: depth, step (log-uniform), shares of rows and inputs, least rows of a leaf, least gain (log-uniform)."""
+    rng = np.random.default_rng(seed)
+    return [
+        {
+            "maxDepth": int(rng.integers(3, 11)), "stepSize": float(np.exp(rng.uniform(np.log(0.01), np.log(0.3)))),
+            "subsamplingRate": float(rng.uniform(0.6, 1.0)), "featureSubsetStrategy": f"{rng.uniform(0.5, 1.0):.6f}",
+            "minInstancesPerNode": int(rng.integers(1, 11)), "minInfoGain": float(np.exp(rng.uniform(np.log(1e-8), np.log(1e-1)))),
+        }
+        for _ in range(points)
+    ]
+
+
+def search_boosted(
+    frame: DataFrame, inputs: Sequence[str], points: int = 50, first: int = 8, rounds: int = 500, keep: float = 1 / 3,
+    parallelism: int = 4, seed: int = 42,
+) -> list[dict]:
+    """Successive halving: all drawn settings are fitted with few rounds, the best third of them with three times as many, and
+    so on up to ``rounds`` or one setting. A trial's error is the least after any of its rounds, on the validation split.
+
+    Returns every trial: rung, setting (its number), its parameters, rounds, best_round, rmse, kept. Ties keep the
+    smaller number. The fits are Spark jobs, ``parallelism`` of them at a time.
+    """
+    _, train, held = _halves(frame, inputs)
+    settings, alive, trials, rung, n = drawn_settings(points, seed), list(range(points)), [], 0, min(first, rounds)
+    with ThreadPool(max(1, min(parallelism, points))) as pool:
+        while alive:
+            def tried(k: int) -> dict:
+                errors = _boosted(train, held, n, seed, settings[k])[1]
+                best = n if np.isnan(errors).any() else int(errors.argmin()) + 1
+                return {
+                    "rung": rung, "setting": k, **settings[k], "rounds": n, "best_round": best, "rmse": float(np.sqrt(errors[best - 1])),
+                }
+
+            results = sorted(pool.map(tried, alive), key=lambda t: (t["rmse"], t["setting"]))
+            last = len(alive) == 1 or n == rounds
+            stay = 1 if last else max(1, int(len(alive) * keep))
+            trials += [t | {"kept": k < stay} for k, t in enumerate(results)]
+            alive = [] if last else sorted(t["setting"] for t in results[:stay])
+            rung, n = rung + 1, min(rounds, round(n / keep))
+    return trials
+
+
+def best_setting(trials: Sequence[dict]) -> dict:
+    """The learner's parameters of the trial that the search kept last."""
+    winner = [t for t in trials if t["kept"]][-1]
+    return {k: winner[k] for k in drawn_settings(1, 0)[0]}
+
+
+TRIAL = (
+    "rung int, setting int, maxDepth int, stepSize double, subsamplingRate double, featureSubsetStrategy string, "
+    "minInstancesPerNode int, minInfoGain double, rounds int, best_round int, rmse double, kept boolean"
+)
+
+
+def trial_table(spark: SparkSession, trials: Sequence[dict]) -> DataFrame:
+    names = [c.split()[0] for c in TRIAL.split(", ")]
+    return spark.createDataFrame([tuple(t[n] for n in names) for t in trials], TRIAL)
 
 
 def fit_forest(

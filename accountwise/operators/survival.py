@@ -144,89 +144,125 @@ def _day_moments(frame: DataFrame, covariates: Sequence[str], beta: np.ndarray)
     return parts.groupBy("duration", "event").agg(vector_to_array(merged).alias("m"))
 
 
-def _tie_sums(s0: float, d0: float, d: int, chunk: int = 1_000_000) -> np.ndarray:
-    """Efron: sums over the d tied events of 1/f, a/f, 1/f2, a/f2, a2/f2, log f with f = s0 - a*d0, a = l/d."""
-    out = np.zeros(6)
-    for start in range(0, d, chunk):
-        a = np.arange(start, min(d, start + chunk)) / d
-        f = s0 - a * d0
-        g = 1.0 / f
-        out += (g.sum(), (a * g).sum(), (g * g).sum(), (a * g * g).sum(), (a * a * g * g).sum(), np.log(f).sum())
-    return out
+#: Tied events of a day that are added one by one; beyond, only as many as lie next to the end, the rest by integrals.
+TIED = 4096
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(16)
+
+
+def _terms(s0: float, d0: float, d: int, at: np.ndarray) -> np.ndarray:
+    """1/f, a/f, 1/f2, a/f2, a2/f2, log f at the given places of the tied events, with f = s0 - a*d0 and a = place / d."""
+    a = at / d
+    f = s0 - a * d0
+    g = 1.0 / f
+    return np.array([g, a * g, g * g, a * g * g, a * a * g * g, np.log(f)])
+
+
+def _tie_sums(s0: float, d0: float, d: int) -> np.ndarray:
+    """Efron: the sums of the terms over the d tied events, in O(log d).
+
+    The terms are smooth but for the end, where f may come near 0: the last events are added one by one. The sum over all before is
+    the integral, taken over pieces that halve towards the end, and the first two corrections of Euler and Maclaurin.
+    """
+    if d <= TIED:
+        return _terms(s0, d0, d, np.arange(d)).sum(1)
+    m = d - TIED // 2
+    bounds, left = [0.0], float(m)
+    while left > TIED:
+        bounds.append(m - left / 2)
+        left /= 2
+    bounds = np.array([*bounds, float(m)])
+    half, middle = np.diff(bounds) / 2, (bounds[1:] + bounds[:-1]) / 2
+    nodes = middle[:, None] + half[:, None] * _NODES
+    integral = (_terms(s0, d0, d, nodes) * (half[:, None] * _WEIGHTS)).sum((1, 2))
+    ends = _terms(s0, d0, d, np.array([0.0, float(m)]))
+    # derivatives by the place, in closed form: f' = -d0 / d, a' = 1 / d
+    g, ag, gg, agg, aagg, _ = ends
+    c, a = d0 / d, np.array([0.0, m / d])
+    slope = np.array([c * gg, g / d + c * agg, 2 * c * g**3, gg / d + 2 * c * a * g**3, 2 * a * gg / d + 2 * c * a * a * g**3, -c * g])
+    sums = integral - (ends[:, 1] - ends[:, 0]) / 2 + (slope[:, 1] - slope[:, 0]) / 12
+    return sums + _terms(s0, d0, d, np.arange(m, d)).sum(1)
+
+
+@dataclass
+class CoxTerms:
+    """The penalised log-likelihood at some coefficients, its derivatives, and what the baseline hazard needs, by day."""
+
+    loglik: float
+    gradient: np.ndarray
+    hessian: np.ndarray
+    days: np.ndarray
+    deaths: np.ndarray
+    at_risk: np.ndarray
+
+    def cumulative_hazard(self) -> np.ndarray:
+        return np.cumsum(np.where(self.deaths > 0, self.deaths / self.at_risk, 0.0))
+
+
+def cox_terms(
+    data: DataFrame, covariates: Sequence[str], beta: np.ndarray, penalty: float = 0.0, ties: str = "efron"
+) -> CoxTerms:
+    """One aggregate of weighted moments per duration; one row per distinct day reaches the driver, which sums them up from
+    the last day on. The work on the driver is bounded by days, however many events are tied."""
+    p = len(covariates)
+    width = 1 + p + p * p
+    rows = _day_moments(data, covariates, beta).collect()
+    days = sorted({r["duration"] for r in rows})
+    place = {d: i for i, d in enumerate(days)}
+    n, deaths = 0, np.zeros(len(days), dtype=int)
+    everyone, dead = np.zeros((len(days), width)), np.zeros((len(days), width))
+    for r in rows:
+        at, line = place[r["duration"]], np.array(r["m"])
+        everyone[at] += line[1:]
+        n += int(line[0])
+        if r["event"]:
+            deaths[at], dead[at] = int(line[0]), line[1:]
+    s0, s1, s2 = _moments(everyone[::-1].cumsum(0)[::-1], p)
+    own = data.where(F.col("event") == 1).agg(*[F.sum(c).alias(c) for c in covariates]).first()
+    grad = np.array([own[c] or 0.0 for c in covariates], dtype=float)
+    loglik, hess = float(grad @ beta), np.zeros((p, p))
+    for k in np.flatnonzero(deaths):
+        d0, d1, d2 = _moments(dead[k] if ties == "efron" else np.zeros(width), p)
+        f, af, ff, aff, aaff, logs = _tie_sums(float(s0[k]), float(d0), int(deaths[k]))
+        loglik -= logs
+        grad -= s1[k] * f - d1 * af
+        cross = np.outer(s1[k], d1)
+        hess += s2[k] * f - d2 * af
+        hess -= np.outer(s1[k], s1[k]) * ff - (cross + cross.T) * aff + np.outer(d1, d1) * aaff
+    loglik -= 0.5 * n * penalty * float(beta @ beta)
+    return CoxTerms(
+        loglik, grad - n * penalty * beta, hess + n * penalty * np.eye(p), np.array(days, dtype=float), deaths, s0)
 
 
 def fit_cox(
     frame: DataFrame, covariates: Sequence[str] = SURVIVAL_COVARIATES, penalty: float = 0.01,
     ties: str = "efron", max_iter: int = 100, tol: float = 1e-9,
 ) -> CoxModel:
-    """Proportional hazards with an L2 penalty of n * penalty / 2 * |beta|^2.
+    """Proportional hazards with an L2 penalty of n * penalty / 2 * |beta|^2, by Newton steps.
 
-    One Newton step is one Spark aggregate of weighted moments per duration. What reaches the driver is one
-    row per distinct day, not per account; suffix sums and a p x p solve happen there. A fit that doesn't settle
-    in ``max_iter`` rounds is an error.
+    A fit that doesn't settle in ``max_iter`` rounds is an error.
     """
-    p = len(covariates)
     data = cut_lineage(frame.select("duration", "event", *covariates))
-    width = 1 + p + p * p
-
-    def by_day(beta: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, int]:
-        """Days, deaths per day, the moments of everybody and of the tied events per day, and the accounts."""
-        rows = _day_moments(data, covariates, beta).collect()
-        days = sorted({r["duration"] for r in rows})
-        place = {d: i for i, d in enumerate(days)}
-        counts, deaths = 0, np.zeros(len(days), dtype=int)
-        everyone, dead = np.zeros((len(days), width)), np.zeros((len(days), width))
-        for r in rows:
-            at, line = place[r["duration"]], np.array(r["m"])
-            everyone[at] += line[1:]
-            counts += int(line[0])
-            if r["event"]:
-                deaths[at], dead[at] = int(line[0]), line[1:]
-        return days, deaths, everyone, dead, counts
-
-    days, deaths, _, dead, n = by_day(np.zeros(p))
-    times = np.array(days, dtype=float)
-    dead_x = _moments(dead.sum(0), p)[1].copy()
-
-    def evaluate(beta: np.ndarray):
-        _, _, everyone, dead, _ = by_day(beta)
-        s0, s1, s2 = _moments(everyone[::-1].cumsum(0)[::-1], p)
-        loglik, grad, hess = float(dead_x @ beta), dead_x.copy(), np.zeros((p, p))
-        for k in np.flatnonzero(deaths):
-            d = int(deaths[k])
-            d0, d1, d2 = _moments(dead[k] if ties == "efron" else np.zeros(width), p)
-            f, af, ff, aff, aaff, logs = _tie_sums(float(s0[k]), float(d0), d)
-            loglik -= logs
-            grad -= s1[k] * f - d1 * af
-            cross = np.outer(s1[k], d1)
-            hess += s2[k] * f - d2 * af
-            hess -= np.outer(s1[k], s1[k]) * ff - (cross + cross.T) * aff + np.outer(d1, d1) * aaff
-        loglik -= 0.5 * n * penalty * float(beta @ beta)
-        return loglik, grad - n * penalty * beta, hess + n * penalty * np.eye(p), s0
-
-    beta = np.zeros(p)
-    loglik, grad, hess, s0 = evaluate(beta)
+    beta = np.zeros(len(covariates))
+    now = cox_terms(data, covariates, beta, penalty, ties)
     rounds = 0
     for rounds in range(1, max_iter + 1):
-        move = np.linalg.solve(hess, grad)
+        move = np.linalg.solve(now.hessian, now.gradient)
         shrink = 1.0
         while True:
-            trial = evaluate(beta + shrink * move)
-            if trial[0] >= loglik - 1e-9 * max(1.0, abs(loglik)):
+            trial = cox_terms(data, covariates, beta + shrink * move, penalty, ties)
+            if trial.loglik >= now.loglik - 1e-9 * max(1.0, abs(now.loglik)):
                 break
             if shrink < 1e-4:
                 raise RuntimeError(f"the Cox fit finds no better step in round {rounds}")
             shrink /= 2
         beta = beta + shrink * move
-        gained = trial[0] - loglik
-        loglik, grad, hess, s0 = trial
-        if abs(gained) < tol * max(1.0, abs(loglik)) and np.abs(move).max() < 1e-6:
+        gained, now = trial.loglik - now.loglik, trial
+        if abs(gained) < tol * max(1.0, abs(now.loglik)) and np.abs(move).max() < 1e-6:
             break
     else:
         raise RuntimeError(f"the Cox fit has not settled after {max_iter} rounds")
-    hazard = np.cumsum(np.where(deaths > 0, deaths / s0, 0.0))
-    se = np.sqrt(np.diag(np.linalg.inv(hess)))
-    return CoxModel(tuple(covariates), beta, se, times, hazard, rounds)
+    se = np.sqrt(np.diag(np.linalg.inv(now.hessian)))
+    return CoxModel(tuple(covariates), beta, se, now.days, now.cumulative_hazard(), rounds)
 
 
 def score_churn(model: CoxModel, frame: DataFrame) -> DataFrame:

@@ -12,14 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwise.config import PRODUCT_FLAGS, Params
-from accountwise.operators import assemble, clv, cross_sell, density, labels, quality, segments, survival
+from accountwise.operators import assemble, attribution, clv, cross_sell, density, labels, quality, segments, survival
 from accountwise.operators.staging import bookings_with_account
 from accountwise.session import cut_lineage
 from accountwise.sources import manifest, readers, writers
 from accountwise.sources.schemas import ENTITY_TABLES, LOGICAL_NAME, PREDICTIONS, RAW
 
-CLV_GRID = {"maxDepth": [4, 6], "stepSize": [0.05, 0.1]}
-
 
 def load_raw(spark: SparkSession, folder: str, out: str, names: Sequence[str] = tuple(RAW)) -> DataFrame:
     """CSV files ``<folder>/<table>.csv`` into the raw layer; bad rows go to the quarantine."""
@@ -82,14 +80,18 @@ def _save(df: DataFrame, path: str) -> str:
 
 def train_clv(
     spark: SparkSession, features: str, out: str, tune: bool = True, rounds: int = 500, depth: int = 6,
-    trees: int = 100,
+    trees: int = 100, points: int = 50, explained: int | None = None,
 ) -> dict[str, str]:
-    """Boosted trees and the benchmark forest: models, comparison, importances and scores with percentiles."""
+    """Boosted trees and the benchmark forest: search, models, comparison, importances, attributions and scores.
+
+    ``points`` settings are searched; ``explained`` limits the test accounts whose predictions are attributed.
+    """
     matrix = spark.read.parquet(features)
     inputs = assemble.model_inputs(matrix)
     frame = cut_lineage(clv.training_frame(matrix, inputs))
+    trials = clv.search_boosted(frame, inputs, points, rounds=rounds) if tune else []
     models = {
-        "boosted": clv.fit_boosted(frame, inputs, rounds, depth, grid=CLV_GRID if tune else None),
+        "boosted": clv.fit_boosted(frame, inputs, rounds, depth, setting=clv.best_setting(trials) if tune else None),
         "forest": clv.fit_forest(frame, inputs, trees, depth),
     }
     test, compared = frame.where(F.col("split") == "test"), None
@@ -101,7 +103,11 @@ def train_clv(
         compared = rows if compared is None else compared.unionByName(rows)
     best = models["boosted"]
     scores = cut_lineage(clv.score(best, matrix).select("account_id", "tier", "predicted_clv"))
+    values = cut_lineage(attribution.row_attributions(best, test, inputs, explained))
     return {
+        "trials": _save(clv.trial_table(spark, trials), f"{out}/clv/trials"),
+        "attributions": _save(attribution.long_attributions(values, inputs), f"{out}/clv/attributions"),
+        "attribution_importance": _save(attribution.attribution_importance(values, inputs), f"{out}/clv/attribution_importance"),
         "model_comparison": _save(clv.regression_metrics(cut_lineage(compared)), f"{out}/clv/model_comparison"),
         "feature_importance": _save(clv.feature_importance(best, inputs), f"{out}/clv/feature_importance"),
         "permutation_importance": _save(

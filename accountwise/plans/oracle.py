@@ -499,6 +499,11 @@ FROM (SELECT tier, clv_12m, CASE WHEN share < 0.7 THEN 'train' WHEN share < 0.85
   FROM (SELECT *, (row_number() OVER (PARTITION BY tier ORDER BY ('0x' || substr(md5('clv:' || account_id), 1, 8))::BIGINT) - 1)
     / (count(*) OVER (PARTITION BY tier))::DOUBLE AS share FROM features))
 GROUP BY ALL""",
+    "c5b_importance_sums": f"SELECT {len(NUMERIC) - 1}::BIGINT AS features, 1.0::DOUBLE AS total, true AS none_negative FROM features LIMIT 1",
+    "c6c_attribution_sums": f"""
+SELECT account_id, {len(NUMERIC) - 1} AS inputs, true AS adds_up
+FROM (SELECT *, (row_number() OVER (PARTITION BY tier ORDER BY ('0x' || substr(md5('clv:' || account_id), 1, 8))::BIGINT) - 1)
+  / (count(*) OVER (PARTITION BY tier))::DOUBLE AS share FROM features) WHERE share >= 0.85""",
     "c4_regression_metrics": f"""
 SELECT tier AS model, round(avg(abs(predicted - actual)), 4) AS mae, round(sqrt(avg((predicted - actual) ** 2)), 4) AS rmse,
   round(1 - avg((predicted - actual) ** 2) / nullif(var_pop(actual), 0), 6) AS r2,
@@ -517,6 +522,21 @@ FROM ({_PREDICTED}) p""",
     "vs4_median_survival": f"""
 SELECT tier, coalesce(min(duration) FILTER (WHERE survival <= 0.5)::DOUBLE, 'inf'::DOUBLE) AS median_survival_days
 FROM ({_kaplan("tier", digits=12)}) GROUP BY tier""",
+    "vs5b_cox_terms": """
+SELECT term, round(value, 5) AS value FROM (
+  WITH z AS (SELECT greatest(1, tenure_days) AS duration, coalesce(is_churned::INT, 0) AS event,
+      (tenure_days - avg(tenure_days) OVER ()) / stddev_pop(tenure_days) OVER () AS z1,
+      (num_active_products - avg(num_active_products) OVER ()) / stddev_pop(num_active_products) OVER () AS z2 FROM features),
+    w AS (SELECT *, exp(-0.8::DOUBLE * z1 - 0.3::DOUBLE * z2) AS w FROM z),
+    risk AS (SELECT duration, sum(sum(w)) OVER later AS s0, sum(sum(w * z1)) OVER later AS s1, sum(sum(w * z2)) OVER later AS s2
+      FROM w GROUP BY duration WINDOW later AS (ORDER BY duration DESC)),
+    dead AS (SELECT duration, count(*) AS d, sum(w) AS d0, sum(w * z1) AS d1, sum(w * z2) AS d2, sum(z1) AS x1, sum(z2) AS x2
+      FROM w WHERE event = 1 GROUP BY duration),
+    tied AS (SELECT *, unnest(range(d)) / d::DOUBLE AS a FROM dead JOIN risk USING (duration))
+  SELECT 'log_likelihood' AS term, (SELECT sum(-0.8::DOUBLE * x1 - 0.3::DOUBLE * x2) FROM dead) - sum(ln(s0 - a * d0)) AS value FROM tied
+  UNION ALL SELECT 'tenure_days', (SELECT sum(x1) FROM dead) - sum((s1 - a * d1) / (s0 - a * d0)) FROM tied
+  UNION ALL SELECT 'num_active_products', (SELECT sum(x2) FROM dead) - sum((s2 - a * d2) / (s0 - a * d0)) FROM tied
+  UNION ALL SELECT 'cumulative_hazard', sum(d / s0) FROM dead JOIN risk USING (duration))""",
     "vs6_concordance": """
 SELECT count(*) FILTER (WHERE a.s > b.s) AS concordant, count(*) FILTER (WHERE a.s < b.s) AS discordant,
   count(*) FILTER (WHERE a.s = b.s) AS tied,
@@ -541,6 +561,7 @@ SELECT bin, count(*) AS accounts FROM (
   FROM quiet, (SELECT min(s) AS lo, max(s) AS hi FROM quiet) WHERE s IS NOT NULL) GROUP BY bin""",
     # segmentation
     "g1_segmentation_frame": _standard(SEGMENTING, ""),
+    "g2b_axis_moments": "SELECT count(*) AS accounts, 0.0::DOUBLE AS mean_0, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS correlation, true AS ordered FROM features",
     "g3b_density_levels": """
 WITH RECURSIVE spots AS (
   SELECT min(c_custkey) AS id, x, y, count(*) AS n FROM (

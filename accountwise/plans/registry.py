@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from accountwise.config import PRODUCTS, SEGMENT_FEATURES, SURVIVAL_COVARIATES
 from accountwise.functions.columns import as_comparable, numeric_columns
 from accountwise.operators import (
-    alerts, assemble, bi, bookings, clv, cross_sell, density, guards, labels, lookups, marts, quality, segments, service,
+    alerts, assemble, attribution, bi, bookings, clv, cross_sell, density, guards, labels, lookups, marts, quality, segments, service,
     staging, support, survival,
 )
 from accountwise.plans import binding
@@ -342,6 +342,34 @@ def c5_feature_importance(b: Bound) -> DataFrame:
     return clv.feature_importance(b.forest, b.model_inputs)
 
 
+def c2b_search(b: Bound) -> DataFrame:
+    trials = clv.search_boosted(b.training, b.model_inputs, points=50, first=4, rounds=108)
+    return clv.trial_table(b.spark, trials)
+
+
+def c5b_importance_sums(b: Bound) -> DataFrame:
+    found = clv.feature_importance(b.forest, b.model_inputs)
+    return found.agg(
+        F.count("feature").alias("features"), F.round(F.sum("importance"), 9).alias("total"),
+        F.bool_and(F.col("importance") >= 0).alias("none_negative"))
+
+
+def _attributions(b: Bound) -> DataFrame:
+    return attribution.row_attributions(b.boosted, b.training.where(F.col("split") == "test"), b.model_inputs)
+
+
+def c6b_row_attributions(b: Bound) -> DataFrame:
+    return attribution.long_attributions(_attributions(b), b.model_inputs)
+
+
+def c6c_attribution_sums(b: Bound) -> DataFrame:
+    """Whether each test account's attributions and the expectation add up to the model's own prediction."""
+    model = b.boosted.transform(b.training).select("account_id", F.col("prediction").alias("own"))
+    added = F.col("expected") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    return _attributions(b).join(model, "account_id").select(
+        "account_id", F.size("contributions").alias("inputs"), (F.abs(added - F.col("own")) < 1e-6).alias("adds_up"))
+
+
 def c6_permutation_importance(b: Bound) -> DataFrame:
     return clv.permutation_importance(b.forest, b.training.where(F.col("split") == "test"), b.model_inputs)
 
@@ -350,6 +378,14 @@ def vs5_cox(b: Bound) -> DataFrame:
     return survival.fit_cox(b.survival).summary(b.spark)
 
 
+def vs5b_cox_terms(b: Bound) -> DataFrame:
+    """Likelihood, gradient and baseline hazard at given coefficients, so that they can be checked exactly."""
+    names = ("tenure_days", "num_active_products")
+    terms = survival.cox_terms(cut_lineage(b.survival.select("duration", "event", *names)), names, np.array([-0.8, -0.3]))
+    rows = [("log_likelihood", terms.loglik), *zip(names, terms.gradient), ("cumulative_hazard", terms.cumulative_hazard()[-1])]
+    return b.spark.createDataFrame([(n, round(float(v), 5)) for n, v in rows], "term string, value double")
+
+
 def vs7_churn_scores(b: Bound) -> DataFrame:
     return survival.score_churn(survival.fit_cox(b.survival), b.survival)
 
@@ -406,6 +442,23 @@ def x2_classifiers(b: Bound) -> DataFrame:
     return cross_sell.probability_matrix(models, frame)
 
 
+def x2b_classifier_invariants(b: Bound) -> DataFrame:
+    """By product: accounts, those that have it now, and whether every score is a probability."""
+    long = cross_sell.long_scores(b.written("fitted_probabilities", lambda: x2_classifiers(b)))
+    return long.groupBy("product").agg(
+        F.count(F.lit(1)).alias("accounts"), F.sum("label").cast("bigint").alias("current"),
+        F.bool_and(F.col("score").between(0, 1)).alias("probabilities"))
+
+
+def g2b_axis_moments(b: Bound) -> DataFrame:
+    """The axes: as many accounts as there are, centred, uncorrelated, the first the longer."""
+    axes = segments.principal_map(b.segment_frame)
+    zero = lambda c: F.round(F.abs(c), 6)
+    return axes.agg(
+        F.count(F.lit(1)).alias("accounts"), zero(F.avg("pc_0")).alias("mean_0"), zero(F.avg("pc_1")).alias("mean_1"),
+        zero(F.corr("pc_0", "pc_1")).alias("correlation"), (F.var_pop("pc_0") >= F.var_pop("pc_1")).alias("ordered"))
+
+
 def x6_probability_matrix(b: Bound) -> DataFrame:
     long = cross_sell.long_scores(b.stored("probabilities")).withColumnRenamed("label", "is_current")
     return cross_sell.matrix_from_long(long)
@@ -510,7 +563,11 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "c4_regression_metrics": lambda b: rounded(rounded(clv.regression_metrics(b.predictions), 6, ("r2",)), 4,
                                                ("mae", "rmse", "mape", "median_ae")),
     "c5_feature_importance": c5_feature_importance,
+    "c2b_search": c2b_search,
+    "c5b_importance_sums": c5b_importance_sums,
     "c6_permutation_importance": c6_permutation_importance,
+    "c6b_row_attributions": c6b_row_attributions,
+    "c6c_attribution_sums": c6c_attribution_sums,
     "c7_clv_percentile": lambda b: clv.clv_percentiles(
         b.predictions.select("account_id", F.col("predicted").alias("predicted_clv")), b.stored_features),
     "vs1_survival_frame": lambda b: rounded(b.survival.drop("tier"), 5, SURVIVAL_COVARIATES),
@@ -520,6 +577,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
         survival.kaplan_meier(survival.tier_thirds(b.survival), "tier_group", 10), 8),
     "vs4_median_survival": lambda b: survival.median_survival(survival.kaplan_meier(b.survival, "tier"), "tier"),
     "vs5_cox": vs5_cox,
+    "vs5b_cox_terms": vs5b_cox_terms,
     "vs6_concordance": lambda b: rounded(vs6_concordance(b), 8),
     "vs7_churn_scores": vs7_churn_scores,
     "vs7b_churn_scores_given_model": lambda b: rounded(vs7b_churn_scores_given_model(b), 6),
@@ -527,6 +585,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "vs8_risk_histogram": lambda b: survival.risk_histogram(b.stored("churn_predictions")),
     "g1_segmentation_frame": lambda b: rounded(b.segment_frame, 5),
     "g2_principal_map": lambda b: segments.principal_map(b.segment_frame),
+    "g2b_axis_moments": g2b_axis_moments,
     "g3_density_clusters": _density,
     "g3b_density_levels": g3b_density_levels,
     "g3c_grid_clusters": g3c_grid_clusters,
@@ -538,7 +597,8 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "g8_segment_summary": lambda b: segments.segment_summary(b.clustered.join(
         b.segments.select("account_id", "segment"), "account_id")),
     "x1_adoption_rates": lambda b: cross_sell.adoption_rates(cross_sell.adoption_frame(b.stored_features)),
-    "x2_classifiers": x2_classifiers,
+    "x2_classifiers": lambda b: b.written("fitted_probabilities", lambda: x2_classifiers(b)),
+    "x2b_classifier_invariants": x2b_classifier_invariants,
     "x3_ranking_metrics": lambda b: cross_sell.ranking_metrics(cross_sell.long_scores(b.stored("probabilities"))),
     "x4_precision_recall_curve": lambda b: rounded(
         cross_sell.precision_recall_curve(cross_sell.long_scores(b.stored("probabilities"))), 8),

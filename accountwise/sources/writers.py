@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from accountwise.operators import marts, staging
@@ -68,11 +68,11 @@ def load_raw_layer(spark: SparkSession, files: Mapping[str, str], folder: str) -
                 raise
             continue
         target = f"{folder}/raw/{name}.parquet"
-        load.good.write.mode("overwrite").parquet(target)
+        written = Observation(name)
+        load.good.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
         load.rejected.write.mode("overwrite").parquet(f"{folder}/quarantine/{name}.parquet")
-        stored = spark.read.parquet(target).agg(F.count(F.lit(1))).scalar()
         row = load.counts.select(
-            F.lit(name).alias("table_name"), "loaded", "rejected", (F.col("loaded") == stored).alias("verified")
+            F.lit(name).alias("table_name"), "loaded", "rejected", (F.col("loaded") == written.get["rows"]).alias("verified")
         )
         summary = row if summary is None else summary.unionByName(row)
     if summary is None:

@@ -212,3 +212,11 @@ def test_hot_traveler_is_split(spark):
         want[i] = (t, t % 50 if t < 990 else None)
     assert len(rows) == n
     assert {r["booking_id"]: (r["traveler_id"], r["account_id"]) for r in rows} == want
+
+
+@pytest.mark.parametrize("s0, d0, d", [(1.5e6, 1.5e6, 1_000_000), (7e9, 3e4, 200_000), (9000.0, 8000.0, 4097), (55.0, 50.0, 60)])
+def test_tied_events_are_summed_without_a_loop(s0, d0, d):
+    from accountwise.operators import survival
+
+    want = survival._terms(s0, d0, d, np.arange(d)).sum(1)
+    assert survival._tie_sums(s0, d0, d) == pytest.approx(want, rel=1e-9)

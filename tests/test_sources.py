@@ -30,6 +30,35 @@ def test_bulk_load_quarantines(spark, tmp_path):
     assert tuple(load.counts.first()) == (2, 2)
 
 
+@pytest.mark.parametrize("size", ["128m", "40b", "7b"])
+def test_quoted_line_breaks_on_blocks_of_any_size(spark, tmp_path, size):
+    import csv
+
+    cells = ["plain", "two\nlines", 'a "quoted" word\nand more\n\nend', "", "x" * 30 + "\n" + "y" * 30, "comma, semi", "last\n"]
+    for part in range(2):
+        with open(tmp_path / f"p{part}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator="\n" if part else "\r\n", quoting=csv.QUOTE_MINIMAL)
+            out.writerow(["traveler_id", "account_id", "role", "travel_tier"])
+            out.writerows([f"{part}-{k}", "A", cells[k % 7], "z"] for k in range(23))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        load = readers.bulk_load_raw(spark, str(tmp_path), readers.schema_of(RAW["traveler_profiles"]))
+        got = {r["traveler_id"]: r["role"] for r in load.good.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {f"{p}-{k}": cells[k % 7] or None for p in range(2) for k in range(23)}
+    assert tuple(load.counts.first()) == (46, 0) and load.rejected.isEmpty()
+
+
+def test_files_with_another_header_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("traveler_id,account_id,role,travel_tier\nt,A,r,z\n")
+    (tmp_path / "b.csv").write_text("account_id,traveler_id,role,travel_tier\nA,t,r,z\n")
+    with pytest.raises(Exception, match="another header"):
+        readers.bulk_load_raw(spark, str(tmp_path), readers.schema_of(RAW["traveler_profiles"]))
+
+
 def test_parquet_before_csv_and_missing(spark, tmp_path):
     df = spark.createDataFrame([("A", "T", "r", "x")], "account_id string, traveler_id string, role string, travel_tier string")
     folder = str(tmp_path)
