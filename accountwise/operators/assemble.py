@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from accountwise.config import MODEL_EXCLUDED, PRODUCT_FLAGS, SENSITIVE_NAME_PARTS, TIER_RANK, Params
 from accountwise.functions.columns import day, days_between, lookup, numeric_columns
 from accountwise.operators.bookings import booking_features
-from accountwise.operators.labels import clv_labels
+from accountwise.operators.labels import value_ahead
 from accountwise.operators.ranking import melt
 from accountwise.operators.service import service
 from accountwise.operators.support import support
@@ -20,7 +20,7 @@ from accountwise.operators.support import support
 def assemble(
     accounts: DataFrame,
     groups: list[DataFrame],
-    labels: DataFrame,
+    labels: DataFrame | None,
     p: Params,
     feature_ts: datetime,
     null_recency: bool = False,
@@ -28,7 +28,7 @@ def assemble(
     """Left-join the feature groups to the accounts; numeric NULLs become 0, the rest stays as it is.
 
     Every side has one row per account, so the joins cannot fan out or skew. ``null_recency`` keeps
-    "never booked" apart from "booked on the cutoff day".
+    "never booked" apart from "booked on the cutoff day". Without ``labels`` the groups bring what the label is made of.
     """
     base = accounts.select(
         "account_id", "tier", "region", "industry", "is_churned",
@@ -41,7 +41,11 @@ def assemble(
     base = base.withColumn("tenure_days", F.when(F.col("_dated"), F.col("tenure_days"))).drop("_dated")
     for group in groups:
         base = base.join(group, "account_id", "left")
-    base = base.join(labels.select("account_id", F.col("clv_12m").cast("double")), "account_id", "left")
+    if labels is None:
+        ahead = ("revenue_ahead", "active_cents", "cost_ahead")
+        base = base.withColumn("clv_12m", value_ahead(*map(F.col, ahead)).cast("double")).drop(*ahead)
+    else:
+        base = base.join(labels.select("account_id", F.col("clv_12m").cast("double")), "account_id", "left")
     keep_null = {"account_id"} | ({"days_since_last_booking"} if null_recency else set())
     return base.na.fill(0, numeric_columns(base, keep_null)).withColumn(
         "feature_timestamp", F.lit(feature_ts).cast("timestamp_ntz")
@@ -51,12 +55,14 @@ def assemble(
 def account_features(
     tables: dict[str, DataFrame], p: Params, feature_ts: datetime, labels: DataFrame | None = None
 ) -> DataFrame:
-    """The whole matrix. ``tables['bookings']`` carry ``account_id``."""
-    labels = labels if labels is not None else clv_labels(
-        tables["accounts"], tables["bookings"], tables["contracts"], tables["tickets"], p
-    )
+    """The whole matrix. ``tables['bookings']`` carry ``account_id``.
+
+    Without given labels, each table's one scan also adds up the label period: no table is read twice.
+    """
+    own = labels is None
     groups = [
-        booking_features(tables["bookings"], p), service(tables["contracts"], p), support(tables["tickets"], p),
+        booking_features(tables["bookings"], p, with_revenue=own), service(tables["contracts"], p, with_cents=own),
+        support(tables["tickets"], p, with_cost=own),
     ]
     return assemble(tables["accounts"], groups, labels, p, feature_ts)
 

@@ -21,14 +21,15 @@ OLDER = 2_000_000_000  # band of everything before the longest window
 MONTH, BAND, PLACE = "month", "band", "destination"
 
 
-def history(bookings: DataFrame, p: Params) -> DataFrame:
-    """Bookings strictly before the cutoff whose account is known, reduced to what the features read."""
-    past = bookings.where((F.col("booking_date") < day(p.cutoff)) & F.col("account_id").isNotNull())
+def history(bookings: DataFrame, p: Params, *more: Column, until: Column | None = None) -> DataFrame:
+    """Bookings strictly before the cutoff (or ``until``) whose account is known, reduced to what the features read."""
+    end = day(p.cutoff) if until is None else until
+    past = bookings.where((F.col("booking_date") < end) & F.col("account_id").isNotNull())
     return past.select(
         "account_id", "booking_date", "is_cancelled", "is_out_of_policy",
         F.col("destination_region").alias(PLACE), cents(F.col("amount")).alias("paid"),
         days_between(F.col("booking_date"), F.col("travel_date")).alias("lead"),
-        F.trunc("booking_date", "month").alias(MONTH), _band(p).alias(BAND),
+        F.trunc("booking_date", "month").alias(MONTH), _band(p).alias(BAND), *more,
     )
 
 
@@ -40,7 +41,7 @@ def _band(p: Params) -> Column:
     return out.otherwise(F.lit(OLDER))
 
 
-def _cells(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _cells(rows: DataFrame, keys: tuple[str, ...], *more: Column) -> DataFrame:
     kept = ~F.col("is_cancelled")
     return rows.groupBy("account_id", *keys).agg(
         F.count("booking_date").alias("n"),
@@ -49,7 +50,7 @@ def _cells(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         F.count_if(kept & F.col("paid").isNotNull()).alias("priced"),
         F.max(F.when(kept, F.col("booking_date"))).alias("last_kept"),
         F.count_if("is_out_of_policy").alias("n_oop"),
-        F.sum("lead").alias("lead_days"), F.count("lead").alias("lead_n"),
+        F.sum("lead").alias("lead_days"), F.count("lead").alias("lead_n"), *more,
     )
 
 
@@ -155,22 +156,28 @@ def policy(bookings: DataFrame, p: Params) -> DataFrame:
     return _per_account(_cells(history(bookings, p), (BAND, PLACE)), _policy(p))
 
 
-def booking_features(bookings: DataFrame, p: Params) -> DataFrame:
+def booking_features(bookings: DataFrame, p: Params, with_revenue: bool = False) -> DataFrame:
     """All three families from ONE scan and ONE join to travelers.
 
     Each booking feeds its (month, band) cell, which carries the counts, and an empty cell that only marks
     its destination. The second shuffle, by account, moves cells and serves the month index, the final
-    sums and the joins of the assembly.
+    sums and the joins of the assembly. ``with_revenue`` adds ``revenue_ahead``, the cents of the kept bookings of
+    the label period, which enter one more cell of their account and no feature.
     """
-    marks = F.explode(F.array(F.lit(False), F.lit(True))).alias("mark")
-    rows = history(bookings, p).select("*", marks)
+    ahead = F.col("booking_date") >= day(p.cutoff)
+    kinds = F.when(ahead, F.array(F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+    kind = F.explode(kinds if with_revenue else F.array(F.lit(0), F.lit(1))).alias("kind")
+    rows = history(bookings, p, until=day(p.ahead(p.label_days)) if with_revenue else None).select("*", kind)
     counted = ("booking_date", "is_cancelled", "is_out_of_policy", "paid", "lead", MONTH, BAND)
     rows = rows.select(
-        "account_id", *[F.when(~F.col("mark"), F.col(c)).alias(c) for c in counted],
-        F.when(F.col("mark"), F.col(PLACE)).alias(PLACE),
+        "account_id", *[F.when(F.col("kind") == 0, F.col(c)).alias(c) for c in counted],
+        F.when(F.col("kind") == 1, F.col(PLACE)).alias(PLACE),
+        F.when((F.col("kind") == 2) & ~F.col("is_cancelled"), F.col("paid")).alias("ahead"),
     )
-    cells = _cells(rows, (MONTH, BAND, PLACE)).repartition("account_id")
+    cells = _cells(rows, (MONTH, BAND, PLACE), F.sum("ahead").alias("ahead")).repartition("account_id")
     features = _rfm(p) | _trends() | _behaviour(p) | _policy(p)
+    if with_revenue:
+        features["revenue_ahead"] = F.sum("ahead")
     # every destination is one marked cell by now: a plain count is the distinct count
     features["destination_diversity"] = F.count(PLACE)
     return _per_account(_with_month_positions(cells), features)

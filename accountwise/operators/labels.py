@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountwise.config import SEVERITY_COST, Params
@@ -41,8 +41,16 @@ def clv_labels(
         joined = joined.join(part, "account_id", "left")
     parts = ("booking_revenue_12m", "contract_value_active", "support_cost_12m")
     joined = joined.na.fill(0, list(parts))
-    value = F.greatest(F.lit(0), F.col(parts[0]) + F.col(parts[1]) - F.col(parts[2]))
-    as_money = lambda c: (c.cast("decimal(20,0)") / 100).cast("decimal(20,2)")
     return joined.select(
-        "account_id", *[as_money(F.col(c)).alias(c) for c in parts], as_money(value).alias("clv_12m")
+        "account_id", *[as_money(F.col(c)).alias(c) for c in parts], value_ahead(*map(F.col, parts)).alias("clv_12m")
     )
+
+
+def as_money(total_cents: Column) -> Column:
+    return (total_cents.cast("decimal(20,0)") / 100).cast("decimal(20,2)")
+
+
+def value_ahead(revenue: Column, contracted: Column, cost: Column) -> Column:
+    """The label, from whole cents; NULL is 0."""
+    revenue, contracted, cost = (F.coalesce(c, F.lit(0)) for c in (revenue, contracted, cost))
+    return as_money(F.greatest(F.lit(0), revenue + contracted - cost))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwise.config import HIGH_RISK, PRODUCT_FLAGS, PRODUCTS, SURVIVAL_HORIZONS
@@ -55,7 +55,43 @@ def account_page(
     if segment:
         rows = rows.where(F.col("segment") == segment)
     total = rows.agg(F.count(F.lit(1))).scalar()
-    page = rows.orderBy("account_id").offset(offset).limit(limit)
+    return _page_columns(rows.orderBy("account_id").offset(offset).limit(limit), total)
+
+
+def page_after(
+    spark: SparkSession, path: str, after=None, tier: str | None = None, segment: str | None = None, limit: int = 50
+) -> DataFrame:
+    """The page behind an account id, from a table of ``writers.write_pages``: the same rows as an offset, at any depth.
+
+    The index names the ranges that hold the page and has the number of matching accounts; no other range is read.
+    """
+    if not 1 <= limit <= MAX_PAGE:
+        raise ValueError(f"limit must be 1..{MAX_PAGE}")
+
+    def matching(rows: DataFrame) -> DataFrame:
+        if tier:
+            rows = rows.where(F.col("tier") == tier)
+        return rows.where(F.col("segment") == segment) if segment else rows
+
+    index = matching(spark.read.parquet(f"{path}/index"))
+    total = index.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    ranges = index.groupBy("page_range").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    if after is not None:
+        ranges = ranges.where(F.col("last") > after)
+    # the first range may hold only one match behind the id, every other one all of its own
+    chosen, sure = [], 1
+    for r in ranges.orderBy("page_range").limit(limit).collect():
+        chosen.append(r["page_range"])
+        sure += r["n"] if len(chosen) > 1 else 0
+        if sure >= limit:
+            break
+    rows = matching(spark.read.parquet(f"{path}/rows").where(F.col("page_range").isin(chosen)))
+    if after is not None:
+        rows = rows.where(F.col("account_id") > after)
+    return _page_columns(rows.orderBy("account_id").limit(limit), total)
+
+
+def _page_columns(page: DataFrame, total: Column) -> DataFrame:
     return page.select(
         "account_id", "tier", "region", "industry", F.round("clv_12m", 2).alias("clv_12m"), "is_churned",
         "booking_count_90d", F.round("total_spend_90d", 2).alias("total_spend_90d"), "num_active_products",

@@ -44,7 +44,7 @@ def _renewals_on_day() -> Column:
     return F.when(F.col("start_date").isNotNull(), F.col("n_soon") - last_is_soon.cast("int")).otherwise(0)
 
 
-def service(contracts: DataFrame, p: Params, before_cutoff_only: bool = False) -> DataFrame:
+def service(contracts: DataFrame, p: Params, before_cutoff_only: bool = False, with_cents: bool = False) -> DataFrame:
     """Active products, diversity, value, renewals and adoption flags.
 
     Renewals look at all contracts by default, also those after the cutoff; ``before_cutoff_only`` closes
@@ -81,7 +81,7 @@ def service(contracts: DataFrame, p: Params, before_cutoff_only: bool = False) -
             (-F.sum(entropy_term) / F.lit(math.log2(len(PRODUCTS)))).alias("product_diversity_score"),
             money(F.sum("active_value")).alias("active_contract_value"),
             F.sum(F.when(named, F.col("n_renewed"))).alias("contract_renewal_count"),
-            *flags,
+            *flags, *([F.sum("active_value").alias("active_cents")] if with_cents else []),
         )
     )
 

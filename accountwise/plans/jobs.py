@@ -35,7 +35,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Staging views and marts. Fails without published predictions, unless told to do without."""
     tables = readers.load_tables(spark, folder, names=tuple(RAW), optional=("clv_labels", *PREDICTIONS))
-    return writers.write_marts(writers.build_layers(tables, as_of, without_predictions), out)
+    return writers.write_layers(tables, as_of, out, without_predictions)
 
 
 def publish_predictions(spark: SparkSession, models: str, raw: str) -> dict[str, str]:

@@ -818,6 +818,24 @@ SELECT account_id, tier, round(churn_risk_score, 6) AS churn_risk_score FROM chu
 WHERE risk_level = 'High' AND account_id NOT IN ({_EARLIER})"""
 FINAL["t3_first_alerts"] = f"""
 SELECT account_id, 1 AS alerts FROM (SELECT account_id FROM churn WHERE risk_level = 'High' UNION {_EARLIER})"""
+FINAL["t3b_cooled_alerts"] = FINAL["t3_first_alerts"].replace("1 AS alerts", "1::BIGINT AS alerts, 0::BIGINT AS late_rows", 1)
+FINAL["s5b_loaded_rows"] = """
+SELECT ticket_id::VARCHAR AS ticket_id, account_id::VARCHAR AS account_id, CAST(created_date::TIMESTAMP AS VARCHAR) AS created_date,
+  CAST(resolved_date::TIMESTAMP AS VARCHAR) AS resolved_date, severity, category || chr(10) || '"' || severity || '"' AS category,
+  resolution_hours::DOUBLE AS resolution_hours
+FROM tickets WHERE ticket_id % 40 <> 7"""
+FINAL["s7b_stored_features"] = FINAL["f6_assemble_features"]
+FINAL["s8b_stored_probabilities"] = "SELECT account_id, " + ", ".join(
+    f's{i} AS "{name}_score", c{i} AS "{name}_current"' for i, name in enumerate(PRODUCTS)) + " FROM probs"
+FINAL["s9b_stored_bookings"] = FINAL["m5_fact_bookings"]
+FINAL["s10_manifest"] = """
+SELECT path, CASE path WHEN 'region.parquet' THEN 'changed' WHEN 'part.parquet' THEN 'new' WHEN 'gone.parquet' THEN 'missing' ELSE 'ok' END AS status
+FROM (SELECT unnest(string_split('region nation customer supplier part orders lineitem events documents embeddings pages benchmark '
+  || 'labels conversations gone', ' ')) || '.parquet' AS path)"""
+FINAL["v3b_account_page_after"] = FINAL["v3_account_page"].replace("ORDER BY account_id LIMIT 50 OFFSET 20", "") + (
+    " QUALIFY account_id > 500 ORDER BY account_id LIMIT 50")
+FINAL["x2b_classifier_invariants"] = """
+SELECT product, count(*) AS accounts, sum(label)::BIGINT AS current, true AS probabilities FROM scores GROUP BY product"""
 FINAL["x1_adoption_rates"] = """
 SELECT * FROM (""" + FINAL["x1_adoption_rates"].replace("FROM x GROUP", """FROM (
   SELECT *, CASE WHEN share < 0.8 THEN 'train' ELSE 'test' END AS split FROM (SELECT *,

@@ -281,6 +281,18 @@ def s5_bulk_load_raw(b: Bound) -> DataFrame:
     return writers.load_raw_layer(b.spark, {"support_tickets": f"{folder}/in"}, folder)
 
 
+def s5b_loaded_rows(b: Bound) -> DataFrame:
+    """The rows that the load of ``s5`` stores, with line breaks within quoted cells."""
+    folder = run_dir(b.spark, "bulk")
+    broken = F.when(F.col("ticket_id") % 40 == 7, F.lit("not a date")).otherwise(F.col("created_date"))
+    text = _as_text(b.tables["tickets"]).withColumns({
+        "created_date": broken, "category": F.concat("category", F.lit("\n\""), "severity", F.lit('"'))})
+    # Spark's own writer leaves line breaks as they are within its quotes
+    text.write.csv(f"{folder}/in", header=True, escape='"')
+    writers.load_raw_layer(b.spark, {"support_tickets": f"{folder}/in"}, folder)
+    return b.spark.read.parquet(f"{folder}/raw/support_tickets.parquet")
+
+
 def s6_load_predictions(b: Bound) -> DataFrame:
     folder = run_dir(b.spark, "predictions")
     frames = {"churn_predictions": b.predicted["churn_predictions"], "clv_labels": _raw_frames(b)["clv_labels"]}
@@ -307,8 +319,22 @@ def s8_write_predictions(b: Bound) -> DataFrame:
     return out
 
 
+def s7b_stored_features(b: Bound) -> DataFrame:
+    return rounded(b.spark.read.parquet(writers.write_features(b.features, run_dir(b.spark, "features"), "parquet")[0]))
+
+
+def s8b_stored_probabilities(b: Bound) -> DataFrame:
+    paths = writers.write_predictions({"probabilities": b.predicted["probabilities"]}, run_dir(b.spark, "artifacts"))
+    return b.spark.read.parquet(paths["probabilities"])
+
+
+def s9b_stored_bookings(b: Bound) -> DataFrame:
+    layers = writers.write_layers(b.predicted, AS_OF, run_dir(b.spark, "layers"))
+    return layers["fact_bookings"].drop("booking_month")
+
+
 def s9_write_layers(b: Bound) -> DataFrame:
-    layers = writers.write_marts(writers.build_layers(b.predicted, AS_OF), run_dir(b.spark, "layers"))
+    layers = writers.write_layers(b.predicted, AS_OF, run_dir(b.spark, "layers"))
     out = None
     for name, df in layers.items():
         row = df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n_rows"))
@@ -317,8 +343,12 @@ def s9_write_layers(b: Bound) -> DataFrame:
 
 
 def s10_manifest(b: Bound) -> DataFrame:
+    """The data set against a manifest in which one file had other contents, one was missing and one more was there."""
     now = cut_lineage(manifests.manifest(b.spark, b.dir))
-    return manifests.verify(now, now).join(now, "path")
+    known = now.where("path != 'part.parquet'").withColumn(
+        "sha256", F.when(F.col("path") == "region.parquet", F.sha2("sha256", 256)).otherwise(F.col("sha256")))
+    gone = now.where("path = 'part.parquet'").withColumn("path", F.lit("gone.parquet"))
+    return manifests.verify(known.unionByName(gone), now)
 
 
 # --- models ------------------------------------------------------------------------
@@ -497,6 +527,24 @@ def t3_first_alerts(b: Bound) -> DataFrame:
     )
 
 
+def t3b_cooled_alerts(b: Bound) -> DataFrame:
+    """The same two snapshots with a cooling period kept in state: an alert for each account, no row late."""
+    folder = run_dir(b.spark, "snapshots")
+    for hour, churn in enumerate((b.earlier_churn, b.churn)):
+        churn.select("account_id", "risk_level", "churn_risk_score").withColumn(
+            "scored_at", F.expr(f"timestamp'2001-08-02 0{hour}:00:00'")
+        ).write.mode("append").parquet(folder)
+    stream = b.spark.readStream.schema(b.spark.read.parquet(folder).schema).parquet(folder)
+    out = activity.drain(b.spark, activity.cooled_alerts(stream), "cooled")
+    return out.groupBy("account_id").agg(F.count_if(F.col("kind") == "alert").alias("alerts"), F.sum("late_rows").alias("late_rows"))
+
+
+def v3b_account_page_after(b: Bound) -> DataFrame:
+    rows = b.stored_features.join(b.segments.select("account_id", "segment"), "account_id", "left")
+    path = writers.write_pages(rows, run_dir(b.spark, "pages"), rows_per_range=100)
+    return lookups.page_after(b.spark, path, after=500, tier="Gold")
+
+
 def _feature_columns(key: str):
     family, columns = SINGLE_FEATURES[key]
     build = {
@@ -525,6 +573,10 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "s7_write_features": s7_write_features,
     "s8_write_predictions": s8_write_predictions,
     "s9_write_layers": s9_write_layers,
+    "s5b_loaded_rows": s5b_loaded_rows,
+    "s7b_stored_features": s7b_stored_features,
+    "s8b_stored_probabilities": s8b_stored_probabilities,
+    "s9b_stored_bookings": s9b_stored_bookings,
     "s10_manifest": s10_manifest,
     "p1_stg_corporate_accounts": lambda b: b.staged["accounts"],
     "p2_stg_bookings": lambda b: b.staged["bookings"],
@@ -607,6 +659,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "x7_recommendation_distribution": lambda b: cross_sell.recommendation_distribution(b.stored("recommendations")),
     "v1_churn_lookup": lambda b: lookups.churn_lookup(b.stored("churn_predictions")),
     "v2_cross_sell_lookup": lambda b: lookups.cross_sell_lookup(b.stored("probabilities")),
+    "v3b_account_page_after": v3b_account_page_after,
     "v3_account_page": lambda b: lookups.account_page(b.stored_features, b.segments, tier="Gold", offset=20),
     "v4_account_profile": lambda b: b.profile.select("*", "key_metrics.*").drop("key_metrics"),
     "v5_segment_overview": lambda b: lookups.segment_overview(b.stored_features, b.segments),
@@ -657,6 +710,7 @@ QUERIES: dict[str, Callable[[Bound], DataFrame]] = {
     "t1_windowed_activity": lambda b: rounded(t1_windowed_activity(b), 4),
     "t2_activity_sessions": lambda b: rounded(t2_activity_sessions(b), 4),
     "t3_first_alerts": t3_first_alerts,
+    "t3b_cooled_alerts": t3b_cooled_alerts,
     "t4_winsorised_amounts": lambda b: rounded(guards.winsorise(b.tables["bookings"].select(
         "booking_id", "traveler_id", "booking_date", "amount"), "amount"), 4),
     "t5_score_drift": lambda b: rounded(guards.score_drift(

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 SUFFIXES = ("joblib", "pkl", "pickle", "json", "parquet", "csv")
 
-#: Files up to this size are hashed as one value by Spark's reader, larger ones in chunks.
-WHOLE_BYTES, CHUNK_BYTES = 64 << 20, 8 << 20
+#: Files are read in pieces of this size.
+CHUNK_BYTES = 8 << 20
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -38,13 +38,12 @@ def _hashed(frames: Iterator[pd.DataFrame], chunk: int) -> Iterator[pd.DataFrame
 
 
 def manifest(
-    spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUFFIXES, whole: int = WHOLE_BYTES,
-    chunk: int = CHUNK_BYTES,
+    spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUFFIXES, chunk: int = CHUNK_BYTES
 ) -> DataFrame:
     """Relative path, size and hash of every file below a folder; hashing runs in the tasks.
 
-    A file above ``whole`` bytes is read through Arrow's file systems in chunks, so its size is not bounded by memory;
-    a store that Arrow cannot open fails the job instead of leaving the file unverified.
+    Every file, small or large, is read through Arrow's file systems in chunks, so its size is not bounded by memory; a
+    store that Arrow cannot open fails the job instead of leaving files unverified.
     """
     root = folder.rstrip("/")
     files = (
@@ -55,12 +54,9 @@ def manifest(
     )
     bare = root.split("://", 1)[-1].removeprefix("file:")
     relative = F.element_at(F.split("path", F.lit("\\Q" + bare + "/\\E"), 2), -1)
-    small = files.where(F.col("length") <= whole).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > whole).select("path", F.col("length").alias("bytes")).repartition("path")
-    streamed = large.mapInPandas(lambda frames: _hashed(frames, chunk), "path string, bytes long, sha256 string")
-    return small.unionByName(streamed).select(relative.alias("path"), "bytes", "sha256")
+    listed = files.select("path", F.col("length").alias("bytes")).repartition("path")
+    hashed = listed.mapInPandas(lambda frames: _hashed(frames, chunk), "path string, bytes long, sha256 string")
+    return hashed.select(relative.alias("path"), "bytes", "sha256")
 
 
 def verify(expected: DataFrame, current: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -80,59 +81,103 @@ def load_raw_layer(spark: SparkSession, files: Mapping[str, str], folder: str) -
     return summary
 
 
+@dataclass(frozen=True)
+class Layer:
+    """A table of the warehouse: what it is made of (raw tables or layers before it), and how."""
+
+    needs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+
+PREDICTED = ("churn_predictions", "recommendations")
+
+
+def layer_graph(as_of: date) -> dict[str, Layer]:
+    """All layers, each after what it needs."""
+    return {
+        "stg_accounts": Layer(("accounts",), lambda t: staging.stg_corporate_accounts(t, as_of)),
+        "stg_travelers": Layer(("travelers",), staging.stg_traveler_profiles),
+        "stg_bookings": Layer(("bookings", "stg_travelers"), staging.stg_bookings),
+        "stg_contracts": Layer(("contracts",), staging.stg_service_contracts),
+        "stg_tickets": Layer(("tickets",), staging.stg_support_tickets),
+        "stg_churn_predictions": Layer(("churn_predictions",), lambda t: staging.stg_churn_predictions(t, as_of)),
+        "stg_recommendations": Layer(("recommendations",), lambda t: staging.stg_cross_sell_recommendations(t, as_of)),
+        "dim_accounts": Layer(("stg_accounts",), marts.dim_accounts),
+        "dim_travelers": Layer(("stg_travelers",), marts.dim_travelers),
+        "dim_date": Layer(("stg_accounts",), lambda t: marts.dim_date(t.sparkSession)),
+        "dim_products": Layer(("stg_contracts", "stg_recommendations"), marts.dim_products),
+        "fact_bookings": Layer(("stg_bookings",), marts.fact_bookings),
+        "fact_service_contracts": Layer(("stg_contracts",), marts.fact_service_contracts),
+        "fact_support_tickets": Layer(("stg_tickets",), marts.fact_support_tickets),
+        "mart_clv_analytics": Layer(("stg_accounts", "stg_bookings", "stg_tickets", "stg_contracts"), marts.mart_clv_analytics),
+        "fact_ml_churn": Layer(("stg_churn_predictions", "dim_accounts", "stg_contracts", "stg_tickets"), marts.fact_ml_churn),
+        "fact_ml_cross_sell": Layer(("stg_recommendations", "dim_accounts", "stg_contracts"), marts.fact_ml_cross_sell),
+    }
+
+
 def build_layers(
-    tables: Mapping[str, DataFrame], as_of: date, without_predictions: bool = False
+    tables: Mapping[str, DataFrame], as_of: date, without_predictions: bool = False,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> dict[str, DataFrame]:
-    """Staging views and marts as lazy DataFrames, composed in dependency order.
+    """Every layer of the graph, in order. ``store`` says what readers of a layer get: the layer itself, or what was stored.
 
-    Missing prediction tables are an error, unless marts ``without_predictions`` are asked for.
+    Missing prediction tables are an error, unless layers ``without_predictions`` are asked for; then those that rest on
+    them are left out, and products come from contracts alone.
     """
-    missing = sorted({"churn_predictions", "recommendations"} - set(tables))
+    missing = sorted(set(PREDICTED) - set(tables))
     if missing and not without_predictions:
         raise ValueError(f"no table of {', '.join(missing)}: publish predictions, or ask for marts without them")
-    stg = staging.stage_all(dict(tables), as_of)
-    out = {f"stg_{k}": v for k, v in stg.items()}
-    accounts = marts.dim_accounts(stg["accounts"])
-    out |= {
-        "dim_accounts": accounts, "dim_travelers": marts.dim_travelers(stg["travelers"]),
-        "fact_bookings": marts.fact_bookings(stg["bookings"]),
-        "fact_service_contracts": marts.fact_service_contracts(stg["contracts"]),
-        "fact_support_tickets": marts.fact_support_tickets(stg["tickets"]),
-        "mart_clv_analytics": marts.mart_clv_analytics(
-            stg["accounts"], stg["bookings"], stg["tickets"], stg["contracts"]
-        ),
-        "dim_date": marts.dim_date(stg["accounts"].sparkSession),
-        "dim_products": marts.dim_products(stg["contracts"], stg.get("recommendations")),
-    }
-    if "churn_predictions" in stg:
-        out["fact_ml_churn"] = marts.fact_ml_churn(
-            stg["churn_predictions"], accounts, stg["contracts"], stg["tickets"]
-        )
-    if "recommendations" in stg:
-        out["fact_ml_cross_sell"] = marts.fact_ml_cross_sell(stg["recommendations"], accounts, stg["contracts"])
+    out: dict[str, DataFrame] = {}
+    for name, layer in layer_graph(as_of).items():
+        have = [out.get(need, tables.get(need)) for need in layer.needs]
+        if any(df is None for df in have):
+            lacking = {need for need, df in zip(layer.needs, have) if df is None}
+            if not lacking <= {*missing, "stg_churn_predictions", "stg_recommendations"}:
+                raise ValueError(f"{name} needs {', '.join(sorted(lacking))}")
+            if name != "dim_products":
+                continue
+        out[name] = store(name, layer.build(*have))
     return out
 
 
-def write_marts(layers: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write the marts and return them read back. Staging stays a view.
+def write_layers(
+    tables: Mapping[str, DataFrame], as_of: date, folder: str, without_predictions: bool = False
+) -> dict[str, DataFrame]:
+    """Stores every layer once and hands the stored table to its readers, so each raw table is scanned once.
 
     Bookings are stored by month, so that date ranges prune files. The rebalance hint lets Spark split a
     heavy month over several files and merge light ones.
     """
-    out = {}
-    for name, df in layers.items():
-        if name.startswith("stg_"):
-            out[name] = df
-            continue
-        path = f"{folder}/marts/{name}"
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{folder}/{'staging' if name.startswith('stg_') else 'marts'}/{name}"
         if name == "fact_bookings":
             df.withColumn("booking_month", F.trunc("booking_date", "month")).hint(
                 "rebalance", F.col("booking_month")
             ).write.mode("overwrite").partitionBy("booking_month").parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
-        out[name] = df.sparkSession.read.parquet(path)
-    return out
+            return df.sparkSession.read.parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return build_layers(tables, as_of, without_predictions, store)
+
+
+PAGE_KEYS = ("tier", "segment")
+
+
+def write_pages(rows: DataFrame, path: str, rows_per_range: int = 100_000, key: str = "account_id") -> str:
+    """A table in ranges of its key, each a folder, and an index of the ranges: page_range, tier, segment, first, last, n.
+
+    ``lookups.page_after`` reads the one or two ranges that hold a page, however deep it lies.
+    """
+    ranges = max(1, -(-rows.count() // rows_per_range))
+    ordered = rows.repartitionByRange(ranges, key).sortWithinPartitions(key).withColumn("page_range", F.spark_partition_id())
+    ordered.write.mode("overwrite").partitionBy("page_range").parquet(f"{path}/rows")
+    stored = rows.sparkSession.read.parquet(f"{path}/rows")
+    stored.groupBy("page_range", *PAGE_KEYS).agg(
+        F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("n")
+    ).write.mode("overwrite").parquet(f"{path}/index")
+    return path
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from accountwise.session import run_dir
 
@@ -71,11 +75,78 @@ def first_alerts(snapshots: DataFrame, lateness: str = "1 day") -> DataFrame:
     )
 
 
-def drain(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    """Process everything available, then stop. Output and checkpoint live in the shared folder."""
-    base = run_dir(spark, label)
-    before = spark.conf.get(LOCAL_MERGE[0], None)
-    spark.conf.set(*LOCAL_MERGE)
+ALERT = "account_id {key}, kind string, at timestamp, churn_risk_score double, late_rows long"
+
+
+class Cooling(StatefulProcessor):
+    """Per account: the time of the last alert, kept by a timer until the cooling period is over."""
+
+    def __init__(self, cooling_ms: int):
+        self.cooling_ms = cooling_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_alert", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        found = pd.concat(list(rows), ignore_index=True)
+        times = found["at_ms"].to_numpy("int64")
+        late = times < mark
+        out = []
+        if late.any():
+            out.append((key[0], "late", None, None, int(late.sum())))
+        last = self.last.get()[0] if self.last.exists() else None
+        before = last
+        for k in sorted(np.flatnonzero(~late), key=lambda k: times[k]):
+            at = int(times[k])
+            if last is None or at >= last + self.cooling_ms:
+                last = at
+                out.append((key[0], "alert", pd.Timestamp(at, unit="ms"), float(found["churn_risk_score"].iloc[k]), 0))
+        if last != before:
+            self.last.update((last,))
+            if before is not None:
+                self.handle.deleteTimer(before + self.cooling_ms)
+            self.handle.registerTimer(last + self.cooling_ms)
+        yield pd.DataFrame(out, columns=["account_id", "kind", "at", "churn_risk_score", "late_rows"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield pd.DataFrame()
+
+    def close(self) -> None:
+        pass
+
+
+def cooled_alerts(snapshots: DataFrame, cooling: timedelta = timedelta(days=7), lateness: str = "1 day") -> DataFrame:
+    """A High alert of an account, then none until the cooling period after it is over, in event time.
+
+    Rows of one batch are taken by time. A row that is later than ``lateness`` raises no alert, but is reported in a row of
+    kind ``late`` with the number of such rows. State holds one time per account in cooling; its timer removes it. Run it
+    under ``STATE_STORE`` (``drain`` does).
+    """
+    # the watermark follows the batch, but its column does not reach the operator, which would drop late rows unseen
+    marked = snapshots.where(F.col("risk_level") == "High").withColumn("seen_at", F.col("scored_at")).withWatermark("seen_at", lateness)
+    rows = marked.select("account_id", (F.unix_micros("scored_at") / 1000).cast("long").alias("at_ms"), "churn_risk_score")
+    key = snapshots.schema["account_id"].dataType.simpleString()
+    return rows.groupBy("account_id").transformWithStateInPandas(
+        Cooling(int(cooling.total_seconds() * 1000)), ALERT.format(key=key), "Append", "eventTime")
+
+
+STATE_STORE = (
+    "spark.sql.streaming.stateStore.providerClass",
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+)
+
+
+def drain(spark: SparkSession, stream: DataFrame, label: str, base: str | None = None) -> DataFrame:
+    """Process everything available, then stop. Output and checkpoint live in the shared folder, or below ``base``, where a
+    later call goes on from them."""
+    base = base or run_dir(spark, label)
+    settings = (LOCAL_MERGE, STATE_STORE)
+    before = {name: spark.conf.get(name, None) for name, _ in settings}
+    for setting in settings:
+        spark.conf.set(*setting)
     try:
         query = (
             stream.writeStream.format("parquet").outputMode("append")
@@ -84,8 +155,6 @@ def drain(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(LOCAL_MERGE[0])
-        else:
-            spark.conf.set(LOCAL_MERGE[0], before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

@@ -187,3 +187,18 @@ def test_statistics_hide_money(spark):
     rows = assemble.feature_statistics(df).collect()
     assert [r["feature"] for r in rows] == ["visits"] and rows[0]["redacted_columns"] == 1
     assert rows[0]["std"] == pytest.approx(2**0.5)
+
+
+def test_the_matrix_reads_each_table_once_and_has_the_separate_labels(spark):
+    from accountwise.operators import assemble, labels
+    from accountwise.plans import binding
+
+    tables = binding.with_owner(binding.load(spark, "/root/testdata/sf0.001"))
+    joint = assemble.account_features(tables, binding.PARAMS, binding.FEATURE_TS)
+    own = labels.clv_labels(tables["accounts"], tables["bookings"], tables["contracts"], tables["tickets"], binding.PARAMS)
+    apart = assemble.account_features(tables, binding.PARAMS, binding.FEATURE_TS, own)
+    plan = joint._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 1 and joint.exceptAll(apart.select(joint.columns)).isEmpty()
+    scans = lambda df, column: sum("Relation" in line and column in line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert (scans(joint, "l_orderkey"), scans(joint, "event_id"), scans(joint, "c_custkey")) == (1, 1, 1)
+    assert scans(apart, "l_orderkey") == 2

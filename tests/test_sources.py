@@ -91,7 +91,7 @@ def test_manifest_fails_closed(spark, tmp_path):
     manifest.require_intact(before, manifest.manifest(spark, str(tmp_path)))
     # the same hashes from one-byte chunks, also of names that need escapes in a URI
     (tmp_path / "a b#.json").write_text("odd name")
-    in_chunks = manifest.manifest(spark, str(tmp_path), whole=0, chunk=1)
+    in_chunks = manifest.manifest(spark, str(tmp_path), chunk=1)
     assert sorted(in_chunks.collect()) == sorted(manifest.manifest(spark, str(tmp_path)).collect())
     (tmp_path / "a b#.json").unlink()
     a.write_text("[]")

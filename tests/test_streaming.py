@@ -51,3 +51,30 @@ def test_first_alert_once_per_week(spark):
                [("C", "High", 0.7, at(24 * 30))], [("A", "High", 0.7, at(24 * 31))]]
     out = activity.drain(spark, activity.first_alerts(stream_of(spark, batches, schema)), "a")
     assert {r["account_id"]: r["n"] for r in out.groupBy("account_id").agg(F.count("*").alias("n")).collect()} == {"A": 2, "B": 1, "C": 1}
+
+
+def test_cooling_out_of_order_late_rows_and_restart(spark):
+    schema = "account_id string, risk_level string, churn_risk_score double, scored_at timestamp"
+    folder, base = run_dir(spark, "in"), run_dir(spark, "cooled")
+
+    def arrive(*batches):
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        out = activity.drain(spark, activity.cooled_alerts(stream), "c", base)
+        return sorted((r["account_id"], r["kind"], r["at"], r["late_rows"]) for r in out.collect() if r["kind"] == "alert"), sum(
+            r["late_rows"] for r in out.collect())
+
+    first = arrive(
+        # out of order within a batch: the earlier one alerts, the later one is in its cooling period
+        [("A", "High", 0.8, at(24)), ("A", "High", 0.9, at(0)), ("B", "Low", 0.1, at(0))],
+        [("A", "High", 0.7, at(24 * 6)), ("B", "High", 0.6, at(24 * 6))],
+    )
+    assert first == ([("A", "alert", at(0), 0), ("B", "alert", at(24 * 6), 0)], 0)
+    # restarted: the state is still there, A cools down at day 7 and alerts anew, rows of the first days are late
+    second = arrive(
+        [("A", "High", 0.7, at(24 * 6 + 1)), ("C", "High", 0.7, at(24 * 8))],
+        [("C", "High", 0.7, at(1)), ("D", "High", 0.7, at(2)), ("A", "High", 0.7, at(24 * 9))],
+        [("B", "High", 0.7, at(24 * 12))],
+    )
+    assert second == ([("A", "alert", at(0), 0), ("A", "alert", at(24 * 9), 0), ("B", "alert", at(24 * 6), 0), ("C", "alert", at(24 * 8), 0)], 2)
