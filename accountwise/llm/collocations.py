@@ -1,14 +1,14 @@
 """Phrases of two to four words that occur together more often than their parts suggest, by language.
 
 Texts are lower-cased (A-Z), cut at ``.,;:!?`` and line ends into pieces, and those at blanks and tabs into words; a phrase lies
-within a piece. All counts are exact. Three passes over the texts each add up in tasks before the shuffle:
+within a piece. All counts are exact. A phrase is at most as frequent as any part of it, so each pass over the texts need only
+look at what the pass before leaves possible:
 
 1. words of every language;
-2. pairs of neighbours of which both words are frequent, by a hash, only to know which pairs can be frequent;
-3. phrases of two to four words all of whose pairs can be frequent, as words: a phrase is at most as frequent as any
-   part of it, so none with the least count is lost, and the two bit maps that say so have a fixed size.
+2. pairs of frequent words, then three words of such pairs, by a hash: bit maps of a fixed size keep which can be frequent;
+3. phrases of two to four words that pass the maps of all their parts, as words. A map may let too much through, never too little.
 
-The third pass counts in a HAT-trie: a shallow trie of word ids under each language, with hash containers of counts
+The last pass counts in a HAT-trie: a shallow trie of word ids under each language, with hash containers of counts
 below it that burst into a node of containers when they grow. When a task holds too many phrases it spills its largest
 subtrees whole, each as a sorted run. Runs go to the shared folder; prefix ranges of phrases then gather and merge
 them, so that a prefix in every third phrase is spread over several ranges.
@@ -29,57 +29,56 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import finished, mix, slices, stored, stream, texts_array, word_hashes
+from accountwise.llm.texts import _offsets, finished, mix, slices, stored, stream, texts_array, word_hashes
 
 LEAST, LONGEST, TOP, SHADOW = 30, 4, 2000, 80
-#: Bits of the maps of frequent words and pairs: 4 MB each, whatever the corpus.
+#: Bits of the maps of frequent words, pairs and threes: 4 MB each, whatever the corpus.
 BITS = 25
 #: Phrases that a container holds before it bursts, and levels of the trie above the last containers.
 BURST, DEPTH = 4096, 2
-#: Phrases and keys that a task holds before it spills.
-HELD = 1 << 20
+#: Phrases, words and keys that a task holds before it combines or spills them.
+HELD = 1 << 19
 #: Shares in which a language's candidates are ranked first.
 SHARES = 64
 
-#: Stands between pieces; no word contains it.
-_BREAK = "."
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_BETWEEN, _BREAK = (np.isin(np.arange(256), [ord(c) for c in signs]) for signs in (" \t.,;:!?\n\v\f\r", ".,;:!?\n\v\f\r"))
 
 
 class Words:
-    """The words of some texts as numbers: ``ids`` into ``names``, with the language of each; breaks are -1.
-
-    A break follows every piece and every text, so no run of numbers without a break leaves a piece.
-    """
+    """The words of some texts in order: ``ids`` into ``names``, each word's language, and whether it and the next lie in one
+    piece."""
 
     def __init__(self, texts: pa.Array, langs: np.ndarray):
-        # a copy without an offset: Arrow's kernels misread casts of slices
-        whole = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
-        lowered = pc.ascii_lower(whole)
-        cut = pc.replace_substring_regex(lowered, pattern=r"[.,;:!?\n\v\f\r]+", replacement=f" {_BREAK} ")
-        closed = pc.binary_join_element_wise(cut, pa.scalar(f" {_BREAK} ", pa.large_string()), pa.scalar("", pa.large_string()))
-        lists = pc.split_pattern_regex(closed, pattern=r"[ \t]+")
-        coded = lists.flatten().dictionary_encode()
-        self.names = coded.dictionary
-        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        owner = np.repeat(langs, np.diff(lists.offsets.to_numpy()))
-        empty = pc.index(self.names, pa.scalar("", self.names.type)).as_py()
-        if empty >= 0:  # before the first and after the last blank
-            owner, ids = owner[ids != empty], ids[ids != empty]
-        stop = pc.index(self.names, pa.scalar(_BREAK, self.names.type)).as_py()
-        self.ids, self.lang = np.where(ids == stop, -1, ids), owner
+        offsets = _offsets(texts)
+        raw = texts.buffers()[2]
+        data = _FOLD[np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]]] if raw else np.empty(0, np.uint8)
+        offsets = offsets - offsets[0]
+        inside = ~_BETWEEN[data]
+        begin, stop = inside.copy(), inside.copy()
+        begin[1:] &= ~inside[:-1]
+        stop[:-1] &= ~inside[1:]
+        filled = offsets[:-1] < offsets[1:]
+        begin[offsets[:-1][filled]] = inside[offsets[:-1][filled]]
+        stop[offsets[1:][filled] - 1] = inside[offsets[1:][filled] - 1]
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+        owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets)))
+        breaks = np.searchsorted(np.flatnonzero(_BREAK[data]), starts)
+        self.joined = (owner[1:] == owner[:-1]) & (breaks[1:] == breaks[:-1])
+        self.lang = langs[owner]
+        ends = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        spelled = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
+        coded = spelled.dictionary_encode()
+        self.names, self.ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def hashes(self) -> np.ndarray:
-        """A hash of every word and its language; 0 for breaks."""
-        flat, _ = word_hashes(self.names)
-        own = np.zeros(len(self.names), np.uint64)
-        filled = np.flatnonzero(pc.binary_length(self.names).to_numpy(zero_copy_only=False) > 0)
-        own[filled] = flat
-        out = mix(own[self.ids] + stream(31, 1) * (self.lang.astype(np.uint64) + np.uint64(1)))
-        return np.where(self.ids < 0, np.uint64(0), out)
+        """A hash of every word and its language."""
+        own, _ = word_hashes(self.names)
+        return mix(own[self.ids] + stream(31, 1) * (self.lang.astype(np.uint64) + np.uint64(1)))
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -126,27 +125,32 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     """(lang, phrase, n) for single words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, str], int] = {}
+        fresh: list[pa.Table] = []
         langs: list[str] = []
+        waiting = 0
 
-        def record():
-            keys = list(held)
-            return pa.RecordBatch.from_pydict({
-                "lang": pa.array([langs[k] for k, _ in keys], pa.string()), "phrase": pa.array([w for _, w in keys], pa.string()),
-                "n": pa.array(list(held.values()), pa.int64()),
-            })
+        def combined() -> pa.Table:
+            return pa.concat_tables(fresh).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")]).select(
+                ["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"])
+
+        def records(table: pa.Table):
+            named = table.set_column(0, "lang", pa.array([langs[k] for k in table["lang"].to_pylist()], pa.string()))
+            return named.combine_chunks().to_batches()
 
         for words, langs in _slices(batches):
-            width = len(words.names)
-            inside = words.ids >= 0
-            codes, n = np.unique(words.lang[inside] * width + words.ids[inside], return_counts=True)
-            names = words.names.take(pa.array(codes % width)).to_pylist()
-            for key, more in zip(zip((codes // width).tolist(), names), n.tolist()):
-                held[key] = held.get(key, 0) + more
-            if len(held) >= HELD:
-                yield record()
-                held.clear()
-        yield record()
+            width = max(1, len(words.names))
+            codes, n = np.unique(words.lang * width + words.ids, return_counts=True)
+            fresh.append(pa.table({
+                "lang": pa.array(codes // width), "phrase": words.names.take(pa.array(codes % width)).cast(pa.string()), "n": pa.array(n)}))
+            waiting += len(codes)
+            if waiting >= HELD:
+                fresh = [combined()]
+                waiting = len(fresh[0])
+                if waiting >= HELD // 2:
+                    yield from records(fresh[0])
+                    fresh, waiting = [], 0
+        if fresh:
+            yield from records(combined())
         finished()
 
     parts = _texts(docs, text, lang).mapInArrow(run, "lang string, phrase string, n long")
@@ -178,35 +182,49 @@ def _word_map(frequent: DataFrame, langs: dict[str, int]) -> np.ndarray:
             names = texts_array(batch.column(1))
             own = np.array([langs[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
             for a, b in slices(names):
-                words = Words(names.slice(a, b - a), own[a:b])
-                h = words.hashes()
-                yield pa.RecordBatch.from_pydict({"at": pa.array(_place(h[words.ids >= 0]))})
+                yield pa.RecordBatch.from_pydict({"at": pa.array(_place(Words(names.slice(a, b - a), own[a:b]).hashes()))})
         finished()
 
     return _bit_map(frequent.select("lang", "phrase").mapInArrow(run, "at long"))
 
 
-def _pairs(hashes: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the pair that begins at each word, and whether both its words are usable."""
-    both = usable[:-1] & usable[1:]
+def _runs(words: Words, maps: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For one word, two words and so on: the hash of the run that begins at each word, and whether all that is known of it
+    allows it to be frequent. There is one more entry than maps: the last has only passed the maps of its parts."""
     odd = stream(57, 2) | np.uint64(1)
-    return mix(hashes[:-1] * odd[0] + hashes[1:] * odd[1]), both
+    h, fine = words.hashes(), np.ones(len(words.ids), bool)
+    out = []
+    for size, known in enumerate([*maps, None], 1):
+        if known is not None:
+            fine = fine.copy()
+            fine[fine] = _in_map(known, h[fine])
+        out.append((h, fine))
+        if len(h) < 2:
+            none = np.zeros(0, bool)
+            out += [(h[:0], none)] * (len(maps) + 1 - size)
+            break
+        if size <= len(maps):
+            both = fine[:-1] & fine[1:]
+            if size == 1:
+                both = both & words.joined
+            h, fine = mix(h[:-1] * odd[0] + h[1:] * odd[1]), both
+    return out
 
 
-def _pair_map(texts: DataFrame, shared, langs: dict[str, int], least: int) -> np.ndarray:
+def _run_map(texts: DataFrame, shared: list, langs: dict[str, int], least: int) -> np.ndarray:
+    """The map of runs one word longer than those of the last map given."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sums = shared.value, Sums()
+        maps, sums = [m.value for m in shared], Sums()
 
         def record():
             keys, n = sums.taken()
             return pa.RecordBatch.from_pydict({"key": pa.array(keys), "n": pa.array(n)})
 
         for words, _ in _slices(batches, langs):
-            h = words.hashes()
-            if len(h) > 1:
-                pair, both = _pairs(h, (words.ids >= 0) & _in_map(bits, h))
-                if sums.add(pair[both].view(np.int64)):
-                    yield record()
+            h, fine = _runs(words, maps)[-1]
+            if sums.add(h[fine].view(np.int64)):
+                yield record()
         yield record()
         finished()
 
@@ -295,59 +313,71 @@ class HatTrie:
         self.size -= gone
 
 
-def phrase_runs(texts: DataFrame, words, pairs, langs: dict[str, int], longest: int = LONGEST) -> DataFrame:
-    """Sorted runs of (lang, phrase, n) from every task: phrases of two words and more whose pairs can all be frequent."""
-    names = list(langs)
+def phrase_runs(texts: DataFrame, shared: list, langs: dict[str, int], longest: int = LONGEST) -> DataFrame:
+    """Sorted runs of (lang, phrase, n) from every task: phrases of two words and more that pass the maps of all their parts."""
+    spelled_langs = list(langs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, often, trie = words.value, pairs.value, HatTrie()
+        maps, trie = [m.value for m in shared], HatTrie()
         numbers: dict[str, int] = {}
         spelled: list[str] = [""]
 
         def record(root, found):
             body = sorted((" ".join([spelled[k] for k in ids]), n) for ids, n in found)
             return pa.RecordBatch.from_pydict({
-                "lang": pa.array([names[root]] * len(body), pa.string()), "phrase": pa.array([x for x, _ in body], pa.string()),
-                "n": pa.array([n for _, n in body], pa.int64()),
+                "lang": pa.array([spelled_langs[root]] * len(body), pa.string()),
+                "phrase": pa.array([x for x, _ in body], pa.string()), "n": pa.array([n for _, n in body], pa.int64()),
             })
 
+        fresh: list[np.ndarray] = []
+        waiting = 0
+
+        def gather() -> None:
+            """Into the trie: what the last slices have found, equal phrases as one."""
+            nonlocal fresh, waiting
+            table = np.concatenate([*fresh, np.zeros((0, longest + 1), np.int32)])
+            fresh, waiting = [], 0
+            table = table[np.lexsort(table.T)]
+            new = np.append(True, (table[1:] != table[:-1]).any(axis=1))[: len(table)]
+            first = np.flatnonzero(new)
+            for row, n in zip(table[first].tolist(), np.diff(np.append(first, len(table))).tolist()):
+                phrase = 0
+                for word in row[:0:-1]:
+                    phrase = phrase << 32 | word
+                trie.add(row[0], phrase, n)
+
         for part, _ in _slices(batches, langs):
-            h = part.hashes()
-            if len(h) < 2:
-                continue
-            pair, both = _pairs(h, (part.ids >= 0) & _in_map(frequent, h))
-            both[both] = _in_map(often, pair[both])
-            used = np.unique(part.ids[:-1][both]).tolist() + np.unique(part.ids[1:][both]).tolist()
+            fine = [f for _, f in _runs(part, maps)][1:]
+            while len(fine) < longest - 1:  # beyond the maps: all shorter runs within must pass
+                fine.append(fine[-1][:-1] & fine[-1][1:])
+            used = np.unique(np.concatenate([part.ids[:-1][fine[0]], part.ids[1:][fine[0]]])) if len(fine[0]) else []
             to = np.zeros(len(part.names), np.int64)
-            for k in set(used):
+            for k in used:
                 word = part.names[k].as_py()
                 to[k] = numbers.setdefault(word, len(numbers) + 1)
                 if to[k] == len(spelled):
                     spelled.append(word)
             ids = to[part.ids]
-            begins = both
-            for size in range(2, longest + 1):
-                if size > 2:  # each further pair must be possible as well
-                    begins = begins[:-1] & both[size - 2 :]
+            for size, begins in enumerate(fine[: longest - 1], 2):
                 at = np.flatnonzero(begins)
-                table = np.stack([part.lang[at], *(ids[at + k] for k in range(size))], axis=1)
-                order = np.lexsort(table.T)
-                table = table[order]
-                new = np.append(True, (table[1:] != table[:-1]).any(axis=1))[: len(table)]
-                first = np.flatnonzero(new)
-                for row, n in zip(table[first].tolist(), np.diff(np.append(first, len(table))).tolist()):
-                    phrase = 0
-                    for word in row[:0:-1]:
-                        phrase = phrase << 32 | word
-                    trie.add(row[0], phrase, n)
+                table = np.zeros((len(at), longest + 1), np.int32)
+                table[:, 0] = part.lang[at]
+                for k in range(size):
+                    table[:, k + 1] = ids[at + k]
+                fresh.append(table)
+                waiting += len(at)
+            if waiting >= HELD:
+                gather()
             if trie.size >= HELD:
                 for root, found in trie.spill(trie.size // 2):
                     yield record(root, found)
             if len(spelled) >= HELD:  # ids start anew, so nothing may be left that uses them
+                gather()
                 for root, found in trie.spill(trie.size):
                     yield record(root, found)
                 numbers.clear()
                 del spelled[1:]
+        gather()
         for root, found in trie.spill(trie.size):
             yield record(root, found)
         finished()
@@ -365,9 +395,10 @@ def phrase_counts(
     langs = {r["lang"]: k for k, r in enumerate(totals.select("lang").orderBy("lang").collect())}
     context = docs.sparkSession.sparkContext
     frequent = words.where(F.col("n") >= least)
-    word_map = context.broadcast(_word_map(frequent, langs))
-    pair_map = context.broadcast(_pair_map(texts, word_map, langs, least))
-    runs = stored(phrase_runs(texts, word_map, pair_map, langs, longest), "collocations-runs")
+    maps = [context.broadcast(_word_map(frequent, langs))]
+    for _ in range(2, longest):
+        maps.append(context.broadcast(_run_map(texts, maps, langs, least)))
+    runs = stored(phrase_runs(texts, maps, langs, longest), "collocations-runs")
     merged = runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return frequent.unionByName(merged.where(F.col("n") >= least)), totals
 
