@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from accountwise.llm import spans
 from accountwise.llm.texts import stored, text_of
 
-#: The rules of the contract.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
-IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
-CARD = r"[0-9]([\x20-]?[0-9])+"
+#: The rules of the contract. Repetitions give nothing back and an address begins where its run does or the
+#: match before ended: the matches are the same, and no run is gone through by recursion or more than once.
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
+CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term", "term")
 RULES = 4
@@ -34,6 +35,7 @@ MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
 REACH = 40
 GENERALISE, REMOVE = 0.9, 0.95
 TERM = r"\p{L}{3,}"
+_TERM = "struct<entity:string,term:string,start:int,end:int>"
 
 
 def _digits(m: Column) -> Column:
@@ -65,24 +67,21 @@ def _rules(text: Column) -> dict[str, Column]:
 def _near(text: Column, matches: Column) -> Column:
     """Terms around each match: (entity, term, start, end); a word that the window cuts is none."""
 
-    def around(m: Column) -> Column:
-        first = F.greatest(m["start"] - REACH, F.lit(0))
-        before, after = F.substring(text, first + 1, m["start"] - first), F.substring(text, m["end"] + 1, F.lit(REACH))
-        rows = F.concat(
-            F.transform(
-                F.filter(spans.found(before, TERM), lambda t: (t["start"] > 0) | (first == 0)),
-                lambda t: F.struct(F.lower(m["text"]).alias("entity"), F.lower(t["text"]).alias("term"),
-                                   (first + t["start"]).alias("start"), (first + t["end"]).alias("end")),
-            ),
-            F.transform(
-                F.filter(spans.found(after, TERM), lambda t: t["end"] < REACH),
-                lambda t: F.struct(F.lower(m["text"]).alias("entity"), F.lower(t["text"]).alias("term"),
-                                   (m["end"] + t["start"]).alias("start"), (m["end"] + t["end"]).alias("end")),
-            ),
-        )
-        return rows
+    def all_around(cut) -> Column:
+        def around(m: Column) -> Column:
+            first = F.greatest(m["start"] - REACH, F.lit(0))
+            before, after = cut(first, m["start"] - first), cut(m["end"], F.lit(REACH))
+            term = lambda t, at: F.struct(
+                F.lower(m["text"]).alias("entity"), F.lower(t["text"]).alias("term"), (at + t["start"]).alias("start"),
+                (at + t["end"]).alias("end"))
+            return F.concat(
+                F.transform(F.filter(spans.found(before, TERM), lambda t: (t["start"] > 0) | (first == 0)), lambda t: term(t, first)),
+                F.transform(F.filter(spans.found(after, TERM), lambda t: t["end"] < REACH), lambda t: term(t, m["end"])),
+            )
+
+        return F.flatten(F.transform(matches, around))
 
-    return F.flatten(F.transform(matches, around))
+    return spans.cut_by(text, F.size(matches), all_around)
 
 
 def ruled(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -90,10 +89,8 @@ def ruled(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumns(_rules(text_of(text)))
     every = [spans.spans(F.col(c), k) for k, c in enumerate(("_email", "_ip", "_card", "_phone"))]
     out = out.withColumn("_base", F.array_sort(F.concat(*every)))
-    around = F.filter(
-        _near(text_of(text), F.concat("_email", "_ip", "_card", "_phone")), lambda t: ~spans.overlaps(t, F.col("_base"))
-    )
-    none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")
+    around = spans.apart(_near(text_of(text), F.concat("_email", "_ip", "_card", "_phone")), F.col("_base"), _TERM)
+    none = F.array().cast(f"array<{_TERM}>")
     return out.withColumn("_near", F.when(F.size("_base") > 0, around).otherwise(none))
 
 

@@ -61,19 +61,16 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("_base", base)
     some = F.when(
         text_of(text).rlike(CANDIDATE),
-        F.filter(
-            spans.found(text_of(text), CANDIDATE),
-            lambda m: m["text"].rlike("[A-Za-z]") & ~spans.overlaps(m, F.col("_base")),
-        ),
+        spans.apart(F.filter(spans.found(text_of(text), CANDIDATE), lambda m: m["text"].rlike("[A-Za-z]")), F.col("_base")),
     ).otherwise(spans.none_found())
     return out.withColumn("_candidates", some)
 
 
 def learn(samples: DataFrame) -> list[float]:
     """Log-odds of each transition, random over ordinary, from (text, random): row-major over the alphabet."""
-    pairs = samples.where(F.length("text") > 1).select(
-        "random", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("two")
-    )
+    twos = spans.bound(F.split("text", ""), lambda letters: F.transform(
+        F.sequence(F.lit(1), F.size(letters) - 1), lambda i: F.concat(F.get(letters, i - 1), F.get(letters, i))))
+    pairs = samples.where(F.length("text") > 1).select("random", F.explode(twos).alias("two"))
     n = len(ALPHABET)
     counts = {label: [added] * (n * n) for label, added in SMOOTH.items()}
     place = {c: k for k, c in enumerate(ALPHABET)}
@@ -104,10 +101,9 @@ def ratio(token: Column, model: list[float]) -> Column:
     n = len(ALPHABET)
     odds = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     places = F.split(F.lit(",".join(str(ALPHABET.find(chr(c))) for c in range(128))), ",").cast("array<int>")
-    code = lambda i: F.get(places, F.ascii(F.substring(token, i, F.lit(1))))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda s, i: s + F.get(odds, code(i) * n + code(i + 1))
-    )
+    codes = F.transform(F.split(token, ""), lambda c: F.get(places, F.ascii(c)))
+    return spans.bound(codes, lambda at: F.aggregate(
+        F.sequence(F.lit(1), F.size(at) - 1), F.lit(0.0), lambda s, i: s + F.get(odds, F.get(at, i - 1) * n + F.get(at, i))))
 
 
 def judged(found: DataFrame, model: list[float], odds: float = ODDS) -> DataFrame:
