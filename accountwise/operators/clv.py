@@ -93,17 +93,22 @@ def _boosted(train: DataFrame, held: DataFrame, rounds: int, seed: int, setting:
 
 def fit_boosted(
     frame: DataFrame, inputs: Sequence[str], rounds: int = 500, depth: int = 6, step: float = 0.05,
-    setting: dict | None = None, seed: int = 42,
+    setting: dict | None = None, patience: int = 50, seed: int = 42,
 ) -> PipelineModel:
-    """Boosted trees, as many as are best on the validation split: one fit, evaluated after every round and cut to the best.
+    """Boosted trees, as many as are best on the validation split: a fit is evaluated after every round and cut to the best.
 
-    With nothing held out all rounds are kept. ``setting`` overrides the learner's parameters, for instance with those of
-    ``search_boosted``.
+    The first fit has 2 * ``patience`` rounds. Only if its best one lies in the last ``patience`` is it followed by one of all
+    ``rounds``. With nothing held out all rounds are kept. ``setting`` overrides the learner's parameters, for instance
+    with those of ``search_boosted``.
     """
     assembler, train, held = _halves(frame, inputs)
-    model, errors = _boosted(train, held, rounds, seed, {"maxDepth": depth, "stepSize": step} | (setting or {}))
-    best = rounds if np.isnan(errors).any() else int(errors.argmin()) + 1
-    return PipelineModel([assembler, model if best == rounds else first_trees(model, best)])
+    n = min(rounds, 2 * patience)
+    while True:
+        model, errors = _boosted(train, held, n, seed, {"maxDepth": depth, "stepSize": step} | (setting or {}))
+        best = n if np.isnan(errors).any() else int(errors.argmin()) + 1
+        if n == rounds or best + patience <= n:
+            return PipelineModel([assembler, model if best == n else first_trees(model, best)])
+        n = rounds
 
 
 def drawn_settings(points: int, seed: int) -> list[dict]:

@@ -373,7 +373,7 @@ def c5_feature_importance(b: Bound) -> DataFrame:
 
 
 def c2b_search(b: Bound) -> DataFrame:
-    trials = clv.search_boosted(b.training, b.model_inputs, points=50, first=4, rounds=108)
+    trials = clv.search_boosted(b.training, b.model_inputs, points=50, first=2, rounds=54)
     return clv.trial_table(b.spark, trials)
 
 
