@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accountwise.llm.texts import finished, shingle_hashes, slices, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import finished, put_back, set_apart, shingle_hashes, slices, stream, text_of, texts_array, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -181,5 +181,6 @@ def contaminations(docs: DataFrame, items: DataFrame, id: str = "doc_id", **opti
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents without those that contain an item; columns as given."""
-    found = found_in(docs, items, **options)
-    return found.where(F.size(options.get("hits", "_hits")) == 0).select(docs.columns)
+    given = {"text": f"in_{options.get('text', 'text')}", "hits": "_hits"}
+    found = found_in(set_apart(docs), items, **(options | given))
+    return put_back(found.where(F.size("_hits") == 0), docs.columns)

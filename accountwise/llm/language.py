@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import finished, stored, text_of, uniform
+from accountwise.llm.texts import finished, put_back, set_apart, stored, text_of, uniform
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: About so many documents of each language are learned from.
@@ -248,5 +248,5 @@ def identify(docs: DataFrame, learn_from: Column, id: str = "doc_id", text: str
 def recognised(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang", least: float = 0.5, **options) -> DataFrame:
     """The documents whose language is recognised with at least the given probability; columns as given."""
     model = learn(docs.where(learn_from), text, lang, **options)
-    kept = predicted(docs, model, text, "_lang_").where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least))
-    return kept.select(docs.columns)
+    kept = predicted(set_apart(docs), model, f"in_{text}", "_lang_")
+    return put_back(kept.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)), docs.columns)

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import n_words, stored, text_of, uniform
+from accountwise.llm.texts import n_words, set_apart, stored, text_of, uniform
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -172,12 +172,12 @@ def drawn(
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 42,
 ) -> DataFrame:
     """The documents that the mix takes, columns as given, and how often: ``mix_copies``, ``mix_target``."""
-    m = measured(docs, id, text, source, seed)
+    names = docs.columns
+    m = measured(set_apart(docs), f"in_{id}", f"in_{text}", f"in_{source}", seed)
     slim = stored(m.select("_source", "_doc", "_size", "_u"), "sizes")
     goal = stored(targets(slim, weights, share, cap), "targets")
     rate = stored(rates(slim, goal, cap), "rates")
-    out = mixture(m.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns}), goal, rate, limits(slim, rate))
+    out = mixture(m, goal, rate, limits(slim, rate))
     return out.where("copies > 0").select(
-        *(F.col(f"_in_{c}").alias(c) for c in docs.columns), F.col("copies").alias("mix_copies"),
-        F.col("target").alias("mix_target"),
+        *(F.col(f"`in_{c}`").alias(c) for c in names), F.col("copies").alias("mix_copies"), F.col("target").alias("mix_target"),
     )

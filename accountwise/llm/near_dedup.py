@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import finished, mix, shingle_hashes, slices, stored, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import (
+    finished, mix, put_back, set_apart, shingle_hashes, slices, stored, stream, text_of, texts_array, word_hashes,
+)
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -371,8 +373,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Equal texts with an equal id differ in other columns at most; the least row of them by those columns stays. Rows
     without ids come after all others.
     """
-    id_, text = options.get("id", "doc_id"), options.get("text", "text")
-    groups = stored(near_duplicates(docs, **options), "groups")
+    given = docs.columns
+    id_, text = f"in_{options.get('id', 'doc_id')}", f"in_{options.get('text', 'text')}"
+    docs = set_apart(docs)
+    groups = stored(near_duplicates(docs, **(options | {"id": id_, "text": text})), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     kept = groups.where("class_digest is not null").groupBy("class_digest").agg(F.min(order).alias("first"))
     kept = kept.join(
@@ -392,4 +396,5 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     )
     single = joined.where("_rows = 1").select(names)
     repeated = joined.where("_rows > 1").groupBy("_digest").agg(F.min(F.struct(*names)).alias("row")).select("row.*")
-    return marked.where(~has_word | ~F.col("_in")).select(names).unionByName(single).unionByName(repeated)
+    kept_rows = marked.where(~has_word | ~F.col("_in")).select(names).unionByName(single).unionByName(repeated)
+    return put_back(kept_rows, given)

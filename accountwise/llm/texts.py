@@ -66,6 +66,15 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_apart(docs: DataFrame) -> DataFrame:
+    """The documents with ``in_`` before every column's name, so that none is like a name that begins with ``_``."""
+    return docs.toDF(*[f"in_{c}" for c in docs.columns])
+
+
+def put_back(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*[F.col(f"`in_{c}`").alias(c) for c in names])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (splitmix64's finaliser)."""
     x = x ^ (x >> np.uint64(30))
