@@ -833,7 +833,7 @@ SELECT path, CASE path WHEN 'region.parquet' THEN 'changed' WHEN 'part.parquet'
 FROM (SELECT unnest(string_split('region nation customer supplier part orders lineitem events documents embeddings pages benchmark '
   || 'labels conversations gone', ' ')) || '.parquet' AS path)"""
 FINAL["v3b_account_page_after"] = FINAL["v3_account_page"].replace("ORDER BY account_id LIMIT 50 OFFSET 20", "") + (
-    " QUALIFY account_id > 500 ORDER BY account_id LIMIT 50")
+    " QUALIFY account_id > 60 ORDER BY account_id LIMIT 50")
 FINAL["x2b_classifier_invariants"] = """
 SELECT product, count(*) AS accounts, sum(label)::BIGINT AS current, true AS probabilities FROM scores GROUP BY product"""
 FINAL["x1_adoption_rates"] = """

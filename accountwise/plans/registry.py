@@ -76,10 +76,14 @@ class Bound:
 
     @cached_property
     def state(self) -> tuple:
-        """The files as they are now, as one row: what is kept of other files is not used."""
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.dir)
-        seen = files.agg(F.count("path"), F.sum("length"), F.max("modificationTime")).first()
-        return self.spark.sparkContext.applicationId, self.dir, *seen
+        """The files as they are now, from the file system: what is kept of other files is not used."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.dir)
+        listed = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        files = []
+        while listed.hasNext():
+            file = listed.next()
+            files.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+        return self.spark.sparkContext.applicationId, self.dir, *sorted(files)
 
     def fitted(self, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
         key = (self.state, name)
@@ -542,7 +546,7 @@ def t3b_cooled_alerts(b: Bound) -> DataFrame:
 def v3b_account_page_after(b: Bound) -> DataFrame:
     rows = b.stored_features.join(b.segments.select("account_id", "segment"), "account_id", "left")
     path = writers.write_pages(rows, run_dir(b.spark, "pages"), rows_per_range=100)
-    return lookups.page_after(b.spark, path, after=500, tier="Gold")
+    return lookups.page_after(b.spark, path, after=60, tier="Gold")
 
 
 def _feature_columns(key: str):
