@@ -1,17 +1,24 @@
 """Personal data: fixed rules, and terms that the corpus shows to reveal what the rules protect.
 
 The rules find e-mail and IP addresses, card and phone numbers. What they find are the protected entities. A term is a
-word of three or more letters within ``REACH`` characters of an entity. Over the documents of the corpus, N in all,
+word of three or more letters, wherever it stands in a text. Over the N different texts of the corpus
 
-    information of an entity   IC(e) = log2(N / df(e))
-    disclosure by a term       PMI(e, t) = log2(N * df(e, t) / (df(e) * df(t)))
+    information of an entity   IC(e) = log2(1 / p(e)),  p(e) = df(e) / N
+    disclosure by a term       PMI(e, t) = log2(P(e | t) / p(e)),  P(e | t) = (df(e, t) + S * p(e)) / (df(t) + S)
 
-where df(e, t) counts documents in which the term stands near the entity. PMI reaches IC if the term occurs nowhere
-else. In the documents of e, terms that disclose at least the share ``REMOVE`` of IC are removed, and those from
-``GENERALISE`` on are generalised to a mark; one text alone, however often it is copied, is no
-evidence. All of it is Spark expressions, joins and sums; counting combines before the shuffle, so a common address or word is no hot spot.
+where df counts texts and S = ``SMOOTH`` texts in which the entity is as frequent as anywhere smooth the estimate, so that
+a term of one text discloses less than one that goes along with the entity in many. In the texts of e, every occurrence of
+a term that discloses at least the share ``REMOVE`` of IC is removed, and from ``GENERALISE`` on it is generalised to a mark;
+a term that discloses two entities takes the stricter treatment. Letters within the rules' finds are not marked again.
 
-A null text is empty. Empty texts have no span. Rows may repeat: each counts as a document. Places are code points.
+Where the entity or the term occurs in one text alone, df(e, t) is 1 and needs no counting: the rarest entity of the text
+decides. Only entities and terms of two or more texts make pairs, and of those only pairs whose counts can reach the
+threshold. A text's pairs grow with its entities times its terms that remain. All of it is Spark expressions, joins and
+sums; counting combines before the shuffle, so a common address or word is no hot spot.
+
+A null text is empty. Empty texts have no span. Texts of any length are taken whole. Rows that repeat a text count once and are
+all sanitised alike. Entities and terms are compared in lower case. Places are code points. An empty table gives an empty one;
+the id must be a number or null.
 """
 
 from __future__ import annotations
@@ -32,10 +39,8 @@ KINDS = ("email", "ip", "card", "phone", "term", "term")
 RULES = 4
 MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
 
-REACH = 40
-GENERALISE, REMOVE = 0.9, 0.95
+GENERALISE, REMOVE, SMOOTH = 0.9, 0.95, 1.0
 TERM = r"\p{L}{3,}"
-_TERM = "struct<entity:string,term:string,start:int,end:int>"
 
 
 def _digits(m: Column) -> Column:
@@ -64,54 +69,82 @@ def _rules(text: Column) -> dict[str, Column]:
     }
 
 
-def _near(text: Column, matches: Column) -> Column:
-    """Terms around each match: (entity, term, start, end); a word that the window cuts is none."""
+def ruled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents with the rules' matches, _base (their spans in order) and _entities (what they are, once each)."""
+    kinds = ("_email", "_ip", "_card", "_phone")
+    out = docs.withColumns(_rules(text_of(text)))
+    every = [spans.spans(F.col(c), k) for k, c in enumerate(kinds)]
+    return out.withColumns({
+        "_base": F.array_sort(F.concat(*every)),
+        "_entities": F.array_distinct(F.transform(F.concat(*kinds), lambda m: F.lower(m["text"]))),
+        **{f"_n{c}": F.size(c).cast("long") for c in kinds},
+    }).drop(*kinds)
 
-    def all_around(cut) -> Column:
-        def around(m: Column) -> Column:
-            first = F.greatest(m["start"] - REACH, F.lit(0))
-            before, after = cut(first, m["start"] - first), cut(m["end"], F.lit(REACH))
-            term = lambda t, at: F.struct(
-                F.lower(m["text"]).alias("entity"), F.lower(t["text"]).alias("term"), (at + t["start"]).alias("start"),
-                (at + t["end"]).alias("end"))
-            return F.concat(
-                F.transform(F.filter(spans.found(before, TERM), lambda t: (t["start"] > 0) | (first == 0)), lambda t: term(t, first)),
-                F.transform(F.filter(spans.found(after, TERM), lambda t: t["end"] < REACH), lambda t: term(t, m["end"])),
-            )
 
-        return F.flatten(F.transform(matches, around))
+def terms_of(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    return spans.cut_by(text, F.size(matches), all_around)
 
+def share(both: Column, with_entity: Column, with_term: Column, total: int) -> Column:
+    """The share of the entity's information that the term discloses; null for an entity of every text."""
+    p = with_entity / F.lit(float(total))
+    given = (both + SMOOTH * p) / (with_term + SMOOTH)
+    return F.when(p < 1, F.log2(given / p) / F.log2(1 / p))
 
-def ruled(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with the rules' matches, _base (their spans in order) and _near (the terms around them)."""
-    out = docs.withColumns(_rules(text_of(text)))
-    every = [spans.spans(F.col(c), k) for k, c in enumerate(("_email", "_ip", "_card", "_phone"))]
-    out = out.withColumn("_base", F.array_sort(F.concat(*every)))
-    around = spans.apart(_near(text_of(text), F.concat("_email", "_ip", "_card", "_phone")), F.col("_base"), _TERM)
-    none = F.array().cast(f"array<{_TERM}>")
-    return out.withColumn("_near", F.when(F.size("_base") > 0, around).otherwise(none))
-
-
-def disclosing(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(entity, term, share): pairs over the threshold; share of the entity's information that the term discloses."""
-    pair = F.array_distinct(F.transform("_near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    pairs = found.select("_text", F.explode(pair).alias("p")).groupBy("p.entity", "p.term").agg(
-        F.count("*").alias("both"), (F.min("_text") != F.max("_text")).alias("several")
-    )
-    pairs = pairs.where("several")
-    matched = F.array_distinct(F.transform(F.concat("_email", "_ip", "_card", "_phone"), lambda m: F.lower(m["text"])))
-    entities = found.select(F.explode(matched).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    own = F.array_distinct(F.filter(F.split(F.lower(text_of(text)), r"[^\p{L}]+"), lambda w: F.length(w) >= 3))
-    terms = docs.select(F.explode(own).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    total = F.lit(float(found.count()))
-    told = F.log2(total / F.col("with_entity"))
-    disclosed = F.log2(total * F.col("both") / (F.col("with_entity") * F.col("with_term")))
-    return (
-        pairs.join(entities, "entity").join(terms, "term").where(told > 0)
-        .select("entity", "term", (disclosed / told).alias("share")).where(F.col("share") >= GENERALISE)
-    )
+
+def disclosing(found: DataFrame) -> DataFrame:
+    """(row, term, share): what each term discloses at most of an entity of its row, from the threshold on.
+
+    ``found`` has row, text, _hash, _base and _entities.
+    """
+    first = found.groupBy("_hash").agg(F.min("row").alias("row"))
+    repeats = found.select("row", "_hash").join(first.withColumnRenamed("row", "first"), "_hash").where(F.col("row") != F.col("first"))
+    repeats = stored(repeats.select("row"), "repeats")
+    total = found.count() - repeats.count()
+    once = found.join(repeats, "row", "left_anti")
+    term_counts = once.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
+
+    told = found.where(F.size("_base") > 0)
+    owned = told.select("row", F.explode("_entities").alias("entity"))
+    counts = owned.join(repeats, "row", "left_anti").groupBy("entity").agg(F.count("*").alias("with_entity"))
+    owned = stored(owned.join(counts, "entity").where(F.col("with_entity") < total), "entities")
+    ends = owned.groupBy("row").agg(F.min("with_entity").alias("rarest"), F.max("with_entity").alias("commonest"))
+
+    # a term of more texts than this cannot tell of the commonest entity, nor of any other of the row
+    p = F.col("commonest") / F.lit(float(max(total, 1)))
+    most = (F.col("commonest") + SMOOTH * p) / F.pow(p, F.lit(1 - GENERALISE)) - SMOOTH
+    own = told.select("row", terms_of(F.col("text")).alias("terms")).join(ends, "row")
+    own = own.select("row", "rarest", most.alias("most"), F.explode("terms").alias("term"))
+    own = own.join(term_counts, "term").where(F.col("with_term") <= F.col("most") * (1 + 1e-9))
+    own = stored(own.select("row", "term", "with_term", "rarest"), "rare-terms")
+
+    alone = own.where((F.col("with_term") == 1) | (F.col("rarest") == 1)).select(
+        "row", "term", share(F.lit(1), F.col("rarest"), F.col("with_term"), total).alias("share"))
+
+    def shared(both: Column) -> Column:
+        return share(both, F.col("with_entity"), F.col("with_term"), total)
+
+    met = own.where("with_term > 1").drop("rarest").join(owned.where("with_entity > 1"), "row")
+    met = stored(met.where(shared(F.least("with_entity", "with_term")) >= GENERALISE), "met")
+    pairs = met.join(repeats, "row", "left_anti").groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("both"))
+    pairs = pairs.select("entity", "term", shared(F.col("both")).alias("share")).where(F.col("share") >= GENERALISE)
+    several = met.select("row", "entity", "term").join(pairs, ["entity", "term"]).select("row", "term", "share")
+    return alone.where(F.col("share") >= GENERALISE).unionByName(several).groupBy("row", "term").agg(F.max("share").alias("share"))
+
+
+def _found(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """row, doc_id, text, the rules' finds, and ``added``: the places of disclosing terms; row numbers the rows."""
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = stored(ruled(slim).withColumn("_hash", F.xxhash64(text_of("text"))), "personal")
+    told = stored(disclosing(found), "disclosing")
+    # the places of all words, in texts with a disclosing term only
+    some = found.join(told.select("row").distinct(), "row").select("row", spans.apart(spans.found(F.col("text"), TERM), F.col("_base")).alias("w"))
+    places = some.select("row", F.explode("w").alias("w")).select("row", F.lower("w.text").alias("term"), "w.start", "w.end")
+    kind = F.when(F.col("share") >= REMOVE, 5).otherwise(4)
+    added = places.join(told, ["row", "term"]).groupBy("row").agg(
+        F.collect_list(F.struct("start", kind.alias("kind"), "end")).alias("added"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return found.join(stored(added, "terms"), "row", "left").withColumn("added", F.coalesce("added", none))
 
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,24 +152,9 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     Spans of kind 4 are to be generalised, of kind 5 to be removed.
     """
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = stored(ruled(slim).withColumn("_text", F.xxhash64("text")).drop("text"), "personal")
-    pairs = stored(disclosing(found, docs, text), "disclosing")
-    near = found.select("row", F.explode("_near").alias("t")).select("row", "t.*")
-    kind = F.when(F.col("share") >= REMOVE, 5).otherwise(4)
-    told = near.join(pairs, ["entity", "term"]).select("row", "start", "end", kind.alias("kind"))
-    # a term near two entities takes the stricter kind
-    told = told.groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
-    added = told.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return (
-        found.join(stored(added, "terms"), "row", "left")
-        .withColumn("added", F.coalesce("added", none))
-        .select(
-            "row", "doc_id", *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS[:RULES]),
-            F.size("added").cast("long").alias("n_term"), F.col("_base").alias("base"),
-            F.array_sort(F.concat("_base", "added")).alias("spans"),
-        )
+    return _found(docs, id, text).select(
+        "row", "doc_id", *(F.col(f"_n_{k}").alias(f"n_{k}") for k in KINDS[:RULES]), F.size("added").cast("long").alias("n_term"),
+        F.col("_base").alias("base"), F.array_sort(F.concat("_base", "added")).alias("spans"),
     )
 
 
@@ -150,8 +168,6 @@ def digest(scan_rows: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text): rules' finds replaced by their kind, disclosing terms by [TERM] or by nothing."""
-    numbered = stored(docs.select(F.monotonically_increasing_id().alias("at"), F.col(id).alias("doc_id"), F.col(text).alias("text")), "texts")
-    spans_of = scan(numbered.select(F.col("at").alias("doc_id"), "text")).select(F.col("doc_id").alias("at"), "spans")
-    joined = numbered.join(spans_of, "at")
+    rows = _found(docs, id, text).select("doc_id", "text", F.array_sort(F.concat("_base", "added")).alias("spans"))
     done = spans.masked(text_of("text"), F.col("spans"), MARKS)
-    return joined.select("doc_id", F.when(F.size("spans") > 0, done).otherwise(F.col("text")).alias("text"))
+    return rows.select("doc_id", F.when(F.size("spans") > 0, done).otherwise(F.col("text")).alias("text"))

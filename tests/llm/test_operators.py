@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -202,6 +203,59 @@ def test_disclosing_terms(spark):
     assert "Zorblax" not in got[100] and "[EMAIL]" in got[100] and "common" in got[100] and got[3] == rows[3][1]
 
 
+def disclosing_brute(rows):
+    """Places of disclosing terms by row, straight from the definition; the rows' entities are e-mail addresses."""
+    email, term = re.compile(PERSONAL[0][1]), re.compile(r"[^\W\d_]{3,}")
+    texts_ = {t for _, t in rows}
+    entities = {t: {m.group().lower() for m in email.finditer(t)} for t in texts_}
+    words = {t: {m.group().lower() for m in term.finditer(t)} for t in texts_}
+    df_e, df_t = Counter(e for s in entities.values() for e in s), Counter(w for s in words.values() for w in s)
+    both = Counter((e, w) for t in texts_ for e in entities[t] for w in words[t])
+    out = {}
+    for k, t in rows:
+        found = []
+        for m in term.finditer(t):
+            w, best = m.group().lower(), 0
+            for e in entities[t]:
+                p = df_e[e] / len(texts_)
+                if p < 1:
+                    best = max(best, math.log2((both[e, w] + sanitise.SMOOTH * p) / (df_t[w] + sanitise.SMOOTH) / p) / -math.log2(p))
+            inside = any(m.start() < x.end() and x.start() < m.end() for x in email.finditer(t))
+            if best >= sanitise.GENERALISE and not inside:
+                found.append((m.start(), 5 if best >= sanitise.REMOVE else 4, m.end()))
+        out.setdefault(k, []).append(found)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_disclosing_terms_match_brute_force(spark):
+    draw = random.Random(5)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfg" for b in ("an", "ol", "ir") for c in "kmstv"] + ["rare" + "abcdefghij"[k] * 2 for k in range(10)]
+    people = ["ann@x.org", "bob@y.com", "Cy@z.net", "dee@w.org"]
+    rows = []
+    for k in range(300):
+        w = draw.choices(vocabulary, k=draw.randint(0, 12))
+        who = draw.randint(0, 40)
+        if who < 4:
+            w += [people[who], "Known" + "abcd"[who], *["of"] * 5, "KNOWN" + "abcd"[who]]
+        if who == 5:
+            w += [f"only{k}@once.org", f"single{'xyz'[k % 3] * (k // 3)}"]
+        rows.append((k, " ".join(w)))
+    rows += [rows[3], (1000, ""), *[(1001 + k, "copied knownword at many@copies.org") for k in range(30)]]
+    got = {}
+    for r in sanitise.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r["doc_id"], []).append([tuple(s) for s in r["spans"] if s["kind"] >= sanitise.RULES])
+    want = disclosing_brute(rows)
+    assert {k: sorted(v) for k, v in got.items()} == want
+    assert {s[1] for v in want.values() for found in v for s in found} == {4, 5}
+
+
+def test_a_disclosing_term_is_masked_wherever_it_stands(spark):
+    rows = [(k, f"common words here number {k} and more common words") for k in range(400)]
+    rows += [(1000 + k, f"Zorblax joe@example.com {'common words ' * 20 * (k + 1)} ask zorblax about number {k}") for k in range(4)]
+    got = {r["doc_id"]: r["text"] for r in sanitise.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("zorblax" not in got[1000 + k].lower() and "common" in got[1000 + k] for k in range(4)) and got[7] == rows[7][1]
+
+
 # ---- 3
 
 def test_contaminations_match_brute_force(spark, docs, rows):
