@@ -23,7 +23,7 @@ the id must be a number or null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountwise.llm import spans
@@ -41,6 +41,9 @@ MARKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
 
 GENERALISE, REMOVE, SMOOTH = 0.9, 0.95, 1.0
 TERM = r"\p{L}{3,}"
+#: Between a letter and another character.
+EDGE = r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})"
+_SPAN = "struct<start:int,kind:int,end:int>"
 
 
 def _digits(m: Column) -> Column:
@@ -137,14 +140,16 @@ def _found(docs: DataFrame, id: str, text: str) -> DataFrame:
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = stored(ruled(slim).withColumn("_hash", F.xxhash64(text_of("text"))), "personal")
     told = stored(disclosing(found), "disclosing")
-    # the places of all words, in texts with a disclosing term only
-    some = found.join(told.select("row").distinct(), "row").select("row", spans.apart(spans.found(F.col("text"), TERM), F.col("_base")).alias("w"))
-    places = some.select("row", F.explode("w").alias("w")).select("row", F.lower("w.text").alias("term"), "w.start", "w.end")
+    # texts with a disclosing term come apart where letters begin and end; lengths up to a piece make its place
+    pieces = found.join(told.select("row").distinct(), "row").select("row", F.posexplode(F.split("text", EDGE)).alias("at", "piece"))
+    so_far = F.sum(F.length("piece")).over(Window.partitionBy("row").orderBy("at"))
+    places = pieces.withColumn("end", so_far.cast("int")).where(F.col("piece").rlike(TERM))
     kind = F.when(F.col("share") >= REMOVE, 5).otherwise(4)
-    added = places.join(told, ["row", "term"]).groupBy("row").agg(
-        F.collect_list(F.struct("start", kind.alias("kind"), "end")).alias("added"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return found.join(stored(added, "terms"), "row", "left").withColumn("added", F.coalesce("added", none))
+    added = places.withColumn("term", F.lower("piece")).join(told, ["row", "term"]).groupBy("row").agg(
+        F.collect_list(F.struct((F.col("end") - F.length("piece")).alias("start"), kind.alias("kind"), "end")).alias("added"))
+    none = F.array().cast(f"array<{_SPAN}>")
+    outside = F.when(F.col("added").isNull(), none).otherwise(spans.apart(F.col("added"), F.col("_base"), _SPAN))
+    return found.join(stored(added, "terms"), "row", "left").withColumn("added", outside)
 
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
