@@ -100,9 +100,8 @@ def disclosing(found: DataFrame) -> DataFrame:
 
     ``found`` has row, text, _hash, _base and _entities.
     """
-    first = found.groupBy("_hash").agg(F.min("row").alias("row"))
-    repeats = found.select("row", "_hash").join(first.withColumnRenamed("row", "first"), "_hash").where(F.col("row") != F.col("first"))
-    repeats = stored(repeats.select("row"), "repeats")
+    first = found.groupBy("_hash").agg(F.min("row").alias("row")).select("row")
+    repeats = stored(found.select("row").join(first, "row", "left_anti"), "repeats")
     total = found.count() - repeats.count()
     once = found.join(repeats, "row", "left_anti")
     term_counts = once.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
@@ -141,7 +140,8 @@ def _found(docs: DataFrame, id: str, text: str) -> DataFrame:
     found = stored(ruled(slim).withColumn("_hash", F.xxhash64(text_of("text"))), "personal")
     told = stored(disclosing(found), "disclosing")
     # texts with a disclosing term come apart where letters begin and end; lengths up to a piece make its place
-    pieces = found.join(told.select("row").distinct(), "row").select("row", F.posexplode(F.split("text", EDGE)).alias("at", "piece"))
+    some = found.where(F.size("_base") > 0).select("row", "text")
+    pieces = some.join(told.select("row").distinct(), "row").select("row", F.posexplode(F.split("text", EDGE)).alias("at", "piece"))
     so_far = F.sum(F.length("piece")).over(Window.partitionBy("row").orderBy("at"))
     places = pieces.withColumn("end", so_far.cast("int")).where(F.col("piece").rlike(TERM))
     kind = F.when(F.col("share") >= REMOVE, 5).otherwise(4)
