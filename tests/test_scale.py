@@ -220,3 +220,13 @@ def test_tied_events_are_summed_without_a_loop(s0, d0, d):
 
     want = survival._terms(s0, d0, d, np.arange(d)).sum(1)
     assert survival._tie_sums(s0, d0, d) == pytest.approx(want, rel=1e-9)
+
+
+def test_cox_counts_tied_events_over_many_tasks(spark):
+    """Each task holds another number of a day's accounts; none may be lost where the tasks are put together."""
+    df = spark.range(0, 60_000, numPartitions=23).select(
+        (F.col("id") * 7919 % 997 % 37 + 1).alias("duration"), (F.col("id") * 31 % 7 < 3).cast("int").alias("event"),
+        ((F.col("id") % 11) / 10.0).alias("a"))
+    want = {r["duration"]: r["n"] for r in df.where("event = 1").groupBy("duration").agg(F.count(F.lit(1)).alias("n")).collect()}
+    terms = survival.cox_terms(df, ("a",), np.array([0.3]), penalty=0.01)
+    assert {int(d): int(n) for d, n in zip(terms.days, terms.deaths)} == want
