@@ -230,3 +230,10 @@ def test_cox_counts_tied_events_over_many_tasks(spark):
     want = {r["duration"]: r["n"] for r in df.where("event = 1").groupBy("duration").agg(F.count(F.lit(1)).alias("n")).collect()}
     terms = survival.cox_terms(df, ("a",), np.array([0.3]), penalty=0.01)
     assert {int(d): int(n) for d, n in zip(terms.days, terms.deaths)} == want
+
+
+def test_percentile_of_half_a_digit(spark):
+    """23 of 80 are 28.75 percent, which a quotient rounded before it is scaled falls short of."""
+    actual = spark.range(80).select(F.col("id").cast("double").alias("clv_12m"))
+    pred = spark.createDataFrame([(1, 23.0)], "account_id long, predicted_clv double")
+    assert clv.clv_percentiles(pred, actual).first()["clv_percentile"] == 28.8
