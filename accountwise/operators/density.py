@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountwise.session import cut_lineage
+from accountwise.session import cut_lineage, written_again
 
 NOISE = -1
 
@@ -127,17 +127,22 @@ def forest_links(cores: DataFrame, grid: Sequence[str], steps: int) -> DataFrame
 def components(nodes: DataFrame, links: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Nodes (within, id) with ``label``, the least id that can be reached over links (within, a, b).
 
-    Every round takes the least label among the neighbours and then that label's own; it ends when nothing changes.
+    In every round a node takes the least label among its neighbours, the node it is named after takes the least of what those
+    named after it found, and every label is replaced by that label's own; it ends when nothing changes. Whole parts are thus
+    joined at once, and the number of rounds follows the logarithm of a path's length.
     """
     keys = list(within)
-    both = cut_lineage(links.select(*keys, "a", "b").union(links.select(*keys, F.col("b"), F.col("a"))))
-    labels = cut_lineage(nodes.select(*keys, "id", F.col("id").alias("label")))
+    both = written_again(links.select(*keys, "a", "b").union(links.select(*keys, F.col("b"), F.col("a"))))
+    labels = written_again(nodes.select(*keys, "id", F.col("id").alias("label")))
     while True:
         seen = both.join(labels.withColumnRenamed("id", "b"), [*keys, "b"]).groupBy(*keys, "a").agg(F.min("label").alias("near"))
-        lowered = labels.join(seen.withColumnRenamed("a", "id"), [*keys, "id"], "left").select(
-            *keys, "id", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
+        found = written_again(labels.join(seen.withColumnRenamed("a", "id"), [*keys, "id"], "left").select(
+            *keys, "id", "label", F.least("label", F.coalesce("near", "label")).alias("next")))
+        lower = found.where("next < label").groupBy(*keys, F.col("label").alias("id")).agg(F.min("next").alias("told"))
+        lowered = found.join(lower, [*keys, "id"], "left").select(
+            *keys, "id", "label", F.least("next", F.coalesce("told", "next")).alias("next"))
         roots = lowered.select(*keys, F.col("id").alias("next"), F.col("next").alias("jump"))
-        stepped = cut_lineage(lowered.join(roots, [*keys, "next"]).select(
+        stepped = written_again(lowered.join(roots, [*keys, "next"]).select(
             *keys, "id", F.col("jump").alias("label"), (F.col("jump") != F.col("label")).alias("moved")))
         labels = stepped.drop("moved")
         if stepped.where("moved").isEmpty():
@@ -178,15 +183,15 @@ def condensed_tree(levels: DataFrame, radii: Sequence[int], min_size: int) -> Da
     above = levels.select((F.col("level") + 1).alias("level"), F.col("id").alias("label"), F.col("label").alias("parent"))
     nodes = sizes.join(above, ["level", "label"], "left")
     siblings = nodes.where("level > 0").groupBy("level", "parent").agg(F.count(F.lit(1)).alias("parts"))
-    nodes = cut_lineage(nodes.join(siblings, ["level", "parent"], "left").select(
+    nodes = written_again(nodes.join(siblings, ["level", "parent"], "left").select(
         "level", "label", "parent", "size", ((F.col("level") == 0) | (F.col("parts") > 1)).alias("born")))
     # every node points to the first component of its cluster; pointers double their length in each round
-    up = cut_lineage(nodes.select(
+    up = written_again(nodes.select(
         "level", "label", F.when(F.col("born"), F.col("level")).otherwise(F.col("level") - 1).alias("to_level"),
         F.when(F.col("born"), F.col("label")).otherwise(F.col("parent")).alias("to_label")))
     for _ in range(max(1, len(radii)).bit_length()):
         next_up = up.select(*[F.col(c).alias(f"n_{c}") for c in up.columns])
-        up = cut_lineage(up.join(next_up, (F.col("to_level") == F.col("n_level")) & (F.col("to_label") == F.col("n_label"))).select(
+        up = written_again(up.join(next_up, (F.col("to_level") == F.col("n_level")) & (F.col("to_label") == F.col("n_label"))).select(
             "level", "label", F.col("n_to_level").alias("to_level"), F.col("n_to_label").alias("to_label")))
     density = [1.0 / r for r in radii]
     gain = F.element_at(F.array(*[F.lit(density[k] - density[max(0, k - 1)]) for k in range(len(radii))]), F.col("level") + 1)
@@ -202,7 +207,7 @@ def condensed_tree(levels: DataFrame, radii: Sequence[int], min_size: int) -> Da
 
 def most_stable(tree: DataFrame) -> DataFrame:
     """The clusters (first, label, size) of the best choice: none within another, the sum of stabilities largest."""
-    tree = cut_lineage(tree)
+    tree = written_again(tree)
     births = sorted(r["first"] for r in tree.select("first").distinct().collect())  # levels: a few dozen
     done = None
     for first in reversed(births):
@@ -215,7 +220,7 @@ def most_stable(tree: DataFrame) -> DataFrame:
         valued = valued.select(
             "first", "label", "size", "parent_first", "parent_label", (F.col("stability") >= F.col("parts")).alias("taken"),
             F.greatest("stability", "parts").alias("value"))
-        done = cut_lineage(valued if done is None else done.unionByName(valued))
+        done = written_again(valued if done is None else done.unionByName(valued))
     if done is None:
         return tree.select("first", "label", "size")
     settled = None
@@ -229,7 +234,7 @@ def most_stable(tree: DataFrame) -> DataFrame:
             judged = own.join(above, ["parent_first", "parent_label"], "left").withColumn(
                 "within", F.coalesce("inside", F.lit(False))).drop("inside")
         judged = judged.select("first", "label", "size", "taken", "within")
-        settled = cut_lineage(judged if settled is None else settled.unionByName(judged))
+        settled = written_again(judged if settled is None else settled.unionByName(judged))
     return settled.where("taken and not within").select("first", "label", "size")
 
 
@@ -239,7 +244,7 @@ def density_hierarchy(
 ) -> DataFrame:
     """account_id and cluster: the most stable clusters, numbered by size from 0; noise is -1."""
     placed, levels, radii = density_levels(points, axes, reach, steps, min_neighbours, per_halving)
-    levels = cut_lineage(levels)
+    levels = written_again(levels)
     chosen = most_stable(condensed_tree(levels, radii, min_size))
     # one row for each cluster of at least min_size accounts
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("size"), "first", "label")

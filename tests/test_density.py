@@ -114,3 +114,20 @@ def test_components_have_no_limit_of_rounds(spark):
     nodes = spark.range(3001).withColumnRenamed("id", "id")
     links = spark.createDataFrame(rows, "a long, b long")
     assert [r["label"] for r in density.components(nodes, links).select("label").distinct().collect()] == [0]
+
+
+def test_components_of_long_paths_take_few_rounds(spark, monkeypatch):
+    """Shuffled ids along a path: labels once moved a few nodes a round, and the plan doubled with every round."""
+    n = 3000
+    ids = np.random.default_rng(5).permutation(n).tolist()
+    links = spark.createDataFrame([(a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if i != 1200], "a long, b long")
+    rounds, write = [], density.written_again
+
+    def counted(df, *label):
+        assert len(rounds) < 40, "too many rounds"
+        rounds.append(1)
+        return write(df, *label)
+
+    monkeypatch.setattr(density, "written_again", counted)
+    got = {r["id"]: r["label"] for r in density.components(spark.range(n), links).collect()}
+    assert all(got[i] == min(ids[:1201]) for i in ids[:1201]) and all(got[i] == min(ids[1201:]) for i in ids[1201:])
