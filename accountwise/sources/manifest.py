@@ -70,6 +70,13 @@ def verify(expected: DataFrame, current: DataFrame) -> DataFrame:
     return both.select(F.coalesce("old.path", "new.path").alias("path"), status.alias("status"))
 
 
+def entry_status(verified: DataFrame) -> DataFrame:
+    """The same for every entry of the dataset's folder, a table in one file or in many: the status of its files if it is one
+    for all, else changed."""
+    both = F.when(F.min("status") == F.max("status"), F.min("status")).otherwise("changed")
+    return verified.groupBy(F.substring_index("path", "/", 1).alias("path")).agg(both.alias("status"))
+
+
 def require_intact(expected: DataFrame, current: DataFrame) -> None:
     """Fail closed: any changed, missing or unlisted file stops the job."""
     bad = verify(expected, current).where(F.col("status") != "ok")

@@ -123,3 +123,13 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE bucketing CASCADE")
+
+
+def test_manifest_query_on_tables_in_folders(spark, tmp_path):
+    """Tables of several files are compared as tables."""
+    from accountwise.plans.registry import Bound, s10_manifest
+
+    for name in ("region", "part", "nation"):
+        spark.range(30).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["path"]: r["status"] for r in s10_manifest(Bound(spark, str(tmp_path))).collect()}
+    assert got == {"region.parquet": "changed", "part.parquet": "new", "gone.parquet": "missing", "nation.parquet": "ok"}
