@@ -7,11 +7,11 @@ it. Context restaurants with the same last byte share a parent, all those share
 uniform distribution of 256 bytes and the end. Discounts come from the counts of ones and twos of each level.
 
 The context restaurants are seated once, from the words' shares as parent and the number of different followers as tables:
-a word that follows another once has one table, the others a first seating and rounds as below. Then the words are seated.
-A sweep removes customers at random, one from every word a round, and seats each anew: at a table with probability
+a word that follows another once has one table, the others a first seating and passes as below. Then the words are seated.
+A sweep is a pass over all customers: each gets up once, in random order, and is seated anew: at a table with probability
 proportional to its size less the discount, at a new one with (strength + discount * tables) * probability of the
-spelling. Then the tables' spellings are seated in the context restaurants, level by level. Within a sweep tasks see the
-totals of the sweep before. The first sweep starts from tables drawn at their expected number. Predictive probabilities are averaged over the
+spelling. Words of many customers are passed in blocks, each accepted by Metropolis' rule. Then the tables' spellings are seated
+in the context restaurants, level by level, by tasks that share the cells. Within a sweep tasks see the totals of the sweep before. The first sweep starts from tables drawn at their expected number. Predictive probabilities are averaged over the
 sweeps after the first.
 
 The words of the corpus and their tables are a distributed table that grows with it. Spelling contexts are bounded, at most
@@ -33,13 +33,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwise.llm.texts import finished, mix, slices, stored, stream, text_of, texts_array, word_hashes
 
 SWEEPS = 3
 BURN = 1
+#: Passes over the pairs, and over the cells of the spelling contexts; a sweep over the words is one pass.
 ROUNDS = 3
 STRENGTH = 1.0
 HEAD = 131_072
@@ -49,6 +50,10 @@ HEAD_BYTES = 64
 HELD = 400_000
 #: Tokens of which a task counts the pairs before it passes them on.
 HELD_TOKENS = 1_500_000
+#: Customers that are seated again together; a dish of more is by itself.
+HELD_CUSTOMERS = 1 << 20
+#: Dishes of no more customers have them seated again one by one, others in so many blocks at least.
+BLOCKS = 64
 #: The hash of the end, which is also what stands before the first word.
 END_HASH = np.uint64(0)
 SIGNS = 257
@@ -238,38 +243,110 @@ def first_seating(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generat
 
 
 def reseat(sizes: np.ndarray, begin: np.ndarray, c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """One round: from every dish of two or more customers, one gets up and is seated again."""
-    at = np.flatnonzero(c >= 2)
-    if not len(at):
+    """A pass over all customers: each of a dish of two or more gets up once, in random order, and is seated again."""
+    counts, ends = np.diff(begin), np.cumsum(c)
+    parts, at = [], 0
+    while at < len(c):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] - c[at] + HELD_CUSTOMERS, side="right")))
+        inside = slice(at, upto)
+        moves = c[inside] >= 2
+        own, of = sizes[begin[at] : begin[upto]], np.repeat(moves, counts[inside])
+        dish = np.repeat(np.arange(at, upto), counts[inside])
+        new, number = _pass(own[of], counts[inside][moves], c[inside][moves], a[inside][moves], d, rng)
+        dish = np.concatenate([dish[~of], np.repeat(np.flatnonzero(moves) + at, number)])
+        order = np.argsort(dish, kind="stable")
+        parts.append((np.concatenate([own[~of], new])[order], dish[order]))
+        at = upto
+    if not parts:
         return sizes, begin
-    # who gets up: a customer at random
-    upto = np.concatenate([[0], np.cumsum(sizes)])
-    table = np.searchsorted(upto, upto[begin[at]] + rng.integers(0, c[at]), side="right") - 1
-    sizes = sizes.copy()
-    sizes[table] -= 1
-    t = np.diff(begin)[at] - (sizes[table] == 0)
-    stay = c[at] - 1 - d * t
-    fresh = rng.random(len(at)) * (a[at] + stay) < a[at]
-    # an old table, by its size less the discount; emptied tables have no weight
-    weight = np.where(sizes > 0, sizes - d, 0.0)
-    upto = np.concatenate([[0.0], np.cumsum(weight)])
-    old, lo, hi = at[~fresh], upto[begin[at[~fresh]]], upto[begin[at[~fresh] + 1]]
-    spot = np.searchsorted(upto, lo + rng.random(len(old)) * (hi - lo), side="right") - 1
-    spot = np.clip(spot, begin[old], begin[old + 1] - 1)
-    empty = sizes[spot] == 0
-    spot[empty] = [begin[w] + int(np.argmax(sizes[begin[w] : begin[w + 1]])) for w in old[empty]]
-    sizes[spot] += 1
-    # a new table: the emptied place if there is one, else a place at the end of the dish
-    reuse = fresh & (sizes[table] == 0)
-    sizes[table[reuse]] = 1
-    grow = at[fresh & ~reuse]
-    dish = np.repeat(np.arange(len(c)), np.diff(begin))
-    sizes, dish = np.insert(sizes, begin[grow + 1], 1), np.insert(dish, begin[grow + 1], grow)
-    keep = sizes > 0
-    sizes, dish = sizes[keep], dish[keep]
+    sizes, dish = (np.concatenate(x) for x in zip(*parts))
     return sizes, np.concatenate([[0], np.cumsum(np.bincount(dish, minlength=len(c)))])
 
 
+def _pass(sizes: np.ndarray, tables: np.ndarray, c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(table sizes, tables of each dish) after all customers were seated again; every dish has two customers at least.
+
+    Customers of a dish stand in random order, cut into blocks; up to ``BLOCKS`` customers, each is a block of its own. A block
+    gets up and its customers sit down one after the other, at a table by its size less the discount, or at a new one. For a
+    block of several, that is a proposal: seated so, the weights of a new seating and of the one before differ by
+    the totals that the draws were divided by, and it is taken or left by their ratio, so that the posterior stays exact.
+    An old table is found by following a customer at random; the customer that opened it counts 1 - d.
+    """
+    if not len(c):
+        return sizes, tables
+    old_tables, n = len(sizes), int(c.sum())
+    owner = np.repeat(np.arange(len(c), dtype=np.int32), c)
+    table = np.repeat(np.arange(old_tables), sizes)[np.argsort(owner + rng.random(n))]
+    size = np.concatenate([sizes, np.zeros(n, dtype=sizes.dtype)])  # a table opened by customer k has the number old_tables + k
+    dish_of = np.repeat(np.arange(len(c)), tables)
+    tables, first = tables.copy(), np.cumsum(c) - c
+    blocks = np.minimum(c, np.maximum(BLOCKS, np.ceil(3 * np.cbrt(tables)).astype(np.int64)))
+    act, number = np.arange(len(c)), 0
+    while len(act):
+        low, high = c[act] * number // blocks[act], c[act] * (number + 1) // blocks[act]
+        many = high - low
+        begin = np.cumsum(many) - many
+        g = np.repeat(np.arange(len(act)), many)
+        i = np.arange(len(g)) - begin[g]
+        who = first[act][g] + low[g] + i
+        was = table[who]
+        np.subtract.at(size, was, 1)
+        gone = np.flatnonzero(size[was] == 0)
+        opened_before = np.zeros(len(g), dtype=bool)
+        opened_before[gone[np.unique(was[gone], return_index=True)[1]]] = True
+        rest = c[act] - many
+        left = tables[act] - np.bincount(g[opened_before], minlength=len(act))
+        pull, stay = a[act], rest - d * left
+        to, opened, settled, behind = np.empty_like(was), np.zeros(len(g), dtype=bool), np.zeros(len(g), dtype=bool), np.full(len(g), -1)
+        todo = np.arange(len(g))
+        while len(todo):
+            free = todo[behind[todo] < 0]
+            x = rng.random(len(free)) * (pull[g[free]] + stay[g[free]] + i[free]) - pull[g[free]]
+            fresh, within = x < 0, x >= stay[g[free]]
+            opened[free[fresh]] = settled[free[fresh]] = True
+            to[free[fresh]] = old_tables + who[free[fresh]]
+            near = free[within]
+            behind[near] = begin[g[near]] + np.minimum((x - stay[g[free]])[within].astype(np.int64), i[near] - 1)
+            seek = free[~fresh & ~within]
+            settled[seek] = True
+            while len(seek):
+                k = g[seek]
+                spot = rng.integers(0, rest[k])
+                found = table[first[act[k]] + spot + np.where(spot < low[k], 0, many[k])]
+                fine = (left[k] == 1) | (left[k] == rest[k]) | (rng.random(len(seek)) * size[found] >= d)
+                to[seek[fine]] = found[fine]
+                seek = seek[~fine]
+            # those who follow one of their own block wait until that one sits
+            near = todo[~settled[todo]]
+            ahead = behind[near]
+            known = settled[ahead]
+            again = known & opened[ahead] & (rng.random(len(near)) < d)
+            behind[near[again]] = -1
+            sits = known & ~again
+            to[near[sits]] = to[ahead[sits]]
+            settled[near[sits]] = True
+            todo = near[~sits]
+        if (many > 1).any():
+            total = (pull + stay)[g] + i
+            ratio = np.log(total - d * _before(opened, begin, g)) - np.log(total - d * _before(opened_before, begin, g))
+            back = (np.log(rng.random(len(act))) >= np.bincount(g, weights=ratio, minlength=len(act)))[g]
+            to[back], opened[back] = was[back], opened_before[back]
+        np.add.at(size, to, 1)
+        table[who] = to
+        tables[act] = left + np.bincount(g[opened], minlength=len(act))
+        number += 1
+        act = act[blocks[act] > number]
+    used = np.flatnonzero(size)
+    dish = np.where(used < old_tables, dish_of[np.minimum(used, old_tables - 1)], owner[np.maximum(used - old_tables, 0)])
+    return size[used[np.argsort(dish, kind="stable")]], tables
+
+
+def _before(marks: np.ndarray, begin: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """How many marked ones stand before each, within its block."""
+    upto = np.cumsum(marks) - marks
+    return upto - upto[begin][g]
+
+
 def discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
 
@@ -314,7 +391,7 @@ def spelled(words: pa.Array, model: Spelling) -> np.ndarray:
     return np.add.reduceat(np.log(model.p[model.row[contexts(signs, begin)], signs].astype(np.float64)), begin)
 
 
-def seat_spelling(cells: np.ndarray, before: Spelling | None, rng: np.random.Generator) -> Spelling:
+def seat_spelling(spark: SparkSession, cells: np.ndarray, before: Spelling | None, rng: np.random.Generator) -> Spelling:
     """Seats the customers (context, sign, n) of the longest contexts, then the tables' dishes in the parents.
 
     ``before``: the sweep before; without it parents are judged from one table for each kind of customer.
@@ -328,7 +405,7 @@ def seat_spelling(cells: np.ndarray, before: Spelling | None, rng: np.random.Gen
             n, ctx, sign = np.bincount(inverse, weights=n).astype(np.int64), key // SIGNS, key % SIGNS
         d = discount(int((n == 1).sum()), int((n == 2).sum()))
         levels.append((width, ctx, sign, n, d))
-        n = np.ones_like(n) if before is None else _tables(ctx, sign, n, d, before, width, rng)
+        n = np.ones_like(n) if before is None else _tables(spark, ctx, sign, n, d, before, width, rng)
         levels[-1] += (n,)
     p, index = np.full((1, SIGNS), 1.0 / SIGNS), None
     for width, ctx, sign, n, d, t in reversed(levels):
@@ -356,22 +433,37 @@ def seat_spelling(cells: np.ndarray, before: Spelling | None, rng: np.random.Gen
     raise AssertionError
 
 
-def _tables(ctx: np.ndarray, sign: np.ndarray, n: np.ndarray, d: float, before: Spelling, width: int, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each (context, sign) after a first seating and a few rounds."""
+def _tables(
+    spark: SparkSession, ctx: np.ndarray, sign: np.ndarray, n: np.ndarray, d: float, before: Spelling, width: int, rng: np.random.Generator,
+) -> np.ndarray:
+    """Tables of each (context, sign) after a first seating and a few passes, in tasks: each has some of the cells."""
     if not len(n):
         return n
     which, inverse = np.unique(ctx, return_inverse=True)
     # the parent's probability of the sign, from the shorter contexts of the sweep before
     last = before.p[-257:] if len(before.p) >= 257 else before.p
     parent = last.mean(axis=0)[sign] if width < 2 else before.p[before.row[ctx % 256]][np.arange(len(sign)), sign]
-    tables = np.bincount(inverse).astype(float)
-    for _ in range(2):
-        a = (STRENGTH + d * tables[inverse]) * np.maximum(parent, 1e-6)
-        sizes, begin = first_seating(n, a, d, rng)
-        for _ in range(ROUNDS):
-            sizes, begin = reseat(sizes, begin, n, a, d, rng)
-        tables = np.bincount(inverse, weights=np.diff(begin))
-    return np.diff(begin)
+    parent, tables, seed = np.maximum(parent, 1e-6).astype(float), np.bincount(inverse).astype(float), int(rng.integers(1 << 40))
+    # heavy cells first, dealt one by one: tasks get about as many customers each
+    order = np.argsort(-n, kind="stable")
+    parts = int(min(len(n), max(1, spark.sparkContext.defaultParallelism, n.sum() // HELD_CUSTOMERS)))
+    for turn in range(2):
+        a = (STRENGTH + d * tables[inverse]) * parent
+        cells = [(k, order[k::parts].tolist(), n[order[k::parts]].tolist(), a[order[k::parts]].tolist()) for k in range(parts)]
+
+        def run(cell: tuple) -> tuple[list[int], list[int]]:
+            k, at, own, pull = cell
+            rng, own, pull = np.random.default_rng([seed, turn, k]), np.array(own), np.array(pull)
+            sizes, begin = first_seating(own, pull, d, rng)
+            for _ in range(ROUNDS):
+                sizes, begin = reseat(sizes, begin, own, pull, d, rng)
+            return at, np.diff(begin).tolist()
+
+        t = np.zeros(len(n), dtype=np.int64)
+        for at, found in spark.sparkContext.parallelize(cells, parts).map(run).collect():
+            t[at] = found
+        tables = np.bincount(inverse, weights=t)
+    return t
 
 
 def _cells(state: DataFrame) -> np.ndarray:
@@ -397,7 +489,7 @@ def _cells(state: DataFrame) -> np.ndarray:
     return np.stack([x[:, 0] // SIGNS, x[:, 0] % SIGNS, x[:, 1]], axis=1)
 
 
-def _sweep(state: DataFrame, spelling: Spelling, tables: int, d: float, number: int, rounds: int, seed: int) -> DataFrame:
+def _sweep(state: DataFrame, spelling: Spelling, tables: int, d: float, number: int, seed: int) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast((spelling.row, spelling.p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,8 +505,7 @@ def _sweep(state: DataFrame, spelling: Spelling, tables: int, d: float, number:
                 listed = batch.column(3)
                 begin = np.asarray(listed.offsets).astype(np.int64)
                 sizes, begin = np.asarray(listed.values)[begin[0] : begin[-1]].astype(np.int64), begin - begin[0]
-            for _ in range(rounds):
-                sizes, begin = reseat(sizes, begin, c, a, d, rng)
+            sizes, begin = reseat(sizes, begin, c, a, d, rng)
             t, before = np.diff(begin), batch.column(4)
             ts = np.concatenate([np.asarray(before.values).reshape(len(c), -1), t[:, None]], axis=1) if number > 1 else t[:, None]
             yield pa.RecordBatch.from_arrays(
@@ -482,11 +573,11 @@ def seated_model(
     empty = F.array().cast("array<long>")
     seated = words.where("c > 0").select("word", "c", "m", empty.alias("sizes"), empty.alias("ts"), "h", "own", "follow")
     start = seated.withColumn("ts", F.array(F.lit(1).cast("long")))
-    spelling, tables, kept = seat_spelling(_cells(start), None, rng), v, []
+    spelling, tables, kept = seat_spelling(docs.sparkSession, _cells(start), None, rng), v, []
     for number in range(1, sweeps + 1):
-        seated = stored(_sweep(seated, spelling, tables, d, number, rounds, seed), "seats")
+        seated = stored(_sweep(seated, spelling, tables, d, number, seed), "seats")
         tables = seated.agg(F.coalesce(F.sum(F.element_at("ts", -1)), F.lit(0))).first()[0]
-        spelling = seat_spelling(_cells(seated), spelling, rng)
+        spelling = seat_spelling(docs.sparkSession, _cells(seated), spelling, rng)
         if number > burn:
             kept.append((spelling.row, spelling.p, tables))
     shared = docs.sparkSession.sparkContext.broadcast(kept)

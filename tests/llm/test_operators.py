@@ -446,6 +446,25 @@ def test_gibbs_finds_the_posterior_of_two_customers():
     assert (np.diff(begin) == 1).mean() == pytest.approx((1 - d) / (1 - d + a), abs=0.02)
 
 
+@pytest.mark.parametrize("blocks", (64, 5))  # one by one, and in blocks
+def test_a_pass_reaches_every_customer(blocks, monkeypatch):
+    """From one table, a few passes find the posterior of the number of tables, a**t times a generalised Stirling number."""
+    monkeypatch.setattr(pitman_yor, "BLOCKS", blocks)
+    rng, n, c, a, d = np.random.default_rng(3), 4000, 60, 30.0, 0.3
+    ways = [0.0, 1.0] + [0.0] * c
+    for k in range(1, c):
+        ways = [0.0] + [ways[t - 1] + (k - d * t) * ways[t] for t in range(1, c + 2)]
+        ways = [x / max(ways) for x in ways]
+    share = np.array(ways[1 : c + 1]) * a ** np.arange(1, c + 1)
+    want = (share * np.arange(1, c + 1)).sum() / share.sum()
+    many, pull = np.full(n, c), np.full(n, a)
+    sizes, begin = np.full(n, c), np.arange(n + 1)
+    for _ in range(12):
+        sizes, begin = pitman_yor.reseat(sizes, begin, many, pull, d, rng)
+    assert np.diff(begin).mean() == pytest.approx(want, rel=0.01)
+    assert (np.add.reduceat(sizes, begin[:-1]) == many).all()
+
+
 def test_word_probabilities_sum_below_one(docs):
     scores, _ = pitman_yor.word_scores(docs, "text", F.lit(True))
     assert 0.5 < scores.agg(F.sum(F.pow(F.lit(10.0), "score"))).first()[0] <= 1.001
