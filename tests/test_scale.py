@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from accountwise.operators import clv, cross_sell, guards, segments, staging, survival
+from accountwise import session
+from accountwise.operators import bookings, clv, cross_sell, guards, segments, staging, survival
 from accountwise.operators.ranking import exact_quantiles, running_totals
 
 
@@ -237,3 +238,18 @@ def test_percentile_of_half_a_digit(spark):
     actual = spark.range(80).select(F.col("id").cast("double").alias("clv_12m"))
     pred = spark.createDataFrame([(1, 23.0)], "account_id long, predicted_clv double")
     assert clv.clv_percentiles(pred, actual).first()["clv_percentile"] == 28.8
+
+
+def test_cells_of_more_input_are_dealt_to_more_tasks(spark, params, tmp_path, monkeypatch):
+    rows = [(k % 50, f"2022-{1 + k % 12:02d}-03", "EU", k % 7 == 0) for k in range(400)]
+    spark.createDataFrame(rows, "account_id long, d string, destination_region string, is_cancelled boolean").selectExpr(
+        "account_id", "date(d) booking_date", "date(d) + 5 travel_date", "is_cancelled", "false is_out_of_policy",
+        "destination_region", "cast(10 as decimal(10,2)) amount").coalesce(1).write.parquet(str(tmp_path / "b"))
+    table = spark.read.parquet(str(tmp_path / "b"))
+    plain = bookings.booking_features(table, params).orderBy("account_id").collect()
+    monkeypatch.setattr(session, "PART_BYTES", 50)
+    fine = bookings.booking_features(table, params)
+    size = sum(f.stat().st_size for f in (tmp_path / "b").glob("*.parquet"))
+    assert session.dealt_by_size(table, "account_id").rdd.getNumPartitions() == -(-size // 50) > 40
+    assert "hashpartitioning(account_id#" in (plan := fine._jdf.queryExecution().toString()) and f", {-(-size // 50)})" in plan
+    assert fine.orderBy("account_id").collect() == plain and len(plain) == 50
