@@ -165,16 +165,27 @@ def write_layers(
 PAGE_KEYS = ("tier", "segment")
 
 
+#: Rows of a file of pages, unless a range is larger.
+ROWS_PER_FILE = 100_000
+
+
 def write_pages(rows: DataFrame, path: str, rows_per_range: int = 100_000, key: str = "account_id") -> str:
-    """A table in ranges of its key, each a folder, and an index of the ranges: page_range, tier, segment, first, last, n.
+    """A table in ranges of its key, and an index of the ranges: page_file, page_range, tier, segment, first, last, n.
 
-    ``lookups.page_after`` reads the one or two ranges that hold a page, however deep it lies.
+    A file, in a folder of its own, is written by one task and holds as many ranges as ``ROWS_PER_FILE`` asks for, so that tasks and
+    folders do not grow with the number of ranges. ``lookups.page_after`` reads the one or two files that hold a page, however
+    deep it lies, and of them the ranges it needs.
     """
-    ranges = max(1, -(-rows.count() // rows_per_range))
-    ordered = rows.repartitionByRange(ranges, key).sortWithinPartitions(key).withColumn("page_range", F.spark_partition_id())
-    ordered.write.mode("overwrite").partitionBy("page_range").parquet(f"{path}/rows")
+    files = max(1, -(-rows.count() // max(ROWS_PER_FILE, rows_per_range)))
+    ordered = rows.repartitionByRange(files, key).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id())
+    # the id counts the rows of a task from its number times 2^33
+    file, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    ordered = ordered.withColumns({
+        "page_file": file.cast("int"), "page_range": F.shiftleft(file, 33) + F.floor(place / rows_per_range),
+    }).drop("_at")
+    ordered.write.mode("overwrite").partitionBy("page_file").parquet(f"{path}/rows")
     stored = rows.sparkSession.read.parquet(f"{path}/rows")
-    stored.groupBy("page_range", *PAGE_KEYS).agg(
+    stored.groupBy("page_file", "page_range", *PAGE_KEYS).agg(
         F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("n")
     ).write.mode("overwrite").parquet(f"{path}/index")
     return path

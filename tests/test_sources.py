@@ -133,3 +133,25 @@ def test_manifest_query_on_tables_in_folders(spark, tmp_path):
         spark.range(30).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
     got = {r["path"]: r["status"] for r in s10_manifest(Bound(spark, str(tmp_path))).collect()}
     assert got == {"region.parquet": "changed", "part.parquet": "new", "gone.parquet": "missing", "nation.parquet": "ok"}
+
+
+def test_pages_of_many_ranges_are_few_files(spark, tmp_path, monkeypatch):
+    """Ranges of three rows: files and tasks follow the rows, and every page is that of an offset."""
+    from pyspark.sql import functions as F
+
+    from accountwise.operators import lookups
+    from accountwise.sources import writers
+
+    monkeypatch.setattr(writers, "ROWS_PER_FILE", 100)
+    extra = {c: F.lit(1.0) for c in ("clv_12m", "booking_count_90d", "total_spend_90d", "num_active_products")}
+    rows = spark.range(0, 600, 2).select(
+        F.col("id").alias("account_id"), F.element_at(F.array(F.lit("Gold"), F.lit("Silver"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("tier"),
+        F.lit("EU").alias("region"), F.lit("Retail").alias("industry"), F.lit(False).alias("is_churned"), F.lit("a").alias("segment")).withColumns(extra)
+    path = writers.write_pages(rows, str(tmp_path / "pages"), rows_per_range=3)
+    assert len(list((tmp_path / "pages" / "rows").glob("page_file=*"))) <= 3
+    assert spark.read.parquet(f"{path}/index").select("page_range").distinct().count() >= 100
+    for after in (None, 0, 101, 396, 598):
+        for tier in (None, "Gold"):
+            want = [k for k in range(0, 600, 2) if (after is None or k > after) and (tier is None or k % 3 == 0)][:50]
+            page = lookups.page_after(spark, path, after=after, tier=tier).collect()
+            assert [r["account_id"] for r in page] == want and all(r["total"] == (100 if tier else 300) for r in page)
