@@ -78,3 +78,21 @@ def test_cooling_out_of_order_late_rows_and_restart(spark):
         [("B", "High", 0.7, at(24 * 12))],
     )
     assert second == ([("A", "alert", at(0), 0), ("A", "alert", at(24 * 9), 0), ("B", "alert", at(24 * 6), 0), ("C", "alert", at(24 * 8), 0)], 2)
+
+
+def test_cooling_takes_plain_rows():
+    """Rows of one account: late ones are counted, others taken by time; an unknown score stays unknown."""
+    from datetime import timezone
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    kept, timers = {}, []
+    state = SimpleNamespace(exists=lambda: "at" in kept, get=lambda: kept["at"], update=lambda v: kept.update(at=v))
+    handle = SimpleNamespace(getValueState=lambda *_: state, registerTimer=timers.append, deleteTimer=timers.remove)
+    cooling = activity.Cooling(1000)
+    cooling.init(handle)
+    rows = [Row(at_ms=t, churn_risk_score=s) for t, s in ((5000, 0.9), (10, 0.8), (4500, None), (5600, 0.7))]
+    out = list(cooling.handleInputRows((7,), iter(rows), SimpleNamespace(getCurrentWatermarkInMs=lambda: 100)))
+    assert [(r["kind"], r["churn_risk_score"], r["late_rows"]) for r in out] == [("late", None, 1), ("alert", None, 0), ("alert", 0.7, 0)]
+    assert out[1]["at"] == datetime.fromtimestamp(4.5, timezone.utc) and kept["at"] == (5600,) and timers == [6600]
