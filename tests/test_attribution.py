@@ -65,3 +65,13 @@ def test_shapley_values(spark, learner):
     assert some.count() == 20 and attribution.long_attributions(some, inputs).count() == 80
     assert attribution.attribution_importance(some, inputs).count() == 4
     assert attribution.row_attributions(model, frame.where("false"), inputs).count() == 0
+
+
+def test_tasks_follow_the_rows(spark):
+    """Every task makes the tables of all leaves, so few rows in many partitions are few tasks."""
+    frame = spark.range(0, 900, 1, 40).select(F.col("id").alias("account_id"), (F.col("id") % 7).cast("double").alias("a"))
+    frame = frame.withColumn("y", F.col("a") * F.col("a"))
+    learner = GBTRegressor(featuresCol="_inputs", labelCol="y", maxIter=2, maxDepth=2, seed=1)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="_inputs"), learner]).fit(frame)
+    got = attribution.row_attributions(model, frame, ["a"])
+    assert got.rdd.getNumPartitions() == 1 and got.count() == 900
