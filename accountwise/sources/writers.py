@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -15,6 +16,10 @@ from accountwise.sources.readers import BulkLoad, bulk_load_raw, schema_of
 from accountwise.sources.schemas import RAW
 
 
+#: Tables that are written at the same time: the tasks of one fill the cores that another's last tasks leave idle.
+AT_ONCE = 4
+
+
 def write_features(
     features: DataFrame, folder: str, fmt: str = "both", partition_by: str | None = None
 ) -> list[str]:
@@ -48,10 +53,9 @@ PREDICTION_FOLDERS = {
 
 
 def write_predictions(frames: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    paths = {}
-    for name, df in frames.items():
-        paths[name] = f"{folder}/{PREDICTION_FOLDERS[name]}"
-        df.write.mode("overwrite").parquet(paths[name])
+    paths = {name: f"{folder}/{PREDICTION_FOLDERS[name]}" for name in frames}
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(lambda name: frames[name].write.mode("overwrite").parquet(paths[name]), frames))
     return paths
 
 
@@ -117,9 +121,10 @@ def layer_graph(as_of: date) -> dict[str, Layer]:
 
 def build_layers(
     tables: Mapping[str, DataFrame], as_of: date, without_predictions: bool = False,
-    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df, at_once: int = 1,
 ) -> dict[str, DataFrame]:
     """Every layer of the graph, in order. ``store`` says what readers of a layer get: the layer itself, or what was stored.
+    ``at_once`` layers are built and stored at the same time, each once what it needs is there.
 
     Missing prediction tables are an error, unless layers ``without_predictions`` are asked for; then those that rest on
     them are left out, and products come from contracts alone.
@@ -127,17 +132,26 @@ def build_layers(
     missing = sorted(set(PREDICTED) - set(tables))
     if missing and not without_predictions:
         raise ValueError(f"no table of {', '.join(missing)}: publish predictions, or ask for marts without them")
-    out: dict[str, DataFrame] = {}
+    graph: dict[str, tuple[Layer, tuple[str, ...]]] = {}
     for name, layer in layer_graph(as_of).items():
-        have = [out.get(need, tables.get(need)) for need in layer.needs]
-        if any(df is None for df in have):
-            lacking = {need for need, df in zip(layer.needs, have) if df is None}
+        lacking = {need for need in layer.needs if need not in graph and need not in tables}
+        if lacking:
             if not lacking <= {*missing, "stg_churn_predictions", "stg_recommendations"}:
                 raise ValueError(f"{name} needs {', '.join(sorted(lacking))}")
             if name != "dim_products":
                 continue
-        out[name] = store(name, layer.build(*have))
-    return out
+        graph[name] = layer, tuple(lacking)
+    out: dict[str, Future] = {}
+
+    def made(name: str) -> DataFrame:
+        layer, lacking = graph[name]
+        have = [None if n in lacking else out[n].result() if n in graph else tables[n] for n in layer.needs]
+        return store(name, layer.build(*have))
+
+    with ThreadPoolExecutor(at_once) as pool:  # a layer waits for earlier ones only, and those were started before it
+        for name in graph:
+            out[name] = pool.submit(made, name)
+        return {name: layer.result() for name, layer in out.items()}
 
 
 def write_layers(
@@ -159,7 +173,7 @@ def write_layers(
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    return build_layers(tables, as_of, without_predictions, store)
+    return build_layers(tables, as_of, without_predictions, store, AT_ONCE)
 
 
 PAGE_KEYS = ("tier", "segment")

@@ -76,3 +76,29 @@ def test_checks(spark, folder, matrix):
     assert not checks.where("check_name = 'min_rows' AND NOT ok").isEmpty()
     gate = {r["check_name"]: r["ok"] for r in jobs.check_features(spark, matrix).collect()}
     assert gate == {"min_rows": False, "min_columns": True, "numeric_nulls": True, "target_present": True}
+
+
+def test_layers_are_stored_at_the_same_time():
+    """Layers that need nothing of each other are stored together, each after what it needs."""
+    from datetime import date
+    from threading import Barrier, Lock
+    from unittest import mock
+
+    from accountwise.sources import writers
+
+    done, lock, together = [], Lock(), Barrier(2, timeout=20)
+    graph = {
+        "a": writers.Layer(("accounts",), lambda t: t), "b": writers.Layer(("accounts",), lambda t: t),
+        "c": writers.Layer(("a", "b"), lambda a, b: (a, b)), "d": writers.Layer(("c",), lambda c: c)}
+
+    def store(name, built):
+        if name in "ab":
+            together.wait()  # breaks unless both are being stored
+        with lock:
+            done.append(name)
+        return name
+
+    tables = dict.fromkeys(("accounts", *writers.PREDICTED), "raw")
+    with mock.patch.object(writers, "layer_graph", lambda as_of: graph):
+        out = writers.build_layers(tables, date(2024, 1, 1), store=store, at_once=writers.AT_ONCE)
+    assert list(out) == list("abcd") and sorted(done[:2]) == ["a", "b"] and done[2:] == ["c", "d"]
