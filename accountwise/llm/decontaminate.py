@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accountwise.llm.texts import finished, put_back, set_apart, shingle_hashes, slices, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import put_back, set_apart, shingle_hashes, slices, stream, text_of, texts_array, tidied, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -68,6 +68,17 @@ class Items:
                 tables.append((minima[order, j].astype(np.uint32), which[order]))
             self.classes.append((u, np.uint32((1 << min(bits, 24)) - 1), tables))
 
+    def marked(self) -> list[np.ndarray]:
+        """By class: for each hash function the low bits that minima of items have; made once in a task, not sent to it."""
+        if not hasattr(self, "_marked"):
+            self._marked = []
+            for _, mask, tables in self.classes:
+                seen = np.zeros((len(tables), int(mask) + 1), dtype=bool)
+                for j, (values, _) in enumerate(tables):
+                    seen[j, values & mask] = True
+                self._marked.append(seen)
+        return self._marked
+
     def candidates(self, s: np.ndarray, docs: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs of which a window and the item agree in a minimum."""
         found: set[tuple[int, int]] = set()
@@ -84,12 +95,7 @@ class Items:
             inner = np.arange(n.sum()) - np.repeat(first, n)
             cuts.append((np.repeat(begin, n) + inner * step, np.repeat(owner, n)))
             begin, sizes, block = first, n, block * 2
-        marked = []
-        for _, mask, tables in self.classes:
-            seen = np.zeros((len(tables), int(mask) + 1), dtype=bool)
-            for j, (values, _) in enumerate(tables):
-                seen[j, values & mask] = True
-            marked.append(seen)
+        marked = self.marked()
         for j, f in enumerate(self.factors):
             level = (s * f >> np.uint64(32)).astype(np.uint32)
             at = 0
@@ -119,6 +125,7 @@ def _scan(docs: DataFrame, text: str, block: Items, hits: str, threshold: float)
     size = block.shingle
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_item", pa.int32()), ("n_shared", pa.int32())]))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items.__new__(Items)
         vars(items).update(shared.value)
@@ -143,7 +150,6 @@ def _scan(docs: DataFrame, text: str, block: Items, hits: str, threshold: float)
                 columns = [c.slice(a, b - a) for c in batch.columns]
                 columns[listed] = pa.array(found, kind)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-        finished()
 
     return docs.mapInArrow(run, docs.schema)
 

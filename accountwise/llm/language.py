@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import finished, put_back, set_apart, stored, text_of, uniform
+from accountwise.llm.texts import put_back, set_apart, stored, text_of, tidied, uniform
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: About so many documents of each language are learned from.
@@ -129,6 +129,7 @@ def _expected(words_of: DataFrame, ids: dict[str, int], p: np.ndarray, langs: li
     """(lang, piece, n): expected piece counts over all segmentations of the counted words."""
     shared = words_of.sparkSession.sparkContext.broadcast((ids, p))
 
+    @tidied
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, prob = shared.value
         lattice = Lattice(known)
@@ -167,6 +168,7 @@ def learn(
         share = F.when(F.col("lang") == name, F.lit(sample / docs)).otherwise(share)
     some = known.where(uniform(F.lit(3), F.col("text")) < share)
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
@@ -198,6 +200,7 @@ def predicted(docs: DataFrame, model: tuple[dict[str, int], list[str], np.ndarra
     at = names.index(text)
     shared = docs.sparkSession.sparkContext.broadcast((model[0], model[2]))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, p = shared.value
         lattice = Lattice(ids)
@@ -229,8 +232,6 @@ def predicted(docs: DataFrame, model: tuple[dict[str, int], list[str], np.ndarra
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=[*names, f"{prefix}pred", f"{prefix}score"],
             )
-        place, table = {}, table[:0]
-        finished()
 
     schema = docs.withColumn(f"{prefix}pred", F.lit("")).withColumn(f"{prefix}score", F.lit(0.0)).schema
     for field in schema.fields:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accountwise.llm.texts import (
-    finished, mix, put_back, set_apart, shingle_hashes, slices, stored, stream, text_of, texts_array, word_hashes,
+    mix, put_back, set_apart, shingle_hashes, slices, stored, stream, text_of, texts_array, tidied, word_hashes,
 )
 
 SHINGLE = 5
@@ -116,6 +116,7 @@ def folded(signatures: np.ndarray) -> np.ndarray:
 def signed(docs: DataFrame, text: str, shingle: int, bands: int, rows: int, places: int) -> DataFrame:
     """(doc_id, digest, n, bands, signature) for every row; n: runs in the text. No bands where it has no word."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.int64())
         for batch in batches:
@@ -138,7 +139,6 @@ def signed(docs: DataFrame, text: str, shingle: int, bands: int, rows: int, plac
                     ],
                     names=["doc_id", "digest", "n", "bands", "signature"],
                 )
-        finished()
 
     return docs.mapInArrow(run, "doc_id long, digest binary, n long, bands array<long>, signature binary")
 
@@ -176,6 +176,7 @@ def _joined(members: DataFrame, shingle: int, likely: float, threshold: float) -
     )
     together = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
+    @tidied
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def links(group: pd.DataFrame) -> pd.DataFrame:
             x = np.frombuffer(b"".join(group["signature"]), np.uint16).reshape(len(group), -1)
@@ -209,7 +210,6 @@ def _joined(members: DataFrame, shingle: int, likely: float, threshold: float) -
 
         for group in _groups(frames, ["key", "i", "j"]):
             yield links(group)
-        finished()
 
     return together.mapInPandas(run, "a binary, b binary").distinct()
 
@@ -263,6 +263,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float
     together = members.unionByName(leaders)
     together = together.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
+    @tidied
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         leader = Counter()
         for frame in frames:
