@@ -32,11 +32,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountwise.llm.texts import finished, mix, slices, stored, stream, text_of, texts_array, word_hashes
+from accountwise.llm.texts import dropped, mix, slices, stored_alone, stream, text_of, texts_array, tidied, word_hashes
 
 SWEEPS = 3
 BURN = 1
@@ -54,6 +54,8 @@ HELD_TOKENS = 1_500_000
 HELD_CUSTOMERS = 1 << 20
 #: Dishes of no more customers have them seated again one by one, others in so many blocks at least.
 BLOCKS = 64
+#: Passes in which pairs are scored and meet the texts, by the pair's word: files of one pass at a time, not of all.
+PARTS = 8
 #: The hash of the end, which is also what stands before the first word.
 END_HASH = np.uint64(0)
 SIGNS = 257
@@ -69,6 +71,7 @@ def tokens(text: str) -> list[bytes]:
 def counted(docs: DataFrame, text: str, training: Column) -> DataFrame:
     """(word, c, m): occurrences in training texts and in all texts; the end is the empty word."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
 
@@ -134,6 +137,7 @@ def place_of(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def paired(docs: DataFrame, text: str, training: Column) -> DataFrame:
     """(u, w, c, m): how often word w follows word u in training texts and in all texts."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
@@ -157,22 +161,27 @@ def paired(docs: DataFrame, text: str, training: Column) -> DataFrame:
                     yield flush()
         if held:
             yield flush()
-        finished()
 
     parts = docs.select(text_of(text), F.coalesce(training, F.lit(False))).mapInArrow(run, "u long, w long, c long, m long")
     return parts.groupBy("u", "w").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
 
 
-def with_words(pairs: DataFrame, words: DataFrame, head: int) -> DataFrame:
+def shared_words(words: DataFrame, head: int) -> Broadcast:
+    """The numbers of the most frequent of ``words``: (h, word, m, c, follow, p), for the tasks of ``with_words``."""
+    top = frequent(words, head).select("h", "c", "follow", "p").toArrow().sort_by("h")
+    return words.sparkSession.sparkContext.broadcast(tuple(np.asarray(top.column(k).to_numpy()) for k in range(4)))
+
+
+def with_words(pairs: DataFrame, words: DataFrame, head: int, shared: Broadcast | None = None) -> DataFrame:
     """Pairs (u, w, c, m, t) with the count and tables of u (cu, tu) and the count and probability of w (cw, pw).
 
-    ``words``: (h, word, m, c, follow, p). Rows whose words are both frequent are not moved.
+    ``words``: (h, word, m, c, follow, p). Rows whose words are both frequent are not moved. ``shared``: of a call before.
     """
-    top = frequent(words, head).select("h", "c", "follow", "p").toArrow().sort_by("h")
-    shared = pairs.sparkSession.sparkContext.broadcast(tuple(np.asarray(top.column(k).to_numpy()) for k in range(4)))
+    shared = shared or shared_words(words, head)
     names = ["u", "w", "c", "m", "t", "cu", "tu", "cw", "pw"]
     kind = "u long, w long, c long, m long, t long, cu long, tu long, cw long, pw double"
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, count, follow, p = shared.value
         for batch in batches:
@@ -198,6 +207,7 @@ def with_words(pairs: DataFrame, words: DataFrame, head: int) -> DataFrame:
 def seat_pairs(pairs: DataFrame, words: DataFrame, d: float, head: int, rounds: int, seed: int) -> DataFrame:
     """(u, w, c, m, t): pairs with their tables; ``words``: (h, word, m, c, follow, p), p the parent's probability."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for k, batch in enumerate(batches):
@@ -211,7 +221,7 @@ def seat_pairs(pairs: DataFrame, words: DataFrame, d: float, head: int, rounds:
 
     more = with_words(pairs.where("c > 1").withColumn("t", F.lit(0).cast("long")), words, head)
     more = more.mapInArrow(run, "u long, w long, c long, m long, t long")
-    return pairs.where("c <= 1").withColumn("t", F.col("c")).unionByName(stored(more, "pair-seats"))
+    return pairs.where("c <= 1").withColumn("t", F.col("c")).unionByName(stored_alone(more, "pair-seats"))
 
 
 # ---- seating: the same for words and for spelling signs
@@ -469,6 +479,7 @@ def _tables(
 def _cells(state: DataFrame) -> np.ndarray:
     """(context, sign, n) over the spellings of all tables; bounded by contexts times signs."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
         for batch in batches:
@@ -492,6 +503,7 @@ def _cells(state: DataFrame) -> np.ndarray:
 def _sweep(state: DataFrame, spelling: Spelling, tables: int, d: float, number: int, seed: int) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast((spelling.row, spelling.p))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Spelling(*shared.value)
         part = TaskContext.get().partitionId()
@@ -546,19 +558,20 @@ def word_scores(docs: DataFrame, text: str, training: Column, **options) -> tupl
 def seated_model(
     docs: DataFrame, text: str, training: Column, sweeps: int = SWEEPS, burn: int = BURN, rounds: int = ROUNDS, seed: int = 42, head: int = HEAD,
 ) -> Model:
+    @tidied
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes_of(batch.column(0)))], names=["word", "own", "m", "h"])
-        finished()
 
-    words = stored(counted(docs, text, training).mapInArrow(hashed, "word binary, own long, m long, h long"), "words")
+    corpus = words = stored_alone(counted(docs, text, training).mapInArrow(hashed, "word binary, own long, m long, h long"), "words")
     n, v = words.agg(F.coalesce(F.sum("own"), F.lit(0)), F.coalesce(F.sum((F.col("own") > 0).cast("long")), F.lit(0))).first()
-    pairs = stored(paired(docs, text, training), "pairs")
+    pairs = stored_alone(paired(docs, text, training), "pairs")
     d_pairs = discount(*pairs.agg(*_ones_and_twos(pairs, "c")).first())
     follow = pairs.where("c > 0").groupBy(F.col("u").alias("h")).agg(F.count("*").alias("follow"))
     share = (F.col("own") + 0.5) / F.lit(n + 0.5 * (v + 1))
     first = words.join(follow, "h", "left").select("h", "word", "m", F.col("own").alias("c"), F.coalesce("follow", F.lit(0).cast("long")).alias("follow"), share.alias("p"))
-    pairs = seat_pairs(pairs, stored(first, "first-words"), d_pairs, head, rounds, seed)
+    first = stored_alone(first, "first-words")
+    pairs = seat_pairs(pairs, first, d_pairs, head, rounds, seed)
     taken = pairs.where("t > 0")
     follow = taken.groupBy(F.col("u").alias("h")).agg(F.sum("t").alias("follow"))
     guests = taken.groupBy(F.col("w").alias("h")).agg(F.sum("t").alias("c"))
@@ -566,7 +579,8 @@ def seated_model(
     words = words.join(follow, "h", "left").join(guests, "h", "left").select(
         "word", F.coalesce("c", none).alias("c"), "m", "h", "own", F.coalesce("follow", none).alias("follow"),
     )
-    words = stored(words, "customers")
+    words = stored_alone(words, "customers")
+    dropped(corpus, first)
     guests, ones, twos = words.agg(F.coalesce(F.sum("c"), F.lit(0)), *_ones_and_twos(words, "c")).first()
     d = discount(ones, twos)
     rng = np.random.default_rng(seed)
@@ -575,13 +589,16 @@ def seated_model(
     start = seated.withColumn("ts", F.array(F.lit(1).cast("long")))
     spelling, tables, kept = seat_spelling(docs.sparkSession, _cells(start), None, rng), v, []
     for number in range(1, sweeps + 1):
-        seated = stored(_sweep(seated, spelling, tables, d, number, seed), "seats")
+        last, seated = seated, stored_alone(_sweep(seated, spelling, tables, d, number, seed), "seats")
+        if number > 1:
+            dropped(last)
         tables = seated.agg(F.coalesce(F.sum(F.element_at("ts", -1)), F.lit(0))).first()[0]
         spelling = seat_spelling(docs.sparkSession, _cells(seated), spelling, rng)
         if number > burn:
             kept.append((spelling.row, spelling.p, tables))
     shared = docs.sparkSession.sparkContext.broadcast(kept)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c, count = batch.column(1).to_numpy().astype(float), batch.num_rows
@@ -602,14 +619,15 @@ def seated_model(
     columns = ["word", "c", "m", "ts", "h", "own", "follow"]
     rows = seated.select(columns).unionByName(words.where("c = 0").withColumn("ts", none).select(columns))
     kind = "word binary, h long, c long, m long, follow long, base double, score double"
-    return Model(stored(rows.mapInArrow(run, kind), "word-scores"), pairs, n, v, d_pairs)
+    scores = stored_alone(rows.mapInArrow(run, kind), "word-scores")
+    dropped(words, seated)
+    return Model(scores, pairs, n, v, d_pairs)
 
 
-def pair_scores(model: Model, head: int = HEAD) -> DataFrame:
+def pair_scores(pairs: DataFrame, words: DataFrame, head: int, shared: Broadcast, d: float) -> DataFrame:
     """(key, m, cw, score): log10 probability of a pair's word after the word before it, and the word's count."""
-    words = model.words.select("h", "word", "m", "c", "follow", F.pow(F.lit(10.0), "score").alias("p"))
-    d = model.d
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, w, c, _, t, cu, tu, cw, p = (x.to_numpy() for x in batch.columns)
@@ -618,7 +636,7 @@ def pair_scores(model: Model, head: int = HEAD) -> DataFrame:
                 [pa.array(pair_key(u, w)), batch.column(3), pa.array(cw), pa.array(np.log10(np.maximum(own, 1e-300)))], names=["key", "m", "cw", "score"]
             )
 
-    return stored(with_words(model.pairs, words, head).mapInArrow(run, "key long, m long, cw long, score double"), "pair-scores")
+    return with_words(pairs, words, head, shared).mapInArrow(run, "key long, m long, cw long, score double")
 
 
 def frequent(rows: DataFrame, head: int) -> DataFrame:
@@ -637,11 +655,14 @@ def frequent(rows: DataFrame, head: int) -> DataFrame:
 def scored(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text", head: int = HEAD, **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     model = seated_model(docs, text, training, head=head, **options)
-    scores, n, least = pair_scores(model, head), model.n, model.n + 0.5 * (model.v + 1)
-    top = frequent(scores, head).select("key", "cw", "score").toArrow().sort_by("key")
+    n, least = model.n, model.n + 0.5 * (model.v + 1)
+    words = model.words.select("h", "word", "m", "c", "follow", F.pow(F.lit(10.0), "score").alias("p"))
+    known_words = shared_words(words, head)
+    top = pair_scores(frequent(model.pairs, head), words, head, known_words, model.d).select("key", "cw", "score").toArrow().sort_by("key")
     key, cw, score = (np.asarray(top.column(k).to_numpy()) for k in range(3))
     shared = docs.sparkSession.sparkContext.broadcast((key, np.stack([cw > 0, np.log10((cw + 0.5) / least), score], axis=1)))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, numbers = shared.value
         numbers = numbers if len(keys) else np.zeros((1, 3))
@@ -653,40 +674,49 @@ def scored(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "t
                 at, hit = place_of(keys, key)
                 own = numbers[at] * hit[:, None]
                 sums = [np.bincount(owner, weights=own[:, k], minlength=b - a) for k in range(3)]
-                key, owner, tokens_ = key[~hit], owner[~hit], np.bincount(owner, minlength=b - a)
+                key, w, owner, tokens_ = key[~hit], w[~hit], owner[~hit], np.bincount(owner, minlength=b - a)
                 order = np.lexsort((key, owner))
-                key, owner = key[order], owner[order]
+                key, w, owner = key[order], w[order], owner[order]
                 fresh = np.ones(len(key), dtype=bool)
                 fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
                 first = np.flatnonzero(fresh)
                 times = np.diff(np.append(first, len(key)))
                 rare, nothing = len(first), pa.nulls
+                summed = pa.StructArray.from_arrays(
+                    [batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(tokens_.astype(np.int64)),
+                     pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+                    names=["doc_id", "held_out", "tokens", "known", "base", "score"],
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([rows[a:b], rows[a:b][owner[first]]])),
-                        # what is summed already meets no pair, wherever it goes
-                        pa.array(np.concatenate([mix(rows[a:b].view(np.uint64)).view(np.int64), key[first]])),
-                        pa.concat_arrays([batch.column(1).slice(a, b - a), nothing(rare, pa.int64())]),
-                        pa.concat_arrays([batch.column(2).slice(a, b - a), nothing(rare, pa.bool_())]),
-                        pa.concat_arrays([pa.array(tokens_.astype(np.int64)), nothing(rare, pa.int64())]),
-                        pa.concat_arrays([pa.array(sums[0].astype(np.int64)), nothing(rare, pa.int64())]),
-                        *(pa.concat_arrays([pa.array(x), nothing(rare, pa.float64())]) for x in sums[1:]),
+                        pa.concat_arrays([nothing(b - a, pa.int64()), pa.array(key[first])]),
                         pa.concat_arrays([nothing(b - a, pa.int32()), pa.array(times.astype(np.int32))]),
+                        # what is summed already meets no pair and is of no part
+                        pa.concat_arrays([nothing(b - a, pa.int32()), pa.array((w[first] % PARTS).astype(np.int32))]),
+                        pa.concat_arrays([summed, nothing(rare, summed.type)]),
                     ],
-                    names=["row", "key", "doc_id", "held_out", "tokens", "known", "base", "score", "n"],
+                    names=["row", "key", "n", "part", "text"],
                 )
-        finished()
 
     slim = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("doc_id"),
         (~F.coalesce(training, F.lit(False))).alias("held_out"), text_of(text).alias("text"),
     )
-    kind = "row long, key long, doc_id long, held_out boolean, tokens long, known long, base double, score double, n int"
-    found = slim.mapInArrow(run, kind).join(scores.select("key", "cw", F.col("score").alias("own")), "key", "left")
+    kind = "row long, key long, n int, part int, text struct<doc_id:long, held_out:boolean, tokens:long, known:long, base:double, score:double>"
+    found = stored_alone(slim.mapInArrow(run, kind), "text-pairs")
     known = F.when(F.col("cw") > 0, F.col("n")).otherwise(0).cast("long")
     base = F.col("n") * F.log10((F.col("cw") + 0.5) / F.lit(least))
-    return found.groupBy("row").agg(
+    sums = found.where("part is null").select("row", "text.*")
+    for part in range(PARTS):
+        pairs = model.pairs.where(F.pmod("w", F.lit(PARTS)) == part)
+        scores = pair_scores(pairs, words, head, known_words, model.d).select("key", "cw", F.col("score").alias("own"))
+        met = found.where(F.col("part") == part).join(scores, "key", "left").groupBy("row").agg(
+            F.sum(known).alias("known"), F.sum(base).alias("base"), F.sum(F.col("n") * F.col("own")).alias("score"),
+        )
+        sums = sums.unionByName(stored_alone(met, "text-sums"), allowMissingColumns=True)
+    dropped(model.words, model.pairs)
+    return sums.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("tokens").alias("n_tokens"),
-        F.sum(F.coalesce("known", known)).alias("n_known"), F.sum(F.coalesce("base", base)).alias("base_score"),
-        F.sum(F.coalesce("score", F.col("n") * F.col("own"))).alias("score"),
+        F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"),
     ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
