@@ -33,7 +33,7 @@ from accountwise.session import run_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
 
 #: Rows up to which a product's trees are grown in one task.
-ROWS_AT_ONCE = 500_000
+ROWS_AT_ONCE = 5_000_000
 #: Joint bins of inputs that are counted together.
 JOINT_BINS = 2048
 #: Rounds between two checkpoints of the predictions, where rows stay in their blocks.
